@@ -66,11 +66,12 @@ def count_alternation(words: Column, phrases: Sequence[str]) -> Column:
 def count_per_phrase(line: Column, phrases: Sequence[str]) -> Column:
     """Guarded matches of each phrase, summed; overlaps and repeated entries count again.
 
-    A plain search comes first, so a pattern only runs where its phrase occurs.
+    A plain search comes first, so a pattern only runs where its phrase occurs;
+    the guards stand behind the phrase, so they are only tested at its matches.
     """
     terms = []
     for phrase, times in Counter(phrase_line(p) for p in phrases).items():
-        pattern = f"(?<![{WORD}]){_quoted(phrase)}(?![{WORD}])"
+        pattern = f"{_quoted(phrase)}(?<![{WORD}]{_quoted(phrase)})(?![{WORD}])"
         found = F.regexp_count(line, F.lit(pattern)) * times
         terms.append(F.when(line.contains(phrase), found).otherwise(F.lit(0)))
     return add(terms) if terms else F.lit(0)

@@ -51,7 +51,6 @@ def read_text_columns(spark: SparkSession, path: str, sep: str = ";") -> DataFra
     return frame.fillna("")
 
 
-# extensions readable by :func:`read_file`
 def read_file(spark: SparkSession, path: str) -> DataFrame:
     """Dispatch by extension: csv, csv.gz, json, parquet."""
     name = path.lower()
@@ -72,7 +71,7 @@ def read_corpus(spark: SparkSession, folder: str, pattern: str = "*.txt") -> Dat
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(folder)
     )
-    text = F.coalesce(_valid_utf8(F.col("content")), F.decode(F.col("content"), F.lit("ISO-8859-1")))
+    text = F.coalesce(_valid_utf8(F.col("content")), F.decode(F.col("content"), "ISO-8859-1"))
     return files.select(
         F.col("path"),
         F.element_at(F.split("path", "/"), -1).alias("file_name"),

@@ -145,8 +145,10 @@ def label_codes(df: DataFrame, column: str) -> DataFrame:
 
 
 def encode_labels(df: DataFrame, column: str, codes: DataFrame, name: str, unknown: int = -1) -> DataFrame:
-    joined = df.join(codes, F.col(column) == F.col("label"), "left")
-    return joined.select(*df.columns, F.coalesce("code", F.lit(unknown)).alias(name))
+    """Add the code of a column's value; values without a code get ``unknown``."""
+    side = codes.select(F.col("label").alias("_label"), F.col("code").alias("_code"))
+    joined = df.join(side, F.col(column) == F.col("_label"), "left")
+    return joined.select(*df.columns, F.coalesce("_code", F.lit(unknown)).alias(name))
 
 
 def standardise(df: DataFrame, names: Sequence[str], null_as: float | None = None) -> DataFrame:

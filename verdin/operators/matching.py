@@ -8,6 +8,7 @@ looks up a handful of keys. A common name therefore costs one row per person.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -70,11 +71,11 @@ _MIXES = [mix for size in (1, 2, 3) for mix in combinations(_SCORES, size)]
 
 def _mixed_keys(mix: Sequence[str]) -> Column:
     """All keys a file offers for one mix of signals, built inside its row."""
-    keys = F.array(F.lit("+".join(mix)))
-    for signal in mix:
-        values = F.col(f"{signal}s")
-        keys = F.flatten(F.transform(keys, lambda k, values=values: F.transform(values, lambda v: F.concat(k, F.lit("|"), v))))
-    return keys
+
+    def joined(keys: Column, values: Column) -> Column:
+        return F.flatten(F.transform(keys, lambda k: F.transform(values, lambda v: F.concat(k, F.lit("|"), v))))
+
+    return reduce(joined, [F.col(f"{signal}s") for signal in mix], F.array(F.lit("+".join(mix))))
 
 
 def best_files(people: DataFrame, signals: DataFrame) -> DataFrame:

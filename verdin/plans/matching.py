@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verdin.functions import parsers, transcripts
@@ -356,24 +356,17 @@ def changed_files(spark, folder):
     return landing.changed_files(source, target).select("doc_id", name.alias("name"))
 
 
-def write_corpus(spark: SparkSession, folder: str) -> str:
-    """Every non-empty document as a text file in a folder of its own (the line writer ends each with a line feed)."""
-    path = scratch_path(spark, "corpus")
-    rows = read_table(spark, folder, "documents").where("text <> ''").select("doc_id", "text")
-    rows.write.partitionBy("doc_id").text(path)
-    return path
-
-
-def file_id() -> Column:
-    return F.regexp_extract("path", r"doc_id=(\d+)", 1).cast("bigint").alias("doc_id")
-
-
 @query(
     "s4_text_corpus",
-    "SELECT doc_id, text || chr(10) AS text, CAST(strlen(text) + 1 AS BIGINT) AS size FROM documents WHERE text <> ''",
+    "SELECT text || chr(10) AS text, CAST(strlen(text) + 1 AS BIGINT) AS size, source FROM documents WHERE text <> ''",
 )
 def text_corpus(spark, folder):
-    return readers.read_corpus(spark, write_corpus(spark, folder)).select(file_id(), "text", "size")
+    path = scratch_path(spark, "corpus")
+    rows = read_table(spark, folder, "documents").where("text <> ''").select("source", "text")
+    # one text per file; the line writer ends each with a line feed
+    rows.write.option("maxRecordsPerFile", 1).partitionBy("source").text(path)
+    files = readers.read_corpus(spark, path)
+    return files.select("text", "size", F.regexp_extract("path", "source=([^/]+)", 1).alias("source"))
 
 
 @query("s5_file_inventory")

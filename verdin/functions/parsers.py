@@ -91,7 +91,8 @@ def phone_in_text(text: Column) -> Column:
     national = F.concat(
         F.regexp_extract(text, r"(\+?57)?\s?(\d{10})", 1), F.regexp_extract(text, r"(\+?57)?\s?(\d{10})", 2)
     )
-    return F.when(national != "", national).otherwise(F.regexp_extract(text, r"\+?\d{7,12}", 0))
+    found = F.when(national != "", national).otherwise(F.regexp_extract(text, r"\+?\d{7,12}", 0))
+    return F.when(text.rlike(r"\d{7}"), found).otherwise(F.lit(""))
 
 
 def last_ten_digits(number: Column) -> Column:

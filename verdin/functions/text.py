@@ -123,7 +123,7 @@ def strip(text: Column) -> Column:
 def normalise_words(text: Column) -> Column:
     """Lower-case ASCII words separated by single spaces; empty for null."""
     ascii_text = to_ascii(F.lower(F.coalesce(text, F.lit(""))))
-    return squeeze(F.regexp_replace(ascii_text, r"[^\w\s]", " "))
+    return F.trim(F.regexp_replace(ascii_text, r"\W+", " "))
 
 
 def normalise_line(text: Column) -> Column:

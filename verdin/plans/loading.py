@@ -140,8 +140,8 @@ def answer_defaults(spark, folder):
         F.lit(', "efectiva": "1", "resultado": {"tipo": "cierre", "confirmado": true, "evidencia": "' + "x" * 300 + '"}, "razones": ["a","b","c","d","e","f"]'),
     ).otherwise(F.lit(""))
     said = F.concat(F.lit('Answer {"score_resultado": '), score, more, F.lit("}"))
-    answer = documents.call_answer(documents.parse_object(said)).alias("answer")
-    return read_table(spark, folder, "events").select("event_id", answer).select("event_id", "answer.*")
+    parsed = read_table(spark, folder, "events").select("event_id", documents.parse_object(said).alias("said"))
+    return parsed.select("event_id", documents.call_answer(F.col("said")).alias("answer")).select("event_id", "answer.*")
 
 
 @query("n5_field_access", """SELECT event_id, CAST(props->>'$.k' AS INT) AS k FROM events""")
@@ -166,8 +166,8 @@ def summary_shape(spark, folder):
     )
     said = F.when(F.col("event_type") != "error", body)
     name = F.concat(F.lit("v"), F.col("event_id").cast("string"))
-    shaped = documents.summary(documents.parse_object(said), name).alias("s")
-    rows = read_table(spark, folder, "events").select("event_id", shaped)
+    parsed = read_table(spark, folder, "events").select("event_id", name.alias("name"), documents.parse_object(said).alias("said"))
+    rows = parsed.select("event_id", documents.summary(F.col("said"), F.col("name")).alias("s"))
     return rows.select(
         "event_id",
         "s.video",

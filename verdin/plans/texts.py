@@ -12,7 +12,7 @@ from verdin.functions import labels, outcomes, parsers, phrases, text, transcrip
 from verdin.operators import classify, evaluate
 from verdin.plans.registry import query
 from verdin.plans.scoring import rounded
-from verdin.session import read_table, scratch_path
+from verdin.session import read_table, read_texts, scratch_path
 
 # Phrases that occur in the invented prose, two languages per category.
 DICTIONARY = {
@@ -75,7 +75,7 @@ LINES = f"w AS (SELECT doc_id, text, n_chars, source, {line_sql('text')} AS line
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return read_table(spark, folder, "documents")
+    return read_texts(spark, folder, "documents")
 
 
 @query("f1_normalise_words", f"SELECT doc_id, {words_sql('text')} AS words FROM documents")
@@ -134,7 +134,7 @@ MESSAGES = f"w AS (SELECT conv_id, turn, text, {words_sql('text')} AS words FROM
     f"WITH {MESSAGES}, {FLAGS_SQL} SELECT conv_id, turn, hesitates, closed, follow_up, closing_hint FROM f",
 )
 def tail_contains(spark, folder):
-    ready = read_table(spark, folder, "conversations").withColumn("words", text.normalise_words(F.col("text")))
+    ready = read_texts(spark, folder, "conversations").withColumn("words", text.normalise_words(F.col("text")))
     return ready.withColumns(outcomes.outcome_flags(F.col("words"), OUTCOME)).select(
         "conv_id", "turn", "hesitates", "closed", "follow_up", "closing_hint"
     )
@@ -284,7 +284,7 @@ RULE_SQL = """CASE WHEN hesitates AND follow_up THEN 'regla_seguimiento_a_pesar_
     f"WITH {MESSAGES}, {FLAGS_SQL} SELECT conv_id, turn, {OUTCOME_SQL} AS outcome_score, {RULE_SQL} AS outcome_rule FROM f",
 )
 def outcome_rules(spark, folder):
-    ready = read_table(spark, folder, "conversations").withColumn("words", text.normalise_words(F.col("text")))
+    ready = read_texts(spark, folder, "conversations").withColumn("words", text.normalise_words(F.col("text")))
     flagged = ready.withColumns(outcomes.outcome_flags(F.col("words"), OUTCOME))
     flags = {k: F.col(k) for k in ("hesitates", "closed", "follow_up", "closing_hint")}
     return flagged.withColumns(outcomes.outcome_score(flags)).select("conv_id", "turn", "outcome_score", "outcome_rule")
@@ -301,7 +301,7 @@ CALLS_SQL = f"""WITH {MESSAGES}, {FLAGS_SQL}, c AS (SELECT *, {counts_sql(altern
 
 
 def sales_calls(spark: SparkSession, folder: str) -> DataFrame:
-    messages = read_table(spark, folder, "conversations")
+    messages = read_texts(spark, folder, "conversations")
     name = F.concat(
         F.lit("+57300"), F.lpad(F.col("conv_id").cast("string"), 7, "0"), F.lit(" by "), F.col("role"),
         F.lit("_"), F.col("turn").cast("string"), F.lit("@example.com call.txt"),
@@ -354,7 +354,7 @@ TURNS_SQL = f"""{SEGMENTS}, lines AS (SELECT conv_id, segment, unnest(ls) AS lin
 
 
 def segments(spark: SparkSession, folder: str) -> DataFrame:
-    messages = read_table(spark, folder, "conversations")
+    messages = read_texts(spark, folder, "conversations")
     return evaluate.transcript_segments(messages, "conv_id", "turn", "role", "text")
 
 

@@ -16,7 +16,7 @@ from verdin.operators import columns, trends
 from verdin.plans.registry import query
 from verdin.plans.scoring import rounded
 from verdin.plans.texts import POST_STOPS
-from verdin.session import read_table, scratch_path
+from verdin.session import read_table, read_texts, scratch_path
 from verdin.sources import staged
 
 
@@ -123,7 +123,7 @@ def origin_host(spark, folder):
 
 
 def posts(spark: SparkSession, folder: str) -> DataFrame:
-    return read_table(spark, folder, "documents").select(
+    return read_texts(spark, folder, "documents").select(
         F.when(F.col("lang") != "de", F.concat(F.lit("https://www."), F.col("source"), F.lit(".example.com/x")))
         .otherwise(F.col("source"))
         .alias("origin"),

@@ -30,6 +30,21 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores when the input has fewer splits than there are cores.
+
+    Text work costs far more than moving a small input. An input with at least
+    as many splits as cores is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+def read_texts(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table with long texts, spread over the cores."""
+    return spread(read_table(spark, folder, name))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The reliable folder the session names for checkpoints.
 

@@ -9,7 +9,7 @@ from verdin.functions import parsers, transcripts
 from verdin.operators import joins, matching, ranking
 from verdin.plans.registry import query
 from verdin.session import read_table, scratch_path
-from verdin.sources import landing, readers
+from verdin.sources import landing, readers, staged
 
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
@@ -340,7 +340,7 @@ def target_keys(spark, folder):
 def partitioned_output(spark, folder):
     path = scratch_path(spark, "landed")
     rows = read_table(spark, folder, "documents").select(F.col("lang").alias("role"), F.col("source").alias("owner"), "doc_id")
-    rows.repartition("role", "owner").write.partitionBy("role", "owner").parquet(path)
+    staged.write_partitioned(rows, path, ["role", "owner"])
     landed = spark.read.parquet(path).where(F.col("owner").isin("src1", "src2"))
     return landed.groupBy("role", "owner").agg(F.count(F.lit(1)).alias("n"))
 

@@ -66,6 +66,11 @@ def write_delimited(df: DataFrame, path: str, compress: bool = False) -> None:
     df.write.mode("overwrite").option("header", True).option("compression", "gzip" if compress else "none").csv(path)
 
 
+def write_partitioned(df: DataFrame, path: str, by: list[str]) -> None:
+    """Folders per value; Spark sizes the files and splits a value that holds many rows."""
+    df.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(path)
+
+
 def write_report(df: DataFrame, path: str) -> None:
     """Metrics as JSON lines."""
     df.write.mode("overwrite").json(path)

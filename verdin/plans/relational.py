@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verdin.functions import dates
-from verdin.operators import columns, features, joins, periods, ranking
+from verdin.operators import columns, features, joins, kpi, periods, ranking, students
 from verdin.plans.registry import query
 from verdin.plans.scoring import rounded
 from verdin.session import read_table, scratch_path
@@ -538,8 +538,6 @@ def cardinality(spark, folder):
            round(count(*) FILTER (done) + sum(p) FILTER (NOT done), 4) AS projected FROM t""",
 )
 def projection(spark, folder):
-    from verdin.operators import kpi
-
     p = F.col("o_totalprice") / (F.col("o_totalprice") + 100000.0)
     rows = read_table(spark, folder, "orders").withColumn("p", p)
     return rounded(kpi.projection(rows, F.col("o_orderstatus") == "F"), 4)
@@ -716,3 +714,54 @@ def enrolment_base(spark, folder):
         ["place"],
         "novelty",
     )
+
+
+# ---------------------------------------------------------------- the student base
+@query(
+    "student_base",
+    """WITH last AS (SELECT o_custkey, max(o_orderdate) AS d FROM orders WHERE o_orderdate < TIMESTAMP '2001-01-01' GROUP BY 1),
+    ap AS (SELECT l_orderkey, count(*) AS enrolled, count(*) FILTER (l_returnflag = 'A') AS approved FROM lineitem GROUP BY 1),
+    gr AS (SELECT l_orderkey, l_partkey AS subject, l_quantity AS grade FROM lineitem WHERE l_discount > 0.07),
+    tk AS (SELECT user_id, count(*) AS tickets FROM events GROUP BY 1),
+    b AS (SELECT o.*, ap.enrolled, ap.approved, c.c_mktsegment, c.c_name, n.n_name, gr.subject, gr.grade, tk.tickets
+      FROM orders o JOIN last ON last.o_custkey = o.o_custkey AND last.d = o.o_orderdate JOIN ap ON ap.l_orderkey = o.o_orderkey
+      LEFT JOIN customer c ON c.c_custkey = o.o_custkey LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
+      LEFT JOIN gr ON gr.l_orderkey = o.o_orderkey LEFT JOIN tk ON tk.user_id = o.o_custkey)
+    SELECT o_orderkey, o_custkey, subject, grade, enrolled, approved, CAST(date_sub('year', CAST(o_orderdate AS DATE), DATE '2001-12-31') AS INT) AS age,
+      CASE WHEN c_mktsegment = 'BUILDING' THEN 'NO TRABAJA' ELSE 'TRABAJA' END AS works, CAST(o_orderstatus = 'F' AS INT) AS status,
+      CASE o_orderpriority WHEN '1-URGENT' THEN 'Presencial' WHEN '2-HIGH' THEN 'Virtual' ELSE o_orderpriority END AS modality,
+      CASE WHEN o_orderstatus = 'F' THEN 'PAGO' ELSE 'NO' END AS payment_state, CAST(DATE '2001-12-31' - CAST(o_orderdate AS DATE) AS INT) AS days_since_access,
+      CASE WHEN grade IS NOT NULL THEN 'ACTIVO' ELSE o_orderpriority END AS lms_state, CASE WHEN grade IS NOT NULL THEN 'SI' ELSE 'NO' END AS schedule,
+      CASE WHEN o_totalprice > 250000 THEN 'SI' ELSE 'NO' END AS mail, CASE WHEN n_name = 'NATION_1' THEN 'FIRST NATION' ELSE n_name END AS region,
+      coalesce(tickets, 0) AS tickets, 'NUEVO' AS student_state FROM b""",
+)
+def student_base(spark, folder):
+    lines = read_table(spark, folder, "lineitem")
+    approvals = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.count(F.lit(1)).alias("enrolled"), F.count_if(F.col("l_returnflag") == "A").alias("approved")
+    )
+    people = read_table(spark, folder, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
+    nations = read_table(spark, folder, "nation").select("n_nationkey", F.initcap("n_name").alias("region"))
+    grades = lines.where("l_discount > 0.07").select("l_orderkey", F.col("l_partkey").alias("subject"), F.col("l_quantity").alias("grade"))
+    tickets = read_table(spark, folder, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("tickets"))
+    base = students.student_base(
+        read_table(spark, folder, "orders"), "o_custkey", "o_orderdate", F.lit("2001-01-01").cast("timestamp_ntz"), approvals, ["o_orderkey"],
+        [
+            (people, {"o_custkey": "c_custkey"}), (nations, {"c_nationkey": "n_nationkey"}),
+            (grades, {"o_orderkey": "l_orderkey"}), (tickets, {"o_custkey": "user_id"}),
+        ],
+    )
+    named = base.select(
+        "o_orderkey", "o_custkey", "subject", "grade", "enrolled", "approved", "region", "tickets",
+        F.col("o_orderdate").alias("birth_date"),
+        F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_mktsegment")).otherwise(F.lit(" ")).alias("company"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("gone")).otherwise(F.col("o_orderstatus")).alias("status"),
+        F.lit("Nuevo - Homologado").alias("student_state"),
+        columns.recode(F.col("o_orderpriority"), {"1-URGENT": "Presencial Fin De Semana", "2-HIGH": "No Presencial"}).alias("modality"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("PAGO")).alias("payment_state"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("last_access"),
+        F.col("o_orderpriority").alias("lms_state"), F.lit("").alias("schedule"),
+        F.when(F.col("o_totalprice") > 250000, F.lit("SI")).alias("mail"),
+    )
+    cleaned = students.clean_students(named, AS_OF, "gone", {"region": {"NATION_1": "FIRST NATION"}}, ["tickets"])
+    return cleaned.drop("birth_date", "company", "last_access")

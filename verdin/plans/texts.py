@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verdin.functions import labels, outcomes, parsers, phrases, text, transcripts
-from verdin.operators import classify, evaluate
+from verdin.operators import classify, evaluate, listening
 from verdin.plans.registry import query
 from verdin.plans.scoring import rounded
 from verdin.session import read_table, read_texts, scratch_path
@@ -534,14 +534,7 @@ def polarity_and_tone(spark, folder):
 def product_ranking(spark, folder):
     answer = F.when(F.col("source").isin("src1", "src2"), F.lit(' "N/A".')).otherwise(F.concat(F.lit(" "), F.upper("source"), F.lit(".")))
     tidy = documents(spark, folder).select(labels.product(answer).alias("product"))
-    return rank_products(tidy, "product")
-
-
-def rank_products(df: DataFrame, column: str, n: int = 60) -> DataFrame:
-    own = F.lower(F.trim(F.col(column)))
-    named = df.select(own.alias("product")).where(~F.col("product").isin(*labels.NO_RANK))
-    counts = named.groupBy("product").agg(F.count(F.lit(1)).alias("mentions"))
-    return counts.orderBy(F.desc("mentions"), F.asc("product")).limit(n)
+    return listening.rank_products(tidy)
 
 
 @query(
@@ -586,3 +579,33 @@ def answer_cache(spark, folder):
         classify.cache_misses(keyed, cache, "text"), "text", _rule_classifier, "kind STRING", {"kind": "unknown"}
     )
     return classify.with_answers(keyed, cache, fresh, ["kind"]).select("doc_id", "kind", "from_cache")
+
+
+TOP_WORDS_SQL = f"""t AS (SELECT doc_id, unnest(toks) AS w, generate_subscripts(toks, 1) AS i
+      FROM (SELECT doc_id, regexp_extract_all(lower(text), '[a-záéíóúñ]{{3,}}') AS toks FROM documents)),
+    cw AS (SELECT doc_id, w, count(*) AS n, min(i) AS i FROM t WHERE w NOT IN ({COMMENT_STOPS}) GROUP BY 1, 2),
+    rw AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, i) AS k FROM cw),
+    kw AS (SELECT doc_id, string_agg(w, ', ' ORDER BY k) AS keywords FROM rw WHERE k <= 5 GROUP BY 1)"""
+
+
+@query(
+    "listening_table",
+    f"""WITH {TOP_WORDS_SQL}, y AS ({TIDY_SQL})
+    SELECT CAST(d.doc_id AS VARCHAR) AS comment_id, d.source AS post, d.text AS comment,
+      TIMESTAMP '2024-01-01' + to_days(CAST(d.doc_id % 60 AS INT)) AS moment, CAST(NULL AS VARCHAR) AS origin,
+      y.sentiment, y.kind, y.topic, y.class, y.reason, 'becas' AS post_topic, 'otro' AS post_class,
+      CAST(2024 AS INT) AS year, CAST(month(DATE '2024-01-01' + CAST(d.doc_id % 60 AS INT)) AS INT) AS month,
+      CAST(week(DATE '2024-01-01' + CAST(d.doc_id % 60 AS INT)) AS INT) AS week, CAST(isodow(DATE '2024-01-01' + CAST(d.doc_id % 60 AS INT)) - 1 AS INT) AS weekday,
+      CASE sentiment WHEN 'gratitud_alegria' THEN 1.0 WHEN 'tristeza' THEN -0.5 ELSE 0.0 END::DOUBLE AS polarity,
+      CASE sentiment WHEN 'gratitud_alegria' THEN 'positiva' WHEN 'tristeza' THEN 'negativa' ELSE 'neutral' END AS tone, kw.keywords
+    FROM documents d JOIN y ON y.doc_id = d.doc_id LEFT JOIN kw ON kw.doc_id = d.doc_id""",
+)
+def listening_table(spark, folder):
+    day = F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("doc_id") % 60).cast("int")).cast("timestamp_ntz")
+    about = F.struct(F.lit("Becas").alias("topic"), F.lit(None).cast("string").alias("class"), F.lit("x").alias("product"))
+    sources = read_table(spark, folder, "documents").select("doc_id", F.col("source").alias("post"))
+    comments = raw_answers(spark, folder).join(sources, "doc_id").select(
+        F.col("doc_id").cast("string").alias("comment_id"), F.col("text").alias("comment"), "post", day.alias("moment"), "answer",
+        about.alias("post_answer"),
+    )
+    return listening.listening_tables(comments)["table"]

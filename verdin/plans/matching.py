@@ -41,7 +41,6 @@ def job_name(spark, folder):
     return pages(spark, folder).select("page_id", parsers.job_name(F.col("url"), "20240301-120000").alias("job"))
 
 
-NAME_SQL = "'+57300' || lpad(CAST(page_id AS VARCHAR), 7, '0') || ' by ana_' || page_id || '-de  lugo@example.com ' || page_id || '.' || (page_id * 7) || '.txt'"
 
 
 @query(

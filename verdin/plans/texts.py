@@ -8,7 +8,7 @@ import unicodedata
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdin.functions import labels, outcomes, parsers, phrases, text, transcripts
+from verdin.functions import labels, outcomes, phrases, text, transcripts
 from verdin.operators import classify, evaluate, listening
 from verdin.plans.registry import query
 from verdin.plans.scoring import rounded

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from verdin.llm import simhash
+from verdin.llm import mixing, repetition, simhash, tokens
 from verdin.llm.registry import QUERIES, TWINS, query
 from verdin.session import read_table
 
@@ -14,3 +15,18 @@ __all__ = ["QUERIES", "TWINS"]
 @query("op1_simhash")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, folder, "documents"))
+
+
+@query("op4_mixing")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixed(read_table(spark, folder, "documents"))
+
+
+@query("op6_token_output")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return tokens.token_output(read_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+
+
+@query("op8_quality_rules")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return repetition.judged(read_table(spark, folder, "documents"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from verdin.llm import mixing, repetition, simhash, tokens
+from verdin.llm import decontamination, mixing, repetition, simhash, tokens, urls
 from verdin.llm.registry import QUERIES, TWINS, query
 from verdin.session import read_table
 
@@ -30,3 +30,13 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_quality_rules")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return repetition.judged(read_table(spark, folder, "documents"))
+
+
+@query("op3_decontamination")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.report(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
+@query("op5_url_filter")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judged(read_table(spark, folder, "pages"))

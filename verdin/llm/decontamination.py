@@ -21,6 +21,8 @@ Q = 8
 ERRORS = 0.1
 LEAST_CHARS = 40
 BLOCK_CHARS = 4_000_000
+PORTION_CHARS = 500_000
+NO_CHAR = 0x110000  # stands between texts and matches nothing
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SPREAD = np.uint64(0xD6E8FEB86659FD93)
 SCHEMA = "doc_id long, item_ids array<long>, edits array<int>, starts array<long>, ends array<long>"
@@ -55,34 +57,38 @@ def budget(length: int, q: int = Q, errors: float = ERRORS) -> tuple[int, int]:
     return edits, length - q + 1 - edits * q
 
 
-def banded(item: np.ndarray, text: np.ndarray, low: int, high: int, edits: int) -> tuple[int, int, int] | None:
+def banded(item: np.ndarray, text: np.ndarray, low: int, high: int, edits: int, places: bool = False) -> tuple[int, int, int] | None:
     """Best alignment of the whole item on diagonals ``low`` to ``high``: edits, start and end in the text.
 
     Null above ``edits``. Row i of the table holds the edits for the item's
-    first i characters ending on each diagonal; a second table carries where
-    the alignment began.
+    first i characters ending on each diagonal. Places before and after the text
+    match nothing. The start is known only with ``places``, which carries along
+    where each alignment began.
     """
     width, n = high - low + 1, len(text)
     lane = np.arange(width)
-    far = 1 << 20
-    cost = np.where((lane + low >= 0) & (lane + low <= n), 0, far)
-    begin = lane + low
-    padded = np.concatenate((text.astype(np.int64), [-1]))
-    for i, char in enumerate(item):
-        place = i + low + lane  # character of the text that this diagonal meets
-        inside = (place >= 0) & (place < n)
-        match = cost + np.where(inside, padded[np.clip(place, 0, n)] != char, far)
-        skip = np.append(cost[1:] + 1, far)  # the item's character has no partner
-        best = np.minimum(match, skip)
-        origin = np.where(match <= skip, begin, np.append(begin[1:], 0))
+    window = np.full(width + len(item), -1, dtype=np.int64)
+    first, last = max(0, low), min(n, low + len(window))
+    if first < last:
+        window[first - low : last - low] = text[first:last]
+    cost, below, begin = np.zeros(width, dtype=np.int64), np.full(width, 1 << 20), lane + low
+    for i, char in enumerate(item.tolist()):
+        match = cost + (window[i : i + width] != char)
+        below[:-1] = cost[1:]  # the item's character has no partner
+        best = np.minimum(match, below + 1)
         run = best - lane  # characters of the text without partner, from the left
-        least = np.minimum.accumulate(run)
-        source = np.maximum.accumulate(np.where(run == least, lane, 0))
-        cost, begin = least + lane, origin[source]
-        if cost.min() > edits:
+        cost = np.minimum.accumulate(run) + lane
+        if places:
+            origin = np.where(match <= below + 1, begin, np.append(begin[1:], 0))
+            begin = origin[np.maximum.accumulate(np.where(best == cost, lane, 0))]
+        if not i & 7 and cost.min() > edits:
             return None
     end = int(np.argmin(cost))
-    return int(cost[end]), int(begin[end]), len(item) + low + end
+    if cost[end] > edits:
+        return None
+    if not places:
+        return banded(item, text, low, high, edits, places=True)
+    return int(cost[end]), max(0, int(begin[end])), min(n, len(item) + low + end)
 
 
 class Index:
@@ -92,6 +98,8 @@ class Index:
         self.q, self.ids = q, [name for name, _ in items]
         self.texts = [text for _, text in items]
         self.codes = [codes_of(text) for text in self.texts]
+        self.reach = 2 * max(map(len, self.codes))
+        self.cells = (1 << 20) - 1
         limits = [budget(len(codes), q, errors) for codes in self.codes]
         self.edits = np.array([one[0] for one in limits], dtype=np.int64)
         self.needed = np.array([one[1] for one in limits], dtype=np.int64)
@@ -122,40 +130,63 @@ class Index:
         rank = np.minimum(np.searchsorted(self.hashes, hashes[at]), len(self.hashes) - 1)
         equal = self.hashes[rank] == hashes[at]
         at, rank = at[equal], rank[equal]
-        if not len(at):
-            return nothing, nothing
         number = self.first[rank + 1] - self.first[rank]
-        entry = np.repeat(self.first[rank], number) + np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
-        item = self.owner[entry]
-        diagonal = np.repeat(at, number) - self.place[entry]
+        entry = np.repeat(self.first[rank] - (np.cumsum(number) - number), number) + np.arange(number.sum())
+        item, diagonal = self.owner[entry], np.repeat(at, number) - self.place[entry]
+        # counts over coarse stretches first: every band lies within one of them; cells that share a
+        # counter only count too much
+        coarse = (diagonal + self.reach) // self.reach
+        cell = (item * 1_000_003 + coarse * 2) & self.cells
+        counted = np.bincount(cell, minlength=self.cells + 1)
+        both = counted[cell] + np.maximum(counted[cell + 2 & self.cells], counted[cell - 2 & self.cells])
+        keep = both >= self.needed[item]
+        item, diagonal, entry = item[keep], diagonal[keep], entry[keep]
+        if not len(item):
+            return nothing, nothing
         # bands start at every multiple of edits + 1; each hit lies in two
         band = diagonal // (self.edits[item] + 1)
-        offset = int(-band.min()) + 1
-        span = int(band.max()) + offset + 2
+        offset = 1 - int(band.min())
+        span = int(band.max()) + offset + 1
         key = np.concatenate((item * span + band + offset, item * span + band + offset - 1))
-        found, count = np.unique(key, return_counts=True)
-        item, band = found // span, found % span - offset
-        enough = count >= self.needed[item]
-        return item[enough], band[enough]
+        found, inverse, count = np.unique(key, return_inverse=True, return_counts=True)
+        enough = count >= self.needed[found // span]
+        # of a q-gram of the item, one partner in the band counts
+        chosen = enough[inverse]
+        pairs = np.unique(inverse[chosen] * len(self.place) + np.concatenate((entry, entry))[chosen])
+        count = np.bincount(pairs // len(self.place), minlength=len(found))
+        found = found[count >= self.needed[found // span]]
+        return found // span, found % span - offset
 
     def verify(self, item: int, band: int, codes: np.ndarray) -> tuple[int, int, int] | None:
-        edits = int(self.edits[item])
-        low = band * (edits + 1) - edits
-        return banded(self.codes[item], codes, low, low + 4 * edits + 1, edits)
-
-    def search(self, text: str) -> list[tuple[int, int, int, int]]:
-        """Item, edits, start and end of the best occurrence of every item in a normalised text."""
-        codes = codes_of(text)
-        item, band = self.candidates(codes)
-        found: dict[int, tuple[int, int, int]] = {}
-        for i, b in zip(item.tolist(), band.tolist(), strict=True):
-            if i in found and found[i][0] == 0:
-                continue
-            at = text.find(self.texts[i])
-            best = (0, at, at + len(self.texts[i])) if at >= 0 else self.verify(i, b, codes)
-            if best and (i not in found or best < found[i]):
-                found[i] = best
-        return [(self.ids[i], *found[i]) for i in sorted(found)]
+        """Edits, start and end in the band: an exact occurrence is seen at once, others are aligned."""
+        edits, wanted = int(self.edits[item]), self.codes[item]
+        low = band * (edits + 1)
+        near = codes[max(0, low) : low + 2 * edits + 2 + len(wanted)]
+        if len(near) >= len(wanted):
+            whole = np.flatnonzero((np.lib.stride_tricks.sliding_window_view(near, len(wanted)) == wanted).all(axis=1))
+            if len(whole):
+                start = max(0, low) + int(whole[0])
+                return 0, start, start + len(wanted)
+        return banded(wanted, codes, low - edits, low + 3 * edits + 1, edits)
+
+    def search(self, texts: list[str]) -> list[list[tuple[int, int, int, int]]]:
+        """Per normalised text: item, edits, start and end of the best occurrence of every item found."""
+        runs = [codes_of(text) for text in texts]
+        starts = np.cumsum([0, *[len(run) + 1 for run in runs]])
+        codes = np.full(starts[-1], NO_CHAR, dtype=np.uint32)
+        for start, run in zip(starts.tolist(), runs, strict=False):
+            codes[start : start + len(run)] = run
+        found: dict[tuple[int, int], tuple[int, int, int]] = {}
+        for item, band in zip(*map(np.ndarray.tolist, self.candidates(codes)), strict=True):
+            best = self.verify(item, band, codes)
+            if best:
+                key = int(np.searchsorted(starts, best[2] - 1, side="right")) - 1, item
+                found[key] = min(best, found.get(key, best))
+        out: list[list[tuple[int, int, int, int]]] = [[] for _ in texts]
+        for (text, item), (edits, start, end) in sorted(found.items()):
+            first = int(starts[text])
+            out[text].append((self.ids[item], edits, max(0, start - first), end - first))
+        return out
 
 
 def _blocks(benchmark: DataFrame, q: int, least: int, block_chars: int) -> Iterator[list[tuple[int, str]]]:
@@ -195,15 +226,28 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, q: int = Q, errors: float
     return out
 
 
+def _portions(batch: pa.RecordBatch) -> Iterator[tuple[list[int], list[str]]]:
+    keys, texts, size = [], [], 0
+    for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        keys.append(key)
+        texts.append(normal(text))
+        size += len(texts[-1])
+        if size >= PORTION_CHARS:
+            yield keys, texts
+            keys, texts, size = [], [], 0
+    if keys:
+        yield keys, texts
+
+
 def _searcher(shared, q: int, errors: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index(shared.value, q, errors)
         for batch in batches:
             rows = []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found = index.search(normal(text))
-                if found:
-                    rows.append((key, *map(list, zip(*found, strict=True))))
+            for keys, texts in _portions(batch):
+                for key, found in zip(keys, index.search(texts), strict=True):
+                    if found:
+                        rows.append((key, *map(list, zip(*found, strict=True))))
             if rows:
                 types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())]
                 arrays = [pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), types, strict=True)]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from verdin.llm import decontamination, mixing, repetition, simhash, tokens, urls
+from verdin.llm import decontamination, mixing, repetition, simhash, tokens, toxicity, urls
 from verdin.llm.registry import QUERIES, TWINS, query
 from verdin.session import read_table
 
@@ -40,3 +40,8 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_url_filter")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judged(read_table(spark, folder, "pages"))
+
+
+@query("op2_toxicity")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.scored(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))

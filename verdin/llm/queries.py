@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from verdin.llm import decontamination, mixing, repetition, simhash, tokens, toxicity, urls
+from verdin.llm import decontamination, mixing, repetition, simhash, suffixes, tokens, toxicity, urls
 from verdin.llm.registry import QUERIES, TWINS, query
 from verdin.session import read_table
 
@@ -45,3 +45,8 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_toxicity")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.scored(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+
+
+@query("op7_suffix_dedup")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.deduplicated(read_table(spark, folder, "documents"))

@@ -19,10 +19,12 @@ and segments ascend with ``doc_id``.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +39,8 @@ from verdin.session import scratch_path
 HEAD = struct.Struct("<4sB3xIQI")
 BLOCK_IDS = 1 << 16
 SEGMENT_IDS = 1 << 20
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 500_000
+_LETTERS_AND_MARKS = re.compile(rb"([A-Za-z\x80-\xff]+)([!-&(-/:-@\[-`{-~]*)")  # marks: ASCII ones but the apostrophe
 SCHEMA = "shard int, segment int, n_ids long, doc_ids array<long>, lengths array<long>, payload binary"
 
 
@@ -46,9 +49,10 @@ class Encoder:
 
     The tokenizers library does all encoding. A text is cut at ASCII white
     space, which no pre-token of a white-space-dropping tokenizer crosses, so
-    the ids of a text are those of its words in a row. A word of ASCII letters
-    with one closing mark is kept as two entries, in lower case if the
-    tokenizer lower-cases. The memory starts anew when it is full.
+    the ids of a text are those of its words in a row. Words of letters with
+    closing marks are encoded as two parts, in lower case, where the tokenizer
+    treats both alike (``probe``), and many new parts are encoded in one text
+    where the vocabulary marks the end of a word. Full memories start anew.
     """
 
     def __init__(self, path: str) -> None:
@@ -56,21 +60,54 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        same = self.ids([b"Ab", b"ab", b"ab.", b"."])
-        self.lowers = same[0] == same[1]
-        self.splits = same[2] == same[1] + same[3]
-        self.known: dict[bytes, bytes] = {}
-
-    def ids(self, words: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch([word.decode() for word in words], add_special_tokens=False)
+        names = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(names.values(), default=0) + 1, dtype=bool)
+        self.ends[[number for name, number in names.items() if name.endswith("</w>")]] = True
+        self.lowers, self.splits = self.probe()
+        self.words: dict[bytes, bytes] = {}
+        self.parts: dict[bytes, bytes] = {b"": b""}
+
+    def single(self, words: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch(words, add_special_tokens=False)
         return [np.array(one.ids, dtype="<u4").tobytes() for one in found]
 
-    def core(self, word: bytes) -> tuple[bytes, bytes]:
-        """What is encoded of a word, and its closing mark."""
-        stem, mark = (word[:-1], word[-1:]) if self.splits and word[-1:] in b".,;:!?" else (word, b"")
-        if not stem.isalpha():  # bytes: ASCII letters only
+    def probe(self) -> tuple[bool, bool]:
+        """Whether case is dropped, and whether closing marks are tokens of their own."""
+        upper, lower, both, mark = self.single(["ÉAb", "éab", "éab.%", ".%"])
+        return upper == lower, both == lower + mark
+
+    def split(self, word: bytes) -> tuple[bytes, bytes]:
+        """The part of letters and the closing marks; other words stay whole."""
+        match = _LETTERS_AND_MARKS.fullmatch(word) if self.splits else None
+        if match is None:
+            return word, b""
+        stem, marks = match.groups()
+        if stem.isalpha():  # bytes: ASCII letters only
+            return stem.lower() if self.lowers else stem, marks
+        text = stem.decode()
+        lower = text.lower() if self.lowers else text
+        plain = text.isalpha() and lower.isalpha() and is_normalized("NFC", text) and is_normalized("NFC", lower)
+        if not plain or any(char in "Σİ" for char in text):  # their lower case depends on the place or takes two characters
             return word, b""
-        return (stem.lower() if self.lowers else stem), mark
+        return lower.encode(), marks
+
+    def learn(self, parts: list[bytes]) -> None:
+        """Encode new parts: words of letters many at a time, others alone."""
+        texts = [part.decode() for part in parts]
+        plain = [k for k, text in enumerate(texts) if text.isalpha()] if self.splits and self.ends.any() else []
+        alone = set(range(len(parts))).difference(plain)
+        portions = [plain[k : k + 200] for k in range(0, len(plain), 200)]
+        found = self.single([" ".join(texts[k] for k in portion) for portion in portions])
+        for portion, data in zip(portions, found, strict=True):
+            cuts = (np.flatnonzero(self.ends[np.frombuffer(data, dtype="<u4")]) + 1) * 4
+            if len(cuts) != len(portion):
+                alone.update(portion)
+                continue
+            for k, start, end in zip(portion, [0, *cuts.tolist()], cuts.tolist(), strict=False):
+                self.parts[parts[k]] = data[start:end]
+        rest = sorted(alone)
+        for k, data in zip(rest, self.single([texts[k] for k in rest]), strict=True):
+            self.parts[parts[k]] = data
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -84,18 +121,16 @@ class Encoder:
         yield from self._encoded(portion)
 
     def _encoded(self, portion: list[list[bytes]]) -> Iterator[bytes]:
-        if len(self.known) > KNOWN_WORDS:
-            self.known.clear()
-        known = self.known
-        new = {word for words in portion for word in words if word not in known}
-        cores = {word: self.core(word) for word in new}
-        parts = [part for part in {part for pair in cores.values() for part in pair if part} if part not in known]
-        known.update(zip(parts, self.ids(parts), strict=True))
-        for word, (stem, mark) in cores.items():
-            if stem != word:
-                known[word] = known[stem] + (known[mark] if mark else b"")
-        for words in portion:
-            yield b"".join([known[word] for word in words])
+        if len(self.words) > KNOWN_WORDS:
+            self.words.clear()
+        if len(self.parts) > KNOWN_WORDS:
+            self.parts = {b"": b""}
+        words, parts = self.words, self.parts
+        new = {word: self.split(word) for words_ in portion for word in words_ if word not in words}
+        self.learn(list({part for pair in new.values() for part in pair if part not in parts}))
+        words.update((word, parts[stem] + parts[marks]) for word, (stem, marks) in new.items())
+        for words_ in portion:
+            yield b"".join([words[word] for word in words_])
 
 
 @lru_cache(maxsize=2)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from verdin.llm import decontamination, mixing, repetition, simhash, suffixes, tokens, toxicity, urls
+from verdin.llm import decontamination, mixing, pseudonyms, repetition, simhash, suffixes, tokens, toxicity, urls
 from verdin.llm.registry import QUERIES, TWINS, query
 from verdin.session import read_table
 
@@ -50,3 +50,9 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_suffix_dedup")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return suffixes.deduplicated(read_table(spark, folder, "documents"))
+
+
+@query("op10_pseudonyms")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read_table(spark, folder, "documents").select("doc_id", "text")
+    return pseudonyms.pseudonymised(documents)

@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from verdin.llm.frames import keep_rows
+
 Q = 8
 ERRORS = 0.1
 LEAST_CHARS = 40
@@ -226,17 +228,17 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, q: int = Q, errors: float
     return out
 
 
-def _portions(batch: pa.RecordBatch) -> Iterator[tuple[list[int], list[str]]]:
-    keys, texts, size = [], [], 0
-    for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-        keys.append(key)
-        texts.append(normal(text))
-        size += len(texts[-1])
+def _portions(texts: list[str]) -> Iterator[list[str]]:
+    """The normalised texts in portions of bounded size."""
+    held, size = [], 0
+    for text in texts:
+        held.append(normal(text))
+        size += len(held[-1])
         if size >= PORTION_CHARS:
-            yield keys, texts
-            keys, texts, size = [], [], 0
-    if keys:
-        yield keys, texts
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 def _searcher(shared, q: int, errors: float):
@@ -244,10 +246,10 @@ def _searcher(shared, q: int, errors: float):
         index = Index(shared.value, q, errors)
         for batch in batches:
             rows = []
-            for keys, texts in _portions(batch):
-                for key, found in zip(keys, index.search(texts), strict=True):
-                    if found:
-                        rows.append((key, *map(list, zip(*found, strict=True))))
+            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for key, found in zip(keys, (found for portion in _portions(texts) for found in index.search(portion)), strict=True):
+                if found:
+                    rows.append((key, *map(list, zip(*found, strict=True))))
             if rows:
                 types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())]
                 arrays = [pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), types, strict=True)]
@@ -281,7 +283,20 @@ def report(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
     )
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
-    """``docs`` without the documents that contain a benchmark item; all columns stay."""
-    found = occurrences(docs, benchmark, **settings).select(F.col("doc_id").alias("_found")).distinct()
-    return docs.join(found, docs.doc_id.eqNullSafe(found._found), "left_anti")
+def clean(docs: DataFrame, benchmark: DataFrame, q: int = Q, errors: float = ERRORS, least: int = LEAST_CHARS, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """``docs`` without the rows that contain a benchmark item; all columns stay."""
+    for items in _blocks(benchmark, q, least, block_chars):
+        shared = docs.sparkSession.sparkContext.broadcast(items)
+        docs = keep_rows(docs, _cleaner(shared, q, errors), binary=False)
+    return docs
+
+
+def _cleaner(shared, q: int, errors: float):
+    built: list[Index] = []
+
+    def chosen(texts: list[str]) -> list[bool]:
+        if not built:
+            built.append(Index(shared.value, q, errors))
+        return [not found for portion in _portions(texts) for found in built[0].search(portion)]
+
+    return chosen

@@ -18,16 +18,20 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [value or b"" for value in column.cast(pa.binary()).to_pylist()]
 
 
-def map_rows(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """``mapInArrow`` with a function of one batch."""
+def keep_rows(df: DataFrame, chosen: Callable[[list[str | bytes]], list[bool]], column: str = "text", binary: bool = True) -> DataFrame:
+    """Rows of ``df`` whose texts ``chosen`` keeps, all columns as they are.
+
+    Made as a filter inside the rows' own partitions: no key is needed, repeated rows and null ids are judged one by one.
+    """
+    place = df.columns.index(column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = function(batch)
-            if out is not None and out.num_rows:
-                yield out
+            texts = batch.column(place)
+            texts = text_bytes(texts) if binary else [text or "" for text in texts.to_pylist()]
+            yield batch.filter(pa.array(chosen(texts), pa.bool_()))
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(run, df.schema)
 
 
 def word_count(text: Column) -> Column:
@@ -41,4 +45,4 @@ def lower_ascii(value: Column) -> Column:
     return F.translate(value, letters, letters.lower())
 
 
-__all__ = ["WORD", "lower_ascii", "map_rows", "pinned", "text_bytes", "word_count"]
+__all__ = ["WORD", "keep_rows", "lower_ascii", "pinned", "text_bytes", "word_count"]

@@ -169,3 +169,12 @@ def mixed(
         .select("doc_id", "d.source", "size", "source_size", "target", (F.col("base") + F.col("extra")).alias("copies"))
         .withColumn("taken", F.col("copies") * F.col("size"))
     )
+
+
+def mixture(docs: DataFrame, **settings) -> DataFrame:
+    """The rows of ``docs`` as the mix takes them: left out, once, or repeated; all columns stay."""
+    chosen = mixed(docs, **settings).where("copies > 0").groupBy("doc_id", "source").agg(F.max("copies").alias("_copies"))
+    chosen = chosen.select(F.col("doc_id").alias("_doc_id"), F.col("source").alias("_source"), "_copies")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id")) & F.col("source").cast("string").eqNullSafe(F.col("_source"))
+    rows = docs.join(chosen, same).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies")))
+    return rows.select(*[F.col(f"`{name}`") for name in docs.columns])

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from verdin.llm.frames import text_bytes
+from verdin.llm.frames import keep_rows, text_bytes
 
 #: Words of a repeat that counts, the share of a text that such repeats may cover, and the longest one allowed.
 MIN_REPEAT = 8
@@ -154,3 +154,13 @@ def judged(docs: DataFrame, least: int = MIN_REPEAT, max_covered: float = MAX_CO
     """
     failed = base_failed()
     return measured(docs, least).withColumns({"base_failed": failed, "kept": ~failed & passes(max_covered, max_longest)})
+
+
+def kept(docs: DataFrame, least: int = MIN_REPEAT, max_covered: float = MAX_COVERED, max_longest: int = MAX_LONGEST) -> DataFrame:
+    """``docs`` without the rows that ``judged`` rejects; all columns stay."""
+
+    def good(data: bytes) -> bool:
+        n, _, _, _, repeated, _, covered, longest = measure(data, least)
+        return n >= 50 and 100 * repeated <= 50 * n and covered <= max_covered * n and longest <= max_longest
+
+    return keep_rows(docs, lambda texts: [good(data) for data in texts])

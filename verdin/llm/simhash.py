@@ -197,3 +197,185 @@ def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
         marked.join(rooted.join(heads, "root").select("fingerprint", "component_id"), "fingerprint")
         .select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
     )
+
+
+# Near copies by word shingles: fingerprints over the words of a text propose pairs, shingles decide.
+
+PROPOSED_BITS = 10
+COMPARED = 32
+_LETTERS = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in range(256))
+_SKETCH = "doc_id long, digest long, fingerprint long"
+
+
+def _word_fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Digest of the word sequence, and SimHash of the set of bare words: one changed word moves few of its bits."""
+    known: dict[bytes, bytes] = {}
+    for batch in batches:
+        values, digests = [], []
+        for data in text_bytes(batch.column(1)):
+            low = data.lower()
+            digests.append(xxhash.xxh3_64_intdigest(b" ".join(low.split())))
+            words = set(low.translate(_LETTERS).split())
+            if len(known) > 300_000:
+                known.clear()
+            for word in words:
+                if word not in known:
+                    known[word] = xxhash.xxh64_digest(word, SEED)
+            values.append(_majority(b"".join([known[word] for word in words]), [len(words)]))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(np.array(digests, dtype=np.uint64).view(np.int64)), pa.array(np.concatenate(values).view(np.int64))],
+            names=["doc_id", "digest", "fingerprint"],
+        )
+
+
+def pair_keys(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers and keys of two Golay indices each, for every two of the three segments.
+
+    With up to five wrong bits two segments hold two at most each, so such
+    fingerprints share a key; of those with more wrong bits most do.
+    """
+    parts = segments_of(values)
+    coded = [golay_keys(part) for part in parts]
+    rows, keys = [], []
+    for family, (i, j) in enumerate(((0, 1), (0, 2), (1, 2))):
+        (row, index), (other, second) = coded[i], coded[j]
+        first = np.searchsorted(other, row)
+        number = np.searchsorted(other, row, side="right") - first
+        entry = np.repeat(first - (np.cumsum(number) - number), number) + np.arange(number.sum())
+        rows.append(np.repeat(row, number))
+        keys.append(family << 24 | np.repeat(index, number) << 12 | second[entry])
+    return np.concatenate(rows), np.concatenate(keys).astype(np.int64)
+
+
+def _pair_keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        digest, value = (column.to_numpy(zero_copy_only=False) for column in batch.columns)
+        for start in range(0, len(value), 4096):
+            own = value[start : start + 4096]
+            rows, keys = pair_keys(own.view(np.uint64))
+            columns = [pa.array(keys), pa.array(own[rows]), pa.array(digest[start : start + 4096][rows])]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "f", "digest"])
+
+
+def _proposed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of neighbours in rows sorted by key and digest.
+
+    A row is compared with the first one of its bucket, and with those up to
+    ``COMPARED`` places before it unless both are near the first one.
+    """
+    held = [np.zeros(0, dtype=np.int64)] * 4  # key, fingerprint, digest, distance to the bucket's first
+    lead = None  # key, fingerprint and digest of the current bucket's first row
+    for batch in batches:
+        key, value, digest = (column.to_numpy(zero_copy_only=False) for column in batch.columns)
+        if not len(key):
+            continue
+        first = np.searchsorted(key, key)
+        lead_value, lead_digest = value[first], digest[first]
+        if lead is not None:
+            inside = key == lead[0]
+            lead_value, lead_digest = np.where(inside, lead[1], lead_value), np.where(inside, lead[2], lead_digest)
+        lead = int(key[-1]), int(lead_value[-1]), int(lead_digest[-1])
+        far = np.bitwise_count(value ^ lead_value).astype(np.int64)
+        close = (far <= PROPOSED_BITS) & (digest != lead_digest)
+        left, right = [lead_digest[close]], [digest[close]]
+        key, value, digest, far = (np.concatenate(pair) for pair in zip(held, (key, value, digest, far), strict=True))
+        new = len(held[0])
+        for lag in range(1, COMPARED + 1):
+            same = key[lag:] == key[:-lag] if lag < len(key) else np.zeros(0, dtype=bool)
+            same[: max(0, new - lag)] = False
+            at = np.flatnonzero(same)
+            if not len(at) and lag > new:
+                break
+            apart = np.bitwise_count(value[at + lag] ^ value[at]) <= PROPOSED_BITS
+            loose = (far[at] > PROPOSED_BITS) | (far[at + lag] > PROPOSED_BITS)
+            at = at[apart & loose & (digest[at] != digest[at + lag])]
+            left.append(digest[at])
+            right.append(digest[at + lag])
+        held = [column[-COMPARED:] for column in (key, value, digest, far)]
+        a, b = np.concatenate(left), np.concatenate(right)
+        if len(a):
+            pairs = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b)), axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+
+def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
+    """``digest`` and the sorted 32-bit hashes of a text's distinct word shingles, for a table of ``digest`` and ``text``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = []
+            for data in text_bytes(batch.column(1)):
+                hashes = [xxhash.xxh32_intdigest(one) for one in _features(data, size)]
+                sets.append(np.unique(np.array(hashes, dtype=np.uint32)).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["digest", "shingles"])
+
+    return docs.mapInArrow(run, "digest long, shingles binary")
+
+
+def _similar(least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                x, y = np.frombuffer(x, dtype=np.uint32), np.frombuffer(y, dtype=np.uint32)
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                good.append(common >= least * (len(x) + len(y) - common))
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    return run
+
+
+def similar_groups(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> DataFrame:
+    """Groups of near copies: ``doc_id``, ``content`` (hash of the text), ``root``, one row per row of ``docs``.
+
+    Texts with the same words, case aside, are copies. Others are linked if
+    their sets of ``shingle``-word shingles have a Jaccard similarity of
+    ``least``; pairs are proposed by the fingerprints of their words through
+    shared Golay keys (``pair_keys``, ``_proposed``), each verified on the whole
+    texts. Texts without words are copies of each other.
+    """
+    content = F.xxhash64(F.coalesce("text", F.lit("")))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    marked = rows.select(F.col("doc_id"), "text", content.alias("content"))
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            narrow = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["doc_id", "text"])
+            for made in _word_fingerprints(iter([narrow])):
+                yield pa.RecordBatch.from_arrays([*made.columns, batch.column(2)], names=[*made.schema.names, "content"])
+
+    sketched = pinned(marked.mapInArrow(sketch, f"{_SKETCH}, content long"))
+    nodes = pinned(sketched.groupBy("digest").agg(F.min("fingerprint").alias("fingerprint"), F.min("content").alias("content")))
+    keyed = nodes.select("digest", "fingerprint").mapInArrow(_pair_keyed, "key long, f long, digest long")
+    pairs = keyed.repartition("key").sortWithinPartitions("key", "digest").mapInArrow(_proposed, "a long, b long").distinct()
+    pairs = pinned(pairs)
+    ends = pairs.select(F.col("a").alias("digest")).union(pairs.select("b")).distinct().join(nodes, "digest").select("digest", "content")
+    texts = marked.select("content", "text").join(ends, "content").groupBy("digest").agg(F.first("text").alias("text"))
+    sets = pinned(shingle_sets(texts, shingle))
+    joined = (
+        pairs.join(sets.select(F.col("digest").alias("a"), F.col("shingles").alias("x")), "a")
+        .join(sets.select(F.col("digest").alias("b"), F.col("shingles").alias("y")), "b")
+        .select("a", "b", "x", "y")
+    )
+    found = components(joined.mapInArrow(_similar(least), "a long, b long"))
+    return sketched.join(found, sketched.digest == found.node, "left").select("doc_id", "content", F.coalesce("root", "digest").alias("root"))
+
+
+def without_near_copies(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> DataFrame:
+    """``docs`` with one row of each group of near copies: the smallest ``doc_id``, null ids last; all columns stay.
+
+    Rows that repeat the same id and text count as one document and come once.
+    """
+    groups = pinned(similar_groups(docs, shingle, least))
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("content"))
+    heads = groups.groupBy("root").agg(F.min(order).alias("head"), F.count("*").alias("n"))
+    heads = heads.select(F.col("head.doc_id").alias("_doc_id"), F.col("head.content").alias("_content"))
+    content = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id")) & (content == F.col("_content"))
+    rows = docs.join(heads, same, "left_semi")
+    twice = groups.groupBy("doc_id", "content").agg(F.count("*").alias("n")).where("n > 1")
+    twice = pinned(twice.select(F.col("doc_id").alias("_doc_id"), F.col("content").alias("_content")))
+    if twice.isEmpty():
+        return rows
+    again = rows.join(twice, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return rows.join(twice, same, "left_anti").unionByName(again)

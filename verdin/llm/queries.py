@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from verdin.llm import decontamination, mixing, pseudonyms, repetition, simhash, suffixes, tokens, toxicity, urls
+from verdin.llm import decontamination, languages, mixing, pseudonyms, repetition, simhash, suffixes, tokens, toxicity, urls
 from verdin.llm.registry import QUERIES, TWINS, query
 from verdin.session import read_table
 
@@ -56,3 +56,8 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     documents = read_table(spark, folder, "documents").select("doc_id", "text")
     return pseudonyms.pseudonymised(documents)
+
+
+@query("op9_language")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return languages.identified(read_table(spark, folder, "pages"), read_table(spark, folder, "documents"))

@@ -26,14 +26,15 @@ from math import ceil
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LENGTH = 50
 ANCHOR = 16
 SPLIT = 64  # strings of one stretch at most
-BLOCK_BYTES = 16 << 20
-BUCKET_BYTES = 4 << 20
+BLOCK_BYTES = 12 << 20
+BUCKET_BYTES = 3 << 20
 CHUNK_BYTES = 1 << 20
 LAST = np.iinfo(np.int64).max  # stands for a null id
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -190,6 +191,7 @@ def _sent(length: int, buckets: int):
         shared = np.sort(_numbers(right.column("hashes").to_pylist(), "u8"))
         if not len(shared) or not left.num_rows:
             return _table(SENT, [])
+        press = zstandard.ZstdCompressor(level=3)
         ids, texts = _documents(left)
         known: dict[bytes, int] = {}
         anchors, lowest, highest = [], [], []
@@ -216,8 +218,9 @@ def _sent(length: int, buckets: int):
         rows = []
         for k, a, b in parts:
             own = order[a:b]
-            arrays = [column[own].tobytes() for column in (anchors, digests, lowest, highest, counts)]
-            rows.append((k, key[0].as_py(), *arrays, b"".join([bodies[i] for i in own.tolist()])))
+            arrays = [column[own].tobytes() for column in (anchors, digests)]
+            pressed = [column[own].tobytes() for column in (lowest, highest, counts)] + [b"".join([bodies[i] for i in own.tolist()])]
+            rows.append((k, key[0].as_py(), *arrays, *[press.compress(one) for one in pressed]))
         return _table(SENT, rows)
 
     return run
@@ -258,6 +261,9 @@ def suffix_intervals(data: np.ndarray, starts: np.ndarray, length: int) -> tuple
 def _earliest(length: int):
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         part = {name: table.column(name).to_pylist() for name in table.column_names}
+        open_ = zstandard.ZstdDecompressor()
+        for name in ("lowest", "highest", "counts", "body"):
+            part[name] = [open_.decompress(one) for one in part[name]]
         sizes = [len(one) for one in part["counts"]]
         block = np.repeat(np.array(part["block"], dtype=np.int64), sizes)
         anchors, digests = _numbers(part["anchors"], "u8"), _numbers(part["digests"], "u8")

@@ -267,7 +267,16 @@ def test_flag_evaluation_without_match(spark):
     assert got == [("c_17.25.txt", 1, 1, 1.0, 1, "y"), ("none.txt", 1, 0, 0.5, 0, None)]
 
 
-def test_segments_split_long_conversations(spark):
-    messages = spark.createDataFrame([(1, i, "user", f"t{i}") for i in range(45)], "c INT, n INT, r STRING, t STRING")
-    got = evaluate.transcript_segments(messages, "c", "n", "r", "t").orderBy("segment").collect()
-    assert len(got) == 3 and got[1]["transcript"].split("\n")[0] == "#user : t20"
+def test_long_chats_are_one_row(spark):
+    said = [(1, i, "user" if i % 3 else "system", f"hello there {i}. good\nagent: bye" if i == 7 else f"hello there {i}. good") for i in range(45)]
+    messages = spark.createDataFrame(said, "c INT, n INT, r STRING, t STRING")
+    dictionary = {"saludo": ["hello there"], "cierre": ["bye"]}
+    lexicon = (["good"], ["bye"])
+    got = evaluate.message_measures(messages, "c", "r", "t", dictionary, lexicon).collect()
+    whole = "\n".join(f"#{r} : {t}" for _, _, r, t in said)
+    chat = spark.createDataFrame([(whole,)], "transcript STRING")
+    want = evaluate.with_chat_measures(chat, F.col("transcript"), dictionary, lexicon).first()
+    assert len(got) == 1 and all(got[0][k] == want[k] for k in ("saludo", "cierre", "_good", "_bad", "words", "sentences"))
+    assert got[0]["saludo"] == 30 and got[0]["cierre"] == 1
+    turns = evaluate.message_turns(messages, "c", "n", "r", "t").orderBy("place").collect()
+    assert [t.place for t in turns] == list(range(46)) and turns[8].speaker == "agent"

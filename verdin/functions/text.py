@@ -211,8 +211,11 @@ def polarity(
     line: Column, positive: Sequence[str] = POSITIVE_WORDS, negative: Sequence[str] = NEGATIVE_WORDS
 ) -> Column:
     """(positive - negative) / (positive + negative) occurrences, 0 without any; on a normalised line."""
-    good = add([occurrences(line, w) for w in positive])
-    bad = add([occurrences(line, w) for w in negative])
+    return polarity_of(add([occurrences(line, w) for w in positive]), add([occurrences(line, w) for w in negative]))
+
+
+def polarity_of(good: Column, bad: Column) -> Column:
+    """Polarity from the two numbers of occurrences."""
     return F.when(good + bad == 0, F.lit(0.0)).otherwise((good - bad) / (good + bad))
 
 

@@ -10,23 +10,28 @@ from pyspark.sql import functions as F
 
 from verdin.functions import outcomes, parsers, text, transcripts
 from verdin.functions.dates import clock_time, format_date, time7
+from verdin.functions.numbers import add
 from verdin.functions.phrases import EFFECTIVE_FROM, EVEN_RUBRIC, TRAINER_RUBRIC, Dictionary, Rubric
 from verdin.functions.phrases import category_counts, flag_share, rubric_score
-from verdin.operators import joins
+from verdin.operators import joins, ordered
 from verdin.operators.columns import fixed_schema
 
 
-def transcript_segments(messages: DataFrame, conversation: str, turn: str, role: str, content: str, size: int = 20):
-    """``#role : text`` transcripts from message rows, at most ``size`` turns each.
+def message_line(role: str, content: str) -> Column:
+    """A message as a transcript line that starts with its speaker."""
+    return F.concat(F.lit("#"), F.col(role), F.lit(" : "), F.col(content))
 
-    Segments keep a conversation of any length out of a single group.
+
+def message_turns(messages: DataFrame, conversation: str, turn: str, role: str, content: str) -> DataFrame:
+    """Turns of whole conversations: ``conversation``, ``place`` (0-based), ``speaker``, ``content``.
+
+    Every message starts with a speaker, so turns are split inside the message
+    and numbered over the conversation, however long it is.
     """
-    line = F.concat(F.lit("#"), F.col(role), F.lit(" : "), F.col(content))
-    gathered = messages.groupBy(conversation, F.floor(F.col(turn) / size).alias("segment")).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(turn).alias("turn"), line.alias("line")))).alias("_lines")
-    )
-    joined = F.array_join(F.transform("_lines", lambda x: x["line"]), "\n")
-    return gathered.select(conversation, "segment", joined.alias("transcript"))
+    split = messages.select(conversation, turn, F.posexplode(transcripts.turns(message_line(role, content))).alias("_pos", "_turn"))
+    split = split.select(conversation, turn, "_pos", F.col("_turn.speaker").alias("speaker"), F.col("_turn.content").alias("content"))
+    numbered = ordered.row_number(split, [F.col(turn), F.col("_pos")], "_place", [conversation])
+    return numbered.select(conversation, (F.col("_place") - 1).cast("int").alias("place"), "speaker", "content")
 
 
 def score_columns(counts: dict[str, Column], rubric: Rubric, effective: float = EFFECTIVE_FROM) -> dict[str, Column]:
@@ -47,32 +52,64 @@ CHAT_COLUMNS = {
 }
 
 
-def evaluate_chats(
-    chats: DataFrame,
+def with_chat_measures(df: DataFrame, transcript: Column, dictionary: Dictionary, lexicon: tuple[Sequence[str], Sequence[str]]) -> DataFrame:
+    """``df`` with the counts of a transcript, or of one message of it: they add up over the messages of a chat.
+
+    Automatic speakers are left out and phrases are counted by alternation.
+    """
+    clean = df.withColumn("_turns", transcripts.turns(transcripts.unescape(transcript)))
+    clean = clean.withColumn("_clean", transcripts.without_automatic(F.col("_turns")))
+    ready = clean.withColumns({"_words": text.normalise_words(F.col("_clean")), "_line": text.normalise_line(F.col("_clean"))})
+    good, bad = lexicon
+    measures = category_counts(F.col("_words"), dictionary) | {
+        "_good": add([text.occurrences(F.col("_line"), w) for w in good]),
+        "_bad": add([text.occurrences(F.col("_line"), w) for w in bad]),
+        "words": text.word_count(F.col("_clean")),
+        "sentences": F.size(text.sentences(F.col("_clean"))),
+    }
+    return ready.withColumns(measures)
+
+
+def message_measures(
+    messages: DataFrame,
+    conversation: str,
+    role: str,
+    content: str,
+    dictionary: Dictionary,
+    lexicon: tuple[Sequence[str], Sequence[str]] = (text.POSITIVE_WORDS, text.NEGATIVE_WORDS),
+) -> DataFrame:
+    """One row per conversation with its measures, summed over its messages on the map side.
+
+    A phrase is counted inside a message; the speaker's name stands between two messages anyway.
+    """
+    measured = with_chat_measures(messages, message_line(role, content), dictionary, lexicon)
+    names = [*dictionary, "_good", "_bad", "words", "sentences"]
+    return measured.groupBy(conversation).agg(*[F.sum(name).cast("int").alias(name) for name in names])
+
+
+def score_chats(
+    measured: DataFrame,
     staff: DataFrame,
     dictionary: Dictionary,
     as_of: dt.date,
     rubric: Rubric = EVEN_RUBRIC,
-    lexicon: tuple[Sequence[str], Sequence[str]] = (text.POSITIVE_WORDS, text.NEGATIVE_WORDS),
     kind: str = "chats",
+    confidence: Column | None = None,
 ) -> DataFrame:
-    """Chats (transcript, mail, adviser, phone, source, created, clock) to scored rows.
+    """Measured chats (with mail, adviser, phone, source, created, clock where known) to scored rows.
 
-    Automatic speakers are removed, phrases counted by alternation, the staff id
-    looked up by mail. ``staff`` has mail, staff_id and line (the largest wins).
+    The staff id is looked up by mail: ``staff`` has mail, staff_id and line (the
+    largest wins). ``confidence`` is that of a trained tone model; without one it
+    follows from the polarity.
     """
-    clean = chats.withColumn("_turns", transcripts.turns(transcripts.unescape(F.col("transcript"))))
-    clean = clean.withColumn("_clean", transcripts.without_automatic(F.col("_turns")))
-    ready = clean.withColumns({"_words": text.normalise_words(F.col("_clean")), "_line": text.normalise_line(F.col("_clean"))})
-    counted = ready.withColumns(category_counts(F.col("_words"), dictionary))
-    found = {c: F.col(c) for c in dictionary}
-    scored = counted.withColumns(score_columns(found, rubric) | sentiment_columns(F.col("_line"), lexicon))
+    value = text.polarity_of(F.col("_good"), F.col("_bad"))
+    scored = measured.withColumns(score_columns({c: F.col(c) for c in dictionary}, rubric))
+    scored = scored.withColumns({"polarity": value, "sentiment": text.polarity_label(value)})
+    given = text.capped_confidence(F.col("polarity")) if confidence is None else confidence
     filled = scored.withColumns(
         {
-            "confidence": F.round(text.capped_confidence(F.col("polarity")), 2),
+            "confidence": F.round(given, 2),
             "polarity": F.round("polarity", 3),
-            "words": text.word_count(F.col("_clean")),
-            "sentences": F.size(text.sentences(F.col("_clean"))),
             "mail": F.lower(F.trim(F.coalesce("mail", F.lit("")))),
             "day": format_date(F.col("created"), as_of),
             "clock": time7(clock_time(F.col("clock"))),
@@ -84,6 +121,20 @@ def evaluate_chats(
     return fixed_schema(looked_up, CHAT_COLUMNS, {"adviser": "", "phone": "", "source": ""})
 
 
+def evaluate_chats(
+    chats: DataFrame,
+    staff: DataFrame,
+    dictionary: Dictionary,
+    as_of: dt.date,
+    rubric: Rubric = EVEN_RUBRIC,
+    lexicon: tuple[Sequence[str], Sequence[str]] = (text.POSITIVE_WORDS, text.NEGATIVE_WORDS),
+    kind: str = "chats",
+) -> DataFrame:
+    """Chats with a whole transcript each (transcript, mail, adviser, phone, source, created, clock) to scored rows."""
+    measured = with_chat_measures(chats, F.col("transcript"), dictionary, lexicon)
+    return score_chats(measured, staff, dictionary, as_of, rubric, kind)
+
+
 def evaluate_trainer_calls(
     files: DataFrame,
     meta: DataFrame,

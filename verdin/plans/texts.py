@@ -343,41 +343,43 @@ def evaluate_sales_calls(spark, folder):
 
 
 # ---------------------------------------------------------------- transcripts
-SEGMENTS = """seg AS (SELECT conv_id, turn // 20 AS segment,
-    string_agg('#' || role || ' : ' || text, chr(10) ORDER BY turn) AS transcript FROM conversations GROUP BY 1, 2)"""
-TURNS_SQL = f"""{SEGMENTS}, lines AS (SELECT conv_id, segment, unnest(ls) AS line, generate_subscripts(ls, 1) AS i
+CHATS = """seg AS (SELECT conv_id,
+    string_agg('#' || role || ' : ' || text, chr(10) ORDER BY turn) AS transcript FROM conversations GROUP BY 1)"""
+TURNS_SQL = f"""{CHATS}, lines AS (SELECT conv_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i
       FROM (SELECT *, string_split(transcript, chr(10)) AS ls FROM seg)),
-    marked AS (SELECT *, sum(CASE WHEN regexp_matches(line, '^[^:]+:') THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id, segment ORDER BY i) AS t FROM lines),
-    turns AS (SELECT conv_id, segment, t, trim(regexp_extract(first(line ORDER BY i), '^\\s*#?\\s*([^:]+?)\\s*:', 1)) AS speaker,
+    marked AS (SELECT *, sum(CASE WHEN regexp_matches(line, '^[^:]+:') THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY i) AS t FROM lines),
+    turns AS (SELECT conv_id, t, trim(regexp_extract(first(line ORDER BY i), '^\\s*#?\\s*([^:]+?)\\s*:', 1)) AS speaker,
       regexp_replace(string_agg(CASE WHEN regexp_matches(line, '^[^:]+:') THEN rtrim(regexp_replace(line, '^[^:]+:\\s*', '')) ELSE rtrim(line) END, chr(10) ORDER BY i),
-        '\\s+$', '') AS content FROM marked WHERE t > 0 GROUP BY 1, 2, 3)"""
+        '\\s+$', '') AS content FROM marked WHERE t > 0 GROUP BY 1, 2)"""
 
 
-def segments(spark: SparkSession, folder: str) -> DataFrame:
-    messages = read_texts(spark, folder, "conversations")
-    return evaluate.transcript_segments(messages, "conv_id", "turn", "role", "text")
+def messages(spark: SparkSession, folder: str) -> DataFrame:
+    return read_texts(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
 
 
-@query(
-    "f24_transcript_turns",
-    f"WITH {TURNS_SQL} SELECT conv_id, segment, CAST(t - 1 AS INT) AS place, speaker, content FROM turns",
-)
+@query("f24_transcript_turns", f"WITH {TURNS_SQL} SELECT conv_id, CAST(t - 1 AS INT) AS place, speaker, content FROM turns")
 def transcript_turns(spark, folder):
-    split = segments(spark, folder).select("conv_id", "segment", F.posexplode(transcripts.turns(F.col("transcript"))))
-    return split.select("conv_id", "segment", F.col("pos").alias("place"), "col.speaker", "col.content")
+    return evaluate.message_turns(messages(spark, folder), "conv_id", "turn", "role", "text")
 
 
-CLEAN_SQL = f"""{TURNS_SQL}, clean AS (SELECT conv_id, segment, string_agg('#' || speaker || ' :' || CASE WHEN content <> '' THEN ' ' || content ELSE '' END, chr(10) ORDER BY t) AS clean
-    FROM turns WHERE speaker <> 'system' GROUP BY 1, 2)"""
+CLEAN_SQL = f"""{TURNS_SQL}, clean AS (SELECT conv_id, string_agg('#' || speaker || ' :' || CASE WHEN content <> '' THEN ' ' || content ELSE '' END, chr(10) ORDER BY t) AS clean
+    FROM turns WHERE speaker <> 'system' GROUP BY 1)"""
 
 
-@query("f25_without_automatic", f"WITH {CLEAN_SQL} SELECT s.conv_id, s.segment, coalesce(clean, '') AS clean FROM seg s LEFT JOIN clean USING (conv_id, segment)")
+@query(
+    "f25_without_automatic",
+    f"""WITH {CLEAN_SQL} SELECT s.conv_id, coalesce(clean, '') AS clean FROM seg s LEFT JOIN clean USING (conv_id)""",
+)
 def without_automatic(spark, folder):
-    clean = transcripts.without_automatic(transcripts.turns(F.col("transcript")))
-    return segments(spark, folder).select("conv_id", "segment", clean.alias("clean"))
+    # the result is one text per conversation, so its lines are gathered; automatic turns go before that
+    line = transcripts.without_automatic(transcripts.turns(evaluate.message_line("role", "text")))
+    lines = messages(spark, folder).select("conv_id", F.struct("turn", line.alias("line")).alias("part"))
+    said = F.filter(F.array_sort(F.collect_list("part")), lambda p: p["line"] != "")
+    joined = F.array_join(F.transform(said, lambda p: p["line"]), "\n")
+    return lines.groupBy("conv_id").agg(joined.alias("clean"))
 
 
-CHAT_SQL = f"""WITH {CLEAN_SQL}, k AS (SELECT s.conv_id, s.segment, coalesce(clean, '') AS text FROM seg s LEFT JOIN clean USING (conv_id, segment)),
+CHAT_SQL = f"""WITH {CLEAN_SQL}, k AS (SELECT s.conv_id, coalesce(clean, '') AS text FROM seg s LEFT JOIN clean USING (conv_id)),
     w AS (SELECT *, {words_sql('text')} AS words, {line_sql('text')} AS line FROM k), {POLARITY_SQL},
     c AS (SELECT *, {counts_sql(alternation_sql, 'words')} FROM p)
     SELECT 'person.' || conv_id || '@example.com' AS mail, CASE WHEN conv_id IN (SELECT c_custkey FROM customer WHERE c_acctbal > 2000) THEN 'C' || conv_id ELSE '' END AS staff_id,
@@ -392,8 +394,9 @@ CHAT_SQL = f"""WITH {CLEAN_SQL}, k AS (SELECT s.conv_id, s.segment, coalesce(cle
 @query("evaluate_chats", CHAT_SQL)
 def evaluate_chats(spark, folder):
     mail = F.concat(F.lit(" Person."), F.col("conv_id").cast("string"), F.lit("@example.com"))
-    chats = segments(spark, folder).select(
-        "transcript", mail.alias("mail"), F.col("conv_id").cast("string").alias("source"),
+    measured = evaluate.message_measures(messages(spark, folder), "conv_id", "role", "text", DICTIONARY, LEXICON)
+    chats = measured.select(
+        *measured.columns, mail.alias("mail"), F.col("conv_id").cast("string").alias("source"),
         F.lit(None).cast("date").alias("created"), F.lit("0,5").alias("clock"),
     )
     staff = read_table(spark, folder, "customer").where("c_acctbal > 2000").select(
@@ -401,7 +404,7 @@ def evaluate_chats(spark, folder):
         F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("staff_id"),
         F.col("c_custkey").alias("line"),
     )
-    return evaluate.evaluate_chats(chats, staff, DICTIONARY, AS_OF, lexicon=LEXICON)
+    return evaluate.score_chats(chats, staff, DICTIONARY, AS_OF)
 
 
 @query(

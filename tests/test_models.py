@@ -62,5 +62,31 @@ def test_processed_and_skipped_are_all_events(spark):
     assert once.count() == once.select("key").distinct().count() == processed.select("key").distinct().count()
 
 
+def test_a_lost_checkpoint_starts_nothing_again(spark):
+    folder = "/root/testdata/sf0.001"
+    out = streams.run_stream(spark, folder)
+    before = spark.read.parquet(f"{out}/processed").select("key", "status", "run").collect()
+    assert len({r.run for r in before}) == 1
+    streams.run_stream(spark, folder, out)
+    both = spark.read.parquet(f"{out}/processed")
+    again = both.where(~F.col("run").isin(before[0].run))
+    assert again.count() == len(before) and again.where("status = 'started'").count() == 0
+    assert both.where("status = 'started'").count() == both.select("key").distinct().count()
+
+
+def test_importance_of_texts_as_columns(spark, data):
+    model = models.fit(data, ["x", "c"], "y", "rf", sparse=True, numTrees=5, maxDepth=3)
+    table = models.importance_table(spark, model).collect()
+    assert {r.feature for r in table} == {"x", "c=a", "c=b"} and abs(sum(r.percent for r in table) - 100) < 1e-6
+
+
+def test_weeks_without_a_model_keep_their_rows(data):
+    weekly = data.withColumn("week", F.when(F.col("id") > 10, (F.col("id") % 3).cast("int")))
+    fitted = models.weekly_models(weekly, {"x": 0}, "y", [0, 1], "rf", numTrees=3, maxDepth=2)
+    scored = models.score_by_week(fitted, weekly, "week")
+    assert scored.count() == 400
+    assert scored.where("p IS NULL").count() == weekly.where("week IS NULL OR week = 2").count()
+
+
 def test_scratch_is_below_the_checkpoint_folder(spark):
     assert scratch_path(spark, "x").startswith(spark.sparkContext.getCheckpointDir())

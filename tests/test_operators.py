@@ -280,3 +280,25 @@ def test_long_chats_are_one_row(spark):
     assert got[0]["saludo"] == 30 and got[0]["cierre"] == 1
     turns = evaluate.message_turns(messages, "c", "n", "r", "t").orderBy("place").collect()
     assert [t.place for t in turns] == list(range(46)) and turns[8].speaker == "agent"
+
+
+def test_unique_names_pass_over_taken_ones(spark):
+    names = ["a.txt", "a.txt", "a_1.txt", "a.txt", "a_2.txt", "a_1.txt", "b", "b", None]
+    df = spark.createDataFrame(list(enumerate(names)), "i INT, name STRING")
+    got = {r.i: r.unique_name for r in matching.unique_names(df, "name", [F.asc("i")]).collect()}
+    made = [v for v in got.values() if v is not None]
+    assert len(set(made)) == len(made) == 8
+    assert got[0] == "a.txt" and got[2] == "a_1.txt" and got[4] == "a_2.txt" and got[7] == "b_1"
+    assert {got[1], got[3]} == {"a_3.txt", "a_4.txt"} and got[5] == "a_1_1.txt"
+
+
+def test_frequent_values_fill_nulls(spark):
+    rows = [(i, "x" if i % 4 else "y") for i in range(400)] + [(1000 + i, None) for i in range(400)]
+    df = spark.createDataFrame(rows, "k INT, v STRING")
+    got = features.impute_by_frequency(df, "v", "k")
+    again = features.impute_by_frequency(df.repartition(3), "v", "k")
+    assert got.columns == df.columns and got.where("v IS NULL").count() == 0
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, again.collect()))
+    drawn = got.where("k >= 1000 AND v = 'y'").count()
+    assert 60 <= drawn <= 140
+    assert features.impute_by_frequency(df.where("v IS NULL"), "v", "k").where("v IS NULL").count() == 400

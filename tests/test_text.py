@@ -193,3 +193,10 @@ def test_parsers(spark):
     assert names == ["Ana Maria Lopez", "Solo Nombre"]
     assert run(spark, parsers.target_name(F.col("text"), [".wav"]), [" Abc.WAV nota", "x.mp3"]) == ["abc", "x.mp3"]
     assert run(spark, parsers.document_number(F.col("text"), F.lit("id 12345678 z")), ["C.C. 123-456", "12"]) == ["123456", "12345678"]
+
+
+def test_all_of_unicode_is_folded(spark):
+    df = spark.createDataFrame([("① 𝐀 ㎏ ½ ﬁ Å",), ("é️ x⃗ שָ",)], "t STRING")
+    ascii_only = [r[0] for r in df.select(text.to_ascii(F.col("t"))).collect()]
+    assert ascii_only[0] == "1 A kg 12 fi A"
+    assert df.select(text.strip_marks(F.col("t"))).collect()[1][0] == "e x ש"

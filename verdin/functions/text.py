@@ -22,7 +22,7 @@ BLANK = r"\s\x1c-\x1f"
 BLANK_CHARACTERS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 _COMMENT_WORD = re.compile("[a-záéíóúñ]{3,}")
 NON_ASCII = r"[^\x00-\x7f]"
-_SCRIPTS = (range(0x80, 0x2460), range(0x3000, 0x3001), range(0xFB00, 0xFB07), range(0xFF01, 0xFF5F))
+_CHARACTERS = [chr(code) for code in range(0x80, 0x110000) if not 0xD800 <= code < 0xE000]
 
 # fixed values: words left out of the keywords of a comment
 COMMENT_STOP_WORDS = (
@@ -54,13 +54,12 @@ def _unmarked(char: str) -> str:
 def ascii_table() -> tuple[str, str, dict[str, str]]:
     """Characters with a one-letter ASCII form, those letters, and characters with a longer form."""
     single, longer = {}, {}
-    for script in _SCRIPTS:
-        for code in script:
-            form = _ascii(chr(code))
-            if len(form) == 1:
-                single[chr(code)] = form
-            elif form:
-                longer[chr(code)] = form
+    for char in _CHARACTERS:
+        form = _ascii(char)
+        if len(form) == 1:
+            single[char] = form
+        elif form:
+            longer[char] = form
     return "".join(single), "".join(single.values()), longer
 
 
@@ -68,11 +67,11 @@ def ascii_table() -> tuple[str, str, dict[str, str]]:
 def mark_table() -> tuple[str, str]:
     """Accented characters and their base letters; combining marks at the end have no partner and are deleted."""
     forms = {}
-    for code in range(0xC0, 0x2000):
-        form = _unmarked(chr(code))
-        if len(form) == 1 and form != chr(code):
-            forms[chr(code)] = form
-    marks = "".join(chr(c) for c in range(0x300, 0x370))
+    for char in _CHARACTERS:
+        form = _unmarked(char)
+        if len(form) == 1 and form != char:
+            forms[char] = form
+    marks = "".join(char for char in _CHARACTERS if unicodedata.category(char) == "Mn")
     return "".join(forms) + marks, "".join(forms.values())
 
 

@@ -58,8 +58,8 @@ def text_key(df: DataFrame, text: str) -> DataFrame:
 def cache_misses(keyed: DataFrame, cache: DataFrame, text: str) -> DataFrame:
     """Each text without an answer once."""
     asked = cache.select("text_key").distinct()
-    once = keyed.groupBy("text_key").agg(F.min(text).alias(text))
-    return once.join(asked, "text_key", "left_anti")
+    fresh = keyed.join(asked, "text_key", "left_anti")
+    return fresh.groupBy("text_key").agg(F.min(text).alias(text))
 
 
 def with_answers(keyed: DataFrame, cache: DataFrame, fresh: DataFrame, names: list[str]) -> DataFrame:

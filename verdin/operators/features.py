@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from verdin.operators import ordered
 from verdin.operators.columns import rename_safely, safe_name
 
-MAX_LEVELS = 2000  # one-hot columns and step lists become part of the plan
-
-
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Rows per value (null is a value) and their share, most frequent first."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
@@ -33,21 +30,27 @@ def group_rare(df: DataFrame, column: str, threshold: int, other: str) -> DataFr
     return joined.select([kept.alias(c) if c == column else F.col(c) for c in df.columns])
 
 
-def levels(df: DataFrame, column: str, limit: int = MAX_LEVELS) -> list:
-    """Sorted distinct values of a column that becomes part of the plan."""
+def levels(df: DataFrame, column: str, limit: int = 2000) -> list:
+    """Sorted distinct values of a column that becomes part of the plan.
+
+    Every value becomes a column, so more than ``limit`` of them are refused.
+    """
     found = [r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()]
     if len(found) > limit:
         raise ValueError(f"{column} has more than {limit} values; group rare values first")
     return sorted(found)
 
 
-def one_hot(df: DataFrame, names: Sequence[str]) -> tuple[DataFrame, dict[str, list[str]]]:
-    """0/1 columns per value and one for null; also which columns each variable became."""
+def one_hot(df: DataFrame, names: Sequence[str], limit: int = 2000) -> tuple[DataFrame, dict[str, list[str]]]:
+    """0/1 columns per value and one for null; also which columns each variable became.
+
+    A variable with more than ``limit`` values is refused: group its rare values first.
+    """
     made: dict[str, list[str]] = {}
     extra: list[Column] = []
     for name in names:
         made[name] = []
-        for value in levels(df, name):
+        for value in levels(df, name, limit):
             made[name].append(f"{name}_{value}")
             extra.append(F.coalesce((F.col(name) == F.lit(value)).cast("int"), F.lit(0)).alias(f"{name}_{value}"))
         made[name].append(f"{name}_nan")
@@ -79,6 +82,11 @@ def weekly_table(df: DataFrame, keys: Sequence[str], first_week: Mapping[str, in
     return one_hot(df.select(*keys, *known), texts)[0]
 
 
+def weekly_tables(df: DataFrame, keys: Sequence[str], first_week: Mapping[str, int], weeks: Sequence[int]) -> dict[int, DataFrame]:
+    """The weekly table of each of the weeks."""
+    return {week: weekly_table(df, keys, first_week, week) for week in weeks}
+
+
 def sequence_table(df: DataFrame, keys: Sequence[str], first_week: Mapping[str, int], weeks: int = 16) -> DataFrame:
     """One row per key and week; variables not known yet are null. Categories are one-hot encoded once."""
     known = [v for v in available(first_week, weeks) if v in df.columns]
@@ -101,10 +109,10 @@ def sequence_tensor(df: DataFrame, key: str, step: str, features: Sequence[str],
     """
     values = F.array(*[F.col(f).cast("double") for f in features])
     single = df.where(F.col(step).isNotNull()).groupBy(key, step).agg(F.max_by(values, order).alias("_row"))
-    steps = F.array(*[F.lit(s) for s in levels(df, step)])
+    steps = single.select(step).distinct().agg(F.array_sort(F.collect_list(step)).alias("_steps")).scalar()
     by_step = F.map_from_entries(F.collect_list(F.struct(step, "_row")))
-    gathered = single.groupBy(key).agg(by_step.alias("_map"))
-    return gathered.select(key, F.transform(steps, lambda s: F.try_element_at(F.col("_map"), s)).alias("tensor"))
+    gathered = single.groupBy(key).agg(by_step.alias("_map")).withColumn("_steps", steps)
+    return gathered.select(key, F.transform("_steps", lambda s: F.try_element_at(F.col("_map"), s)).alias("tensor"))
 
 
 def medians(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -166,22 +174,25 @@ def standardise(df: DataFrame, names: Sequence[str], null_as: float | None = Non
     )
 
 
+DRAWS = 1 << 20
+
+
 def impute_by_frequency(df: DataFrame, column: str, key: str, seed: int = 42) -> DataFrame:
     """Fill nulls with categories drawn by their frequency.
 
-    The draw is a hash of key and seed, so it does not change when a task runs again.
+    The draw is a number below ``DRAWS`` from a hash of key and seed, so it does
+    not change when a task runs again. Categories hold the draws from their running
+    total on, in the order of frequency and value; draws are assigned to
+    categories by one join, however many categories there are. Without any
+    category the nulls stay.
     """
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    # a category list, checked for its size
-    found = counts.orderBy(F.desc("n"), F.asc(column)).limit(MAX_LEVELS + 1).collect()
-    if len(found) > MAX_LEVELS:
-        raise ValueError(f"{column} has more than {MAX_LEVELS} values; it is no category")
-    if not found:
-        return df
-    total, upto, draw = sum(r["n"] for r in found), 0, None
-    spot = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(total))
-    for row in found[:-1]:
-        upto += row["n"]
-        draw = F.when(spot < upto, F.lit(row[column])) if draw is None else draw.when(spot < upto, F.lit(row[column]))
-    last = F.lit(found[-1][column])
-    return df.withColumn(column, F.coalesce(F.col(column), last if draw is None else draw.otherwise(last)))
+    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    run = ordered.running_totals(counts, [F.desc("_n"), F.asc(column)], {"_upto": F.col("_n")})
+    total = counts.agg(F.sum("_n").alias("n")).scalar()
+    last = F.floor(F.col("_upto") * DRAWS / total).cast("bigint") - 1
+    first = F.floor((F.col("_upto") - F.col("_n")) * DRAWS / total).cast("bigint")
+    spans = run.select(F.col(column).alias("_value"), first.alias("_first"), last.alias("_last")).where("_last >= _first")
+    draws = spans.select("_value", F.explode(F.sequence("_first", "_last")).alias("_draw"))
+    spot = F.when(F.col(column).isNull(), F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(DRAWS)))
+    joined = df.withColumn("_draw", spot).join(draws, "_draw", "left")
+    return joined.select([F.coalesce(column, "_value").alias(column) if c == column else F.col(c) for c in df.columns])

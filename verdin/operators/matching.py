@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from verdin.functions import parsers
 from verdin.operators import ordered
+from verdin.session import pinned
 
 # fixed values: what a shared name prefix, mail token and document token add to the score
 NAME_SCORE, MAIL_SCORE, DOCUMENT_SCORE = 1, 2, 3
@@ -53,7 +54,7 @@ def file_signals(files: DataFrame, path: str, modified: str, people: DataFrame,
     lengths = people.select(F.length("name").alias("n")).where("n IS NOT NULL").distinct()
     sizes = F.array(*[F.lit(r["n"]) for r in lengths.orderBy("n").collect()]).cast("array<int>")
     titled = base.where(F.col("root").startswith(f"{prefix}_"))
-    rest = F.substring("root", len(prefix) + 2, 1_000_000)
+    rest = F.substr("root", F.lit(len(prefix) + 2))
     starts = titled.withColumn("rest", rest).select(
         "path", F.explode(F.transform(F.filter(sizes, lambda n: n <= F.length("rest")), lambda n: F.left("rest", n))).alias("start")
     )
@@ -98,14 +99,33 @@ def best_files(people: DataFrame, signals: DataFrame) -> DataFrame:
 def unique_names(df: DataFrame, name: str, order: Sequence[Column], first: int = 1, result: str = "unique_name") -> DataFrame:
     """Names without clashes: the first row keeps its name, the others get ``_1``, ``_2`` … before the extension.
 
-    Rows are numbered inside a name without gathering one name in one task.
+    A made name that another row already has by itself is passed over for the next
+    number of its own name. Rows are numbered inside a name without gathering
+    one name in one task; only clashing rows go through another round.
     """
-    placed = ordered.row_number(df, order, "_place", [name])
     own_stem = F.regexp_replace(F.col(name), r"(?<=.)\.[^.]*$", "")
     ending = F.regexp_extract(F.col(name), r".(\.[^.]*)$", 1)
-    suffix = (F.col("_place") - 2 + first).cast("string")
-    renamed = F.concat(own_stem, F.lit("_"), suffix, ending)
-    return placed.withColumn(result, F.when(F.col("_place") == 1, F.col(name)).otherwise(renamed)).drop("_place")
+    made = F.concat(own_stem, F.lit("_"), F.col("_number").cast("string"), ending)
+    placed = ordered.row_number(df, order, "_place", [name]).withColumn("_number", F.col("_place") - 2 + first)
+    placed = pinned(placed.withColumn(result, F.when(F.col("_place") == 1, F.col(name)).otherwise(made)))
+    taken = df.select(F.col(name).alias("_taken")).distinct()
+    last = placed.groupBy(F.col(name).alias("_name")).agg(F.max("_number").alias("_last"))
+    done = []
+    while True:
+        made_rows = placed.where("_place > 1")
+        clashing = pinned(made_rows.join(taken, F.col(result) == F.col("_taken"), "left_semi"))
+        if clashing.isEmpty():
+            break
+        done.append(placed.join(taken, (F.col(result) == F.col("_taken")) & (F.col("_place") > 1), "left_anti"))
+        again = ordered.row_number(clashing.drop("_place"), [F.col("_number")], "_again", [name])
+        again = again.join(last, F.col(name).eqNullSafe(F.col("_name"))).withColumn("_number", F.col("_last") + F.col("_again"))
+        placed = pinned(again.withColumn("_place", F.lit(2).cast("bigint")).withColumn(result, made).select(placed.columns))
+        last = last.join(placed.groupBy(F.col(name).alias("_n2")).agg(F.max("_number").alias("_m")), F.col("_name").eqNullSafe(F.col("_n2")), "left").select(
+            "_name", F.greatest("_last", "_m").alias("_last")
+        )
+    for part in done:
+        placed = placed.unionByName(part)
+    return placed.drop("_place", "_number")
 
 
 def validity_counts(df: DataFrame, key: str, valid: Column) -> DataFrame:

@@ -9,7 +9,8 @@ from itertools import product
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, NaiveBayes, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import HashingTF, Imputer, OneHotEncoder, StringIndexer, Tokenizer, VectorAssembler
+from pyspark.ml.feature import HashingTF, Imputer, OneHotEncoder, OneHotEncoderModel
+from pyspark.ml.feature import StringIndexer, StringIndexerModel, Tokenizer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.ml.tuning import CrossValidator
@@ -53,7 +54,7 @@ def encoder(df: DataFrame, features: Sequence[str], sparse: bool = False) -> lis
     """Stages from raw columns to a feature vector.
 
     Numbers get their approximate median for nulls; texts become codes in
-    frequency order, or 0/1 columns where unknown texts are all zero.
+    text order, or 0/1 columns where unknown texts are all zero.
     """
     numeric, texts = feature_kinds(df, features)
     stages: list[Estimator] = []
@@ -62,7 +63,7 @@ def encoder(df: DataFrame, features: Sequence[str], sparse: bool = False) -> lis
         stages.append(Imputer(strategy="median", inputCols=numeric, outputCols=filled))
     coded = [f"_c_{c}" for c in texts]
     if texts:
-        stages.append(StringIndexer(inputCols=list(texts), outputCols=coded, handleInvalid="keep"))
+        stages.append(StringIndexer(inputCols=list(texts), outputCols=coded, handleInvalid="keep", stringOrderType="alphabetAsc"))
     if texts and sparse:
         wide = [f"_o_{c}" for c in texts]
         # the slot kept for unknown values is the last one, and the last one is dropped
@@ -200,17 +201,27 @@ def weekly_auc(models: Mapping[int, Model], test: DataFrame, label: str, first_w
 
 
 def score_by_week(models: Mapping[int, Model], df: DataFrame, week: str) -> DataFrame:
-    """Each row scored by the model of its week; weeks without a model are left out."""
+    """Each row scored by the model of its week; rows of weeks without a model have a null score."""
     parts = [score(model, df.where(F.col(week) == w)) for w, model in models.items()]
+    known = F.coalesce(F.col(week).isin(*models), F.lit(False))
+    parts.append(df.where(~known).withColumn("p", F.lit(None).cast("double")))
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)
     return result
 
 
+def _slots(model: PipelineModel) -> list[str]:
+    """Names of the places of the feature vector: a column, or a column and a text where texts became 0/1 columns."""
+    texts = {out: labels for s in model.stages if isinstance(s, StringIndexerModel) for out, labels in zip(s.getOutputCols(), s.labelsArray, strict=True)}
+    wide = {out: texts[c] for s in model.stages if isinstance(s, OneHotEncoderModel) for c, out in zip(s.getInputCols(), s.getOutputCols(), strict=True)}
+    columns = [c for s in model.stages if isinstance(s, VectorAssembler) for c in s.getInputCols()]
+    return [name for c in columns for name in ([f"{c.split('_', 2)[2]}={text}" for text in wide[c]] if c in wide else [c.split("_", 2)[2]])]
+
+
 def importance_table(spark: SparkSession, model: PipelineModel, n: int = 10) -> DataFrame:
     """The ``n`` most important inputs of a tree model as percentages."""
-    names = [c.split("_", 2)[2] for s in model.stages if isinstance(s, VectorAssembler) for c in s.getInputCols()]
+    names = _slots(model)
     shares = model.stages[-1].featureImportances.toArray()
     total = float(shares.sum()) or 1.0
     rows = sorted(((f, float(v) / total * 100) for f, v in zip(names, shares, strict=True)), key=lambda r: (-r[1], r[0]))

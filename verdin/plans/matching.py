@@ -334,14 +334,13 @@ def target_keys(spark, folder):
 
 @query(
     "s14_partitioned_output",
-    "SELECT lang AS role, source AS owner, count(*) AS n FROM documents WHERE source IN ('src1', 'src2') GROUP BY 1, 2",
+    "SELECT lang AS role, source AS owner, count(*) AS n FROM documents GROUP BY 1, 2",
 )
 def partitioned_output(spark, folder):
     path = scratch_path(spark, "landed")
     rows = read_table(spark, folder, "documents").select(F.col("lang").alias("role"), F.col("source").alias("owner"), "doc_id")
     staged.write_partitioned(rows, path, ["role", "owner"])
-    landed = spark.read.parquet(path).where(F.col("owner").isin("src1", "src2"))
-    return landed.groupBy("role", "owner").agg(F.count(F.lit(1)).alias("n"))
+    return spark.read.parquet(path).groupBy("role", "owner").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
@@ -357,21 +356,25 @@ def changed_files(spark, folder):
 
 @query(
     "s4_text_corpus",
-    "SELECT text || chr(10) AS text, CAST(strlen(text) + 1 AS BIGINT) AS size, source FROM documents WHERE text <> ''",
+    "SELECT text || chr(10) AS text, CAST(strlen(text) + 1 AS BIGINT) AS size, source FROM documents",
 )
 def text_corpus(spark, folder):
     path = scratch_path(spark, "corpus")
-    rows = read_table(spark, folder, "documents").where("text <> ''").select("source", "text")
+    rows = read_table(spark, folder, "documents").select("source", "text")
     # one text per file; the line writer ends each with a line feed
     rows.write.option("maxRecordsPerFile", 1).partitionBy("source").text(path)
     files = readers.read_corpus(spark, path)
     return files.select("text", "size", F.regexp_extract("path", "source=([^/]+)", 1).alias("source"))
 
 
-@query("s5_file_inventory")
+@query("s5_file_inventory", "SELECT source, CAST(sum(strlen(text) + 1) AS BIGINT) AS size FROM documents GROUP BY 1")
 def file_inventory(spark, folder):
-    """The table files of the dataset folder itself; contents are not read."""
-    return readers.file_inventory(spark, folder, [".parquet"]).select("file_name", "size")
+    """Sizes of the text files of each source: the files are listed, not read."""
+    path = scratch_path(spark, "inventory")
+    read_table(spark, folder, "documents").select("source", "text").write.partitionBy("source").text(path)
+    files = readers.file_inventory(spark, path, [".txt"])
+    source = F.regexp_extract("path", "source=([^/]+)", 1)
+    return files.groupBy(source.alias("source")).agg(F.sum("size").alias("size"))
 
 
 @query("s6_union_column", "SELECT url AS entry FROM pages UNION ALL SELECT CAST(doc_id AS VARCHAR) FROM documents")

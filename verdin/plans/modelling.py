@@ -45,23 +45,32 @@ def one_hot(spark, folder):
 
 @query(
     "e5_availability",
-    """SELECT variable, CAST(w AS INT) AS week FROM (VALUES ('c_mktsegment', 1), ('c_nationkey', 1), ('c_acctbal', 3), ('balance_band', 8), ('late', 12)) t(variable, first_week), range(1, 17) r(w)
-       WHERE w >= first_week AND variable IN (SELECT 'c_mktsegment' FROM customer UNION SELECT 'c_nationkey' UNION SELECT 'c_acctbal' UNION SELECT 'balance_band' UNION SELECT 'late')""",
+    """SELECT event_type AS variable, CAST(unnest(range(min(week(ts)), 17)) AS INT) AS week FROM events GROUP BY event_type""",
 )
 def availability(spark, folder):
-    """Which of the variables present in the customer base are known in which week."""
-    base = students(spark, folder)
-    known = F.map_from_arrays(F.array(*[F.lit(v) for v in FIRST_WEEK]), F.array(*[F.lit(w) for w in FIRST_WEEK.values()]))
-    present = base.select(F.explode(known).alias("variable", "first_week")).distinct()
-    return features.availability(present, 16)
+    """Which kind of event is known in which week: from the week of its first one on."""
+    events = read_table(spark, folder, "events")
+    first = events.groupBy(F.col("event_type").alias("variable")).agg(F.min(F.weekofyear("ts")).alias("first_week"))
+    return features.availability(first, 16)
 
 
 @query(
     "e6_weekly_table",
-    f"SELECT c_custkey, left_early, c_nationkey, c_acctbal, {one_hot_sql()}, {BAND_COLUMNS} FROM (SELECT *, CAST(c_acctbal < 0 AS INT) AS left_early FROM customer)",
+    f"""WITH c AS (SELECT *, CAST(c_acctbal < 0 AS INT) AS left_early, c_nationkey % 2 AS late FROM customer),
+    e AS (SELECT c_custkey, left_early, late, c_nationkey, c_acctbal, {one_hot_sql()}, {BAND_COLUMNS} FROM c)
+    SELECT c_custkey, left_early, w AS week, c_nationkey, CASE WHEN w >= 3 THEN c_acctbal END AS c_acctbal,
+      {', '.join(f'c_mktsegment_{s}' for s in (*SEGMENTS, 'nan'))},
+      {', '.join(f'CASE WHEN w >= 8 THEN balance_band_{b} END AS balance_band_{b}' for b in ('mid', 'top_band', 'nan'))},
+      CASE WHEN w >= 12 THEN late END AS late FROM e, (VALUES (1), (3), (8), (12)) t(w)""",
 )
 def weekly_table(spark, folder):
-    return features.weekly_table(students(spark, folder), ["c_custkey", "left_early"], FIRST_WEEK, 8)
+    """The datasets of weeks 1, 3, 8 and 12 under each other; what a week does not know is null."""
+    tables = features.weekly_tables(students(spark, folder), ["c_custkey", "left_early"], FIRST_WEEK, [1, 3, 8, 12])
+    parts = [table.withColumn("week", F.lit(week)) for week, table in tables.items()]
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part, allowMissingColumns=True)
+    return result
 
 
 @query(
@@ -235,14 +244,14 @@ def forest_on_sparse_columns(spark, folder):
 @query("e15_random_search")
 def random_search(spark, folder):
     rows = labelled_documents(spark, folder)
-    grid = {"maxDepth": [2, 3, 4], "numTrees": [5, 10]}
-    fitted, chosen = models.random_search(rows, FEATURES, "quality", "random_forest", grid, draws=3)
+    grid = {"maxDepth": [2, 3, 4, 5, 6], "numTrees": [3, 5, 8, 12, 16]}
+    fitted, chosen = models.random_search(rows, FEATURES, "quality", "random_forest", grid, draws=20, parallelism=4)
     return models.search_table(spark, fitted, chosen)
 
 
 def _out_of_fold(spark: SparkSession, folder: str) -> DataFrame:
     rows = labelled_documents(spark, folder)
-    return pinned(models.out_of_fold(rows, FEATURES[:4], "quality", [F.asc("doc_id")], 3, **SMALL_TREES))
+    return pinned(models.out_of_fold(rows, FEATURES, "quality", [F.asc("doc_id")], 5, **SMALL_TREES))
 
 
 @query("e16_platt_on_out_of_fold")

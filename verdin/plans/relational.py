@@ -606,11 +606,11 @@ def key_intersection(spark, folder):
 # ---------------------------------------------------------------- periods and dates
 @query(
     "d5_age",
-    "SELECT o_orderkey, CAST(date_sub('year', CAST(o_orderdate AS DATE), DATE '2001-06-15') AS INT) AS age FROM orders WHERE o_orderdate < TIMESTAMP '2001-06-15'",
+    "SELECT o_orderkey, CAST(date_sub('year', CAST(o_orderdate AS DATE), DATE '2001-12-31') AS INT) AS age FROM orders",
 )
 def age(spark, folder):
-    rows = read_table(spark, folder, "orders").where(F.col("o_orderdate") < F.lit("2001-06-15").cast("timestamp_ntz"))
-    return rows.select("o_orderkey", dates.age_in_years(F.col("o_orderdate"), F.lit(dt.date(2001, 6, 15))).alias("age"))
+    rows = read_table(spark, folder, "orders")
+    return rows.select("o_orderkey", dates.age_in_years(F.col("o_orderdate"), F.lit(AS_OF)).alias("age"))
 
 
 @query(

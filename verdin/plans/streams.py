@@ -54,16 +54,17 @@ def notifications(keys: DataFrame) -> DataFrame:
     return keys.select(F.array(record).alias("Records"))
 
 
-def run_stream(spark: SparkSession, folder: str) -> str:
-    """Route all notifications as a stream of several files and return the output folder."""
+def run_stream(spark: SparkSession, folder: str, output: str | None = None) -> str:
+    """Route all notifications as a stream of several files, with a new checkpoint, and return the output folder."""
     base = scratch_path(spark, "routing")
+    output = output or f"{base}/out"
     approved(spark, folder).write.parquet(f"{base}/approved")
     notifications(object_keys(spark, folder)).repartition(2).write.json(f"{base}/inbox")
     stream = routing.read_notifications(spark, f"{base}/inbox", files_per_batch=1)
     routing.run_routing(
-        stream, f"{base}/approved", ["Correo"], ALLOWED, f"{base}/out", f"{base}/checkpoint", "20240301-120000"
+        stream, f"{base}/approved", ["Correo"], ALLOWED, output, f"{base}/checkpoint", "20240301-120000"
     ).awaitTermination()
-    return f"{base}/out"
+    return output
 
 
 @query("st1_s15_route_stream", f"WITH {ROUTED_SQL} SELECT coalesce(reason, 'processed') AS reason, mail, count(*) AS n FROM r GROUP BY 1, 2")

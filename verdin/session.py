@@ -18,6 +18,9 @@ RUNTIME_SETTINGS = {
 }
 
 
+TEXT_PARTITIONS = "verdin.text.partitions"
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators rely on."""
     for key, value in RUNTIME_SETTINGS.items():
@@ -30,19 +33,16 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores when the input has fewer splits than there are cores.
+def read_texts(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table with long texts.
 
-    Text work costs far more than moving a small input. An input with at least
-    as many splits as cores is returned as it is, without a shuffle.
+    A file of a single row group is one task however many cores there are. A
+    deployment with such inputs may set ``verdin.text.partitions`` to deal the rows out; it is
+    unset by default, and nothing is shuffled then.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
-def read_texts(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table with long texts, spread over the cores."""
-    return spread(read_table(spark, folder, name))
+    table = read_table(spark, folder, name)
+    parts = spark.conf.get(TEXT_PARTITIONS, None)
+    return table.repartition(int(parts)) if parts else table
 
 
 def shared_folder(spark: SparkSession) -> str:

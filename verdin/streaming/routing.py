@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -73,6 +74,9 @@ def mark_repeats(routed: DataFrame, done: DataFrame | None, key: str = "key", ro
     return joined.withColumn("status", status).drop("_key", "_first")
 
 
+BUCKETS = 256
+
+
 def run_routing(
     notifications: DataFrame,
     approved_path: str,
@@ -85,30 +89,42 @@ def run_routing(
     """Route a stream into ``output/processed`` and ``output/skipped`` until the present input is used up.
 
     The approved list is read again for every batch, so a new version is used at
-    once. Each batch overwrites its own folder, so a batch that is repeated after
-    a failure does not write twice.
+    once. Each batch overwrites its own folder below the id of its query, so a
+    batch that is repeated after a failure does not write twice, and a query with a new
+    checkpoint overwrites nothing and starts nothing again. Started keys are
+    kept in ``output/keys`` by a hash; a batch reads the parts its own keys fall
+    into.
     """
 
     def one_batch(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
+        run = session.read.json(f"{checkpoint}/metadata").first()["id"]
+        own = f"run={run}/batch={number}"
         approved = approved_mails(session.read.parquet(approved_path), mail_columns)
-        # the routed rows feed two writes and carry row numbers, so they are written first
-        staged = f"{output}/routed/batch={number}"
+        # the routed rows feed several writes and carry row numbers, so they are written first
+        staged = f"{output}/routed/{own}"
         numbered = route(batch, approved, allowed).withColumn("row_id", F.monotonically_increasing_id())
+        numbered = numbered.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).cast("int"))
         numbered.write.mode("overwrite").parquet(staged)
         routed = session.read.parquet(staged)
-        routed.where("reason IS NOT NULL").write.mode("overwrite").parquet(f"{output}/skipped/batch={number}")
-        earlier = _earlier(session, f"{output}/processed", number)
-        marked = mark_repeats(routed.where("reason IS NULL").drop("reason"), earlier)
+        routed.where("reason IS NOT NULL").drop("bucket").write.mode("overwrite").parquet(f"{output}/skipped/{own}")
+        wanted = routed.where("reason IS NULL")
+        marked = mark_repeats(wanted.drop("reason"), _earlier(session, f"{output}/keys", wanted, run, number))
         jobs = marked.withColumn("job", job_name(F.col("key"), stamp))
-        jobs.write.mode("overwrite").parquet(f"{output}/processed/batch={number}")
+        jobs.drop("bucket").write.mode("overwrite").parquet(f"{output}/processed/{own}")
+        started = session.read.parquet(f"{output}/processed/{own}").where("status = 'started'").select("key")
+        started = started.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).cast("int"))
+        started.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{output}/keys/{own}")
 
     writer = object_records(notifications).writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
 
 
-def _earlier(spark: SparkSession, folder: str, number: int) -> DataFrame | None:
-    """What the batches before this one wrote."""
-    if number == 0:
+def _earlier(spark: SparkSession, folder: str, wanted: DataFrame, run: str, number: int) -> DataFrame | None:
+    """Keys that other batches started, from the parts that the wanted keys fall into."""
+    parts = [row[0] for row in wanted.select("bucket").distinct().collect()]  # at most BUCKETS numbers
+    try:
+        known = spark.read.option("mergeSchema", False).schema("key STRING, run STRING, batch INT, bucket INT").parquet(folder)
+    except AnalysisException:  # nothing was started yet
         return None
-    return spark.read.schema("key STRING, batch INT").parquet(folder).where(F.col("batch") < number)
+    return known.where(F.col("bucket").isin(parts) & ~((F.col("run") == run) & (F.col("batch") == number)))

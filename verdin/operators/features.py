@@ -193,6 +193,7 @@ def impute_by_frequency(df: DataFrame, column: str, key: str, seed: int = 42) ->
     first = F.floor((F.col("_upto") - F.col("_n")) * DRAWS / total).cast("bigint")
     spans = run.select(F.col(column).alias("_value"), first.alias("_first"), last.alias("_last")).where("_last >= _first")
     draws = spans.select("_value", F.explode(F.sequence("_first", "_last")).alias("_draw"))
-    spot = F.when(F.col(column).isNull(), F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(DRAWS)))
+    mixed = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
+    spot = F.when(F.col(column).isNull(), F.conv(F.substring(mixed, 1, 8), 16, 10).cast("bigint") % DRAWS)
     joined = df.withColumn("_draw", spot).join(draws, "_draw", "left")
     return joined.select([F.coalesce(column, "_value").alias(column) if c == column else F.col(c) for c in df.columns])

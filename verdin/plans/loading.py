@@ -130,18 +130,22 @@ def find_object(spark, folder):
     """SELECT event_id, CASE WHEN event_type = 'click' THEN 0.0 ELSE CAST(props->>'$.k' AS DOUBLE) / 100 END AS outcome_score, 0.5::DOUBLE AS confidence,
        CAST(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END AS INT) AS effective, 'neutro' AS sentiment,
        CASE WHEN event_type = 'view' THEN 'cierre' ELSE 'ninguno' END AS outcome_kind, event_type = 'view' AS confirmed,
-       CASE WHEN event_type = 'view' THEN repeat('x', 220) ELSE '' END AS evidence, CASE WHEN event_type = 'view' THEN 'a; b; c; d; e' ELSE '' END AS reasons, '' AS improvements FROM events""",
+       CASE WHEN event_type = 'view' THEN repeat('x', 220) ELSE '' END AS evidence, CASE WHEN event_type = 'view' THEN 'a; b; c; d; e' ELSE '' END AS reasons, '' AS improvements,
+       event_type = 'view' AS closing_present, CASE WHEN event_type = 'view' THEN repeat('y', 180) ELSE '' END AS closing_evidence, false AS greeting_present FROM events""",
 )
 def answer_defaults(spark, folder):
     k = F.get_json_object("props", "$.k").cast("int")
     score = F.when(F.col("event_type") == "click", F.lit('"high"')).otherwise((k / 100).cast("string"))
     more = F.when(
         F.col("event_type") == "view",
-        F.lit(', "efectiva": "1", "resultado": {"tipo": "cierre", "confirmado": true, "evidencia": "' + "x" * 300 + '"}, "razones": ["a","b","c","d","e","f"]'),
+        F.lit(', "efectiva": "1", "resultado": {"tipo": "cierre", "confirmado": true, "evidencia": "' + "x" * 300 + '"}, "razones": ["a","b","c","d","e","f"], "proceso": {"etapas": {"cierre": {"presente": true, "evidencia": "' + "y" * 200 + '"}, "saludo": 3}}'),
     ).otherwise(F.lit(""))
     said = F.concat(F.lit('Answer {"score_resultado": '), score, more, F.lit("}"))
     parsed = read_table(spark, folder, "events").select("event_id", documents.parse_object(said).alias("said"))
-    return parsed.select("event_id", documents.call_answer(F.col("said")).alias("answer")).select("event_id", "answer.*")
+    return parsed.select("event_id", documents.call_answer(F.col("said")).alias("answer")).select("event_id", "answer.*").select(
+        "*", F.col("stages.cierre.present").alias("closing_present"), F.col("stages.cierre.evidence").alias("closing_evidence"),
+        F.col("stages.saludo.present").alias("greeting_present"),
+    ).drop("stages")
 
 
 @query("n5_field_access", """SELECT event_id, CAST(props->>'$.k' AS INT) AS k FROM events""")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import unicodedata
 
 from pyspark.sql import DataFrame, SparkSession
@@ -300,7 +301,7 @@ CALLS_SQL = f"""WITH {MESSAGES}, {FLAGS_SQL}, c AS (SELECT *, {counts_sql(altern
         ELSE 'no_efectiva' END AS label FROM s)"""
 
 
-def sales_calls(spark: SparkSession, folder: str) -> DataFrame:
+def sales_calls(spark: SparkSession, folder: str, extra: tuple[str, ...] = ()) -> DataFrame:
     messages = read_texts(spark, folder, "conversations")
     name = F.concat(
         F.lit("+57300"), F.lpad(F.col("conv_id").cast("string"), 7, "0"), F.lit(" by "), F.col("role"),
@@ -313,7 +314,7 @@ def sales_calls(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit("S"), F.col("turn").cast("string")).alias("staff_id"),
         "line",
     )
-    return evaluate.evaluate_sales_calls(files, people.where("line > 3"), DICTIONARY, phrases=OUTCOME)
+    return evaluate.evaluate_sales_calls(files, people.where("line > 3"), DICTIONARY, phrases=OUTCOME, extra=extra)
 
 
 @query("f31_review_routing", f"{CALLS_SQL} SELECT coalesce(review_reason, 'none') AS reason, count(*) AS n FROM e GROUP BY 1")
@@ -342,6 +343,28 @@ def evaluate_sales_calls(spark, folder):
     return sales_calls(spark, folder)
 
 
+def _reviewer(value: str) -> dict:
+    """Stands for a remote reviewer: an answer as such services give it."""
+    seen = {"saludo": {"presente": True, "evidencia": value[:200]}}
+    answer = {"score_resultado": 0.9 if len(value) > 300 else 0.2, "confianza": 0.5 if len(value) % 2 else 0.8, "proceso": {"etapas": seen}}
+    return {"said": "Answer: " + json.dumps(answer)}
+
+
+@query(
+    "evaluate_sales_second_opinion",
+    f"""WITH s AS ({SALES_SQL}), q AS (SELECT s.*, o.text FROM s JOIN conversations o ON s.file_name = '+57300' || lpad(CAST(o.conv_id AS VARCHAR), 7, '0') || ' by ' || o.role || '_' || o.turn || '@example.com call.txt'),
+    r AS (SELECT *, review_reason IS NOT NULL AS asked, CASE WHEN review_reason IS NULL THEN outcome_score WHEN length(text) > 300 THEN 0.9 ELSE 0.2 END::DOUBLE AS outcome FROM q)
+    SELECT file_name, outcome AS outcome_score, CASE WHEN asked THEN 'llm' ELSE outcome_rule END AS outcome_source,
+      CASE WHEN process_score >= 0.75 AND outcome >= 0.7 THEN 'efectiva' WHEN process_score >= 0.75 THEN 'buena_no_cerrada' ELSE 'no_efectiva' END AS label,
+      CASE WHEN asked AND length(text) % 2 = 1 THEN 1 ELSE 0 END AS needs_person,
+      CASE WHEN asked THEN left(text, 180) END AS greeting FROM r""",
+)
+def evaluate_sales_second_opinion(spark, folder):
+    judged = evaluate.second_opinion(sales_calls(spark, folder, ("text",)), "text", _reviewer)
+    names = ["file_name", "outcome_score", "outcome_source", "label", "needs_person"]
+    return judged.select(*names, F.col("answer.stages.saludo.evidence").alias("greeting"))
+
+
 # ---------------------------------------------------------------- transcripts
 CHATS = """seg AS (SELECT conv_id,
     string_agg('#' || role || ' : ' || text, chr(10) ORDER BY turn) AS transcript FROM conversations GROUP BY 1)"""
@@ -495,7 +518,7 @@ def raw_answers(spark: SparkSession, folder: str) -> DataFrame:
         F.when(lang == "en", F.lit("opinion")).alias("class"),
         F.lit(None).cast("string").alias("reason"),
     )
-    return documents(spark, folder).select("doc_id", "text", "lang", answer.alias("answer"))
+    return documents(spark, folder).select("doc_id", "text", "lang", "source", answer.alias("answer"))
 
 
 TIDY_SQL = """SELECT doc_id, CASE lang WHEN 'fr' THEN 'consulta_sugerencia' WHEN 'en' THEN 'gratitud_alegria' WHEN 'es' THEN 'tristeza' ELSE 'consulta_sugerencia' END AS sentiment,
@@ -545,9 +568,8 @@ def product_ranking(spark, folder):
     """SELECT doc_id, source, length(text) AS size, upper(lang) AS lang FROM documents""",
 )
 def new_columns_in_row(spark, folder):
-    own = documents(spark, folder).select("doc_id", "source", "lang", "text")
-    fresh = own.select("doc_id", F.length("text").cast("bigint").alias("size"), F.upper("lang").alias("lang"))
-    return own.drop("text", "lang").join(fresh, "doc_id")
+    size = F.length("text").cast("bigint")
+    return documents(spark, folder).select("doc_id", "source", size.alias("size"), F.upper("lang").alias("lang"))
 
 
 def _rule_classifier(value: str) -> dict:
@@ -604,11 +626,13 @@ TOP_WORDS_SQL = f"""t AS (SELECT doc_id, unnest(toks) AS w, generate_subscripts(
     FROM documents d JOIN y ON y.doc_id = d.doc_id LEFT JOIN kw ON kw.doc_id = d.doc_id""",
 )
 def listening_table(spark, folder):
+    return listening.listening_tables(listened(spark, folder))["table"]
+
+
+def listened(spark: SparkSession, folder: str) -> DataFrame:
     day = F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("doc_id") % 60).cast("int")).cast("timestamp_ntz")
     about = F.struct(F.lit("Becas").alias("topic"), F.lit(None).cast("string").alias("class"), F.lit("x").alias("product"))
-    sources = read_table(spark, folder, "documents").select("doc_id", F.col("source").alias("post"))
-    comments = raw_answers(spark, folder).join(sources, "doc_id").select(
-        F.col("doc_id").cast("string").alias("comment_id"), F.col("text").alias("comment"), "post", day.alias("moment"), "answer",
+    return raw_answers(spark, folder).select(
+        F.col("doc_id").cast("string").alias("comment_id"), F.col("text").alias("comment"), F.col("source").alias("post"), day.alias("moment"), "answer",
         about.alias("post_answer"),
     )
-    return listening.listening_tables(comments)["table"]

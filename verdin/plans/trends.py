@@ -7,15 +7,16 @@ interactions, and its day is 2024-01-01 plus the id modulo 60, given as a date s
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verdin.functions import dates, parsers, text
-from verdin.operators import columns, trends
+from verdin.operators import columns, listening, trends
 from verdin.plans.registry import query
 from verdin.plans.scoring import rounded
-from verdin.plans.texts import POST_STOPS
+from verdin.plans.texts import POST_STOPS, TIDY_SQL, listened
 from verdin.session import read_table, read_texts, scratch_path
 from verdin.sources import staged
 
@@ -186,14 +187,18 @@ def latest_trends(spark, folder):
 
 @query(
     "s11_named_exports",
-    "SELECT 'data' AS name, count(*) AS n FROM documents UNION ALL SELECT 'topics', count(DISTINCT lang) FROM documents",
+    f"""WITH y AS ({TIDY_SQL}), t AS (SELECT topic, count(*) AS n FROM y GROUP BY 1)
+    SELECT 'data' AS name, CAST(d.doc_id AS VARCHAR) AS entry, CAST(strlen(d.text) AS BIGINT) AS n FROM documents d
+    UNION ALL SELECT 'table', CAST(doc_id AS VARCHAR), CAST(strlen(text) AS BIGINT) FROM documents
+    UNION ALL SELECT 'products', 'x', count(*) FROM documents UNION ALL SELECT 'topics', topic, n FROM t""",
 )
 def named_exports(spark, folder):
-    rows = read_table(spark, folder, "documents").select("doc_id", "lang", "source")
-    topics = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    paths = staged.export_all({"data": rows, "topics": topics}, scratch_path(spark, "exports"))
+    """The four frames of social listening, each written under its name and read back."""
+    paths = staged.export_all(listening.listening_tables(listened(spark, folder)), scratch_path(spark, "exports"))
+    whole = F.octet_length("comment").cast("bigint")
+    entries = {"data": ("comment_id", whole), "table": ("comment_id", whole), "products": ("product", F.col("mentions")), "topics": ("topic", F.col("n"))}
     parts = [
-        spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
-        for name, path in paths.items()
+        spark.read.parquet(paths[name]).select(F.lit(name).alias("name"), F.col(entry).alias("entry"), n.alias("n"))
+        for name, (entry, n) in entries.items()
     ]
-    return parts[0].unionByName(parts[1])
+    return reduce(DataFrame.unionByName, parts)

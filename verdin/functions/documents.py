@@ -102,9 +102,23 @@ PREDICTION = (
     "predicciones ARRAY<STRUCT<por_red: MAP<STRING, ARRAY<STRUCT<tema_principal: STRING, justificacion: STRING,"
     " recomendaciones_graficas: STRING, interacciones_estimadas: MAP<STRING, STRING>>>>>>"
 )
+# fixed values: the keys of an estimate, and the texts that a complete prediction has
 ESTIMATE_KEYS = ("min", "probable", "max", "supuesto", "unidad")
 
 
+FILLED_TEXTS = ("tema_principal", "audiencia", "justificacion", "formato", "cta", "recomendaciones_graficas")
+COMPLETE = ", ".join(f"{name} STRING" for name in FILLED_TEXTS) + ", palabras_clave_seo ARRAY<STRING>"
+KEYWORDS = 5
+
+
+def incomplete(item: Column) -> Column:
+    """Names of the fields of a ``COMPLETE`` item that are empty; the keywords must be exactly five, none blank."""
+    empty = [F.when(F.trim(F.coalesce(item[name], F.lit(""))) == "", F.lit(name)) for name in FILLED_TEXTS]
+    words = F.coalesce(item["palabras_clave_seo"], F.array().cast("array<string>"))
+    blank = F.exists(words, lambda word: F.trim(F.coalesce(word, F.lit(""))) == "")
+    return F.array_compact(F.array(*empty, F.when((F.size(words) != KEYWORDS) | blank, F.lit("palabras_clave_seo"))))
+
+
 def failed_rules(item: Column) -> Column:
     """Names of the rules a predicted post breaks."""
     topic = F.trim(F.coalesce(item["tema_principal"], F.lit("")))

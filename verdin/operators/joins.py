@@ -2,7 +2,8 @@
 
 No join here forces a broadcast of a table that grows. Spark compares the size
 of a side with its broadcast threshold and otherwise sorts and merges, splitting
-hot keys at run time. Right sides are reduced to one row per key first.
+hot keys at run time. Right sides are reduced to one row per key first,
+except in ``fill_from``, where every row of the table counts.
 """
 
 from __future__ import annotations
@@ -67,6 +68,7 @@ def fill_from(
 ) -> DataFrame:
     """Left join on a trimmed lower-case key, then fill.
 
+    A key that the table has several times gives as many rows.
     Columns in ``prefer`` take the table's value when it has one; columns in
     ``fill_empty`` take it only where the own value is the empty text.
     """

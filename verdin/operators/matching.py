@@ -39,12 +39,14 @@ def person_signals(people: DataFrame, key: str, name: str, mail: str, document:
 def file_signals(files: DataFrame, path: str, modified: str, people: DataFrame, prefix: str) -> DataFrame:
     """Per file the names, mails and documents of known people that occur in it.
 
-    Tokens stand between underscores. A name counts when the file starts with
-    prefix and name; the prefixes tried have the lengths that names have.
+    Only files that start with the prefix are candidates. Tokens stand between
+    underscores: a mail or document that is part of a longer token does not
+    count. A name counts when it follows the prefix; the lengths tried are those that names have.
     """
     root = parsers.stem(F.col(path))
     base = files.select(F.col(path).alias("path"), F.col(modified).alias("modified"), root.alias("root"))
-    tokens = base.select("path", F.explode(F.array_distinct(F.split("root", "_"))).alias("token"))
+    titled = base.where(F.col("root").startswith(f"{prefix}_"))
+    tokens = titled.select("path", F.explode(F.array_distinct(F.split("root", "_"))).alias("token"))
 
     def seen(rows: DataFrame, value: str, kind: str) -> DataFrame:
         known = people.select(F.col(kind).alias(value)).where(F.col(value).isNotNull()).distinct()
@@ -53,7 +55,6 @@ def file_signals(files: DataFrame, path: str, modified: str, people: DataFrame,
     # one small number per length that occurs
     lengths = people.select(F.length("name").alias("n")).where("n IS NOT NULL").distinct()
     sizes = F.array(*[F.lit(r["n"]) for r in lengths.orderBy("n").collect()]).cast("array<int>")
-    titled = base.where(F.col("root").startswith(f"{prefix}_"))
     rest = F.substr("root", F.lit(len(prefix) + 2))
     starts = titled.withColumn("rest", rest).select(
         "path", F.explode(F.transform(F.filter(sizes, lambda n: n <= F.length("rest")), lambda n: F.left("rest", n))).alias("start")

@@ -18,7 +18,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdin.functions.numbers import clip, logit
+from verdin.functions.numbers import clip, logit, sigmoid
 from verdin.operators import curves, ranking
 from verdin.operators.columns import feature_kinds, require
 from verdin.session import pinned
@@ -151,7 +151,7 @@ def fit_platt(scored: DataFrame, label: str, p: str = "p") -> Model:
 
 def apply_platt(model: Model, scored: DataFrame, p: str = "p", name: str = "p_calibrated") -> DataFrame:
     slope, intercept = float(model.coefficients[0]), float(model.intercept)
-    return scored.withColumn(name, 1 / (1 + F.exp(-(F.lit(intercept) + F.lit(slope) * logit(F.col(p))))))
+    return scored.withColumn(name, sigmoid(F.lit(intercept) + F.lit(slope) * logit(F.col(p))))
 
 
 def fit_isotonic(scored: DataFrame, label: str, p: str = "p") -> Model:

@@ -209,3 +209,20 @@ def failed_rules(spark, folder):
     by_network = rows.select("event_id", F.explode("block.por_red").alias("network", "items"))
     items = by_network.select("event_id", "network", F.explode("items").alias("item"))
     return items.select("event_id", "network", F.array_join(documents.failed_rules(F.col("item")), ",").alias("failed"))
+
+
+@query(
+    "n4_incomplete_items",
+    """SELECT doc_id, array_to_string(list_filter([CASE WHEN lang = 'de' THEN 'audiencia' END, CASE WHEN trim(source) = 'src1' THEN 'cta' END,
+         CASE WHEN doc_id % 3 <> 2 THEN 'palabras_clave_seo' END], lambda x: x IS NOT NULL), ',') AS missing FROM documents""",
+)
+def incomplete_items(spark, folder):
+    rows = read_table(spark, folder, "documents").select("doc_id", "lang", "source")
+    given = {
+        "tema_principal": F.lit("a"), "audiencia": F.when(F.col("lang") != "de", F.col("lang")), "justificacion": F.lit("b"), "formato": F.lit("c"),
+        "cta": F.when(F.col("source") == "src1", F.lit("  ")).otherwise(F.col("source")), "recomendaciones_graficas": F.lit("d"),
+    }
+    words = F.when(F.col("doc_id") % 3 == 0, F.array(*[F.lit("w")] * 4)).when(F.col("doc_id") % 3 == 1, F.array(*[F.lit("w")] * 4, F.lit(" ")))
+    said = F.to_json(F.struct(*[value.alias(name) for name, value in given.items()], words.otherwise(F.array(*[F.lit("w")] * 5)).alias("palabras_clave_seo")))
+    parsed = F.from_json(said, documents.COMPLETE)
+    return rows.select("doc_id", F.array_join(documents.incomplete(parsed), ",").alias("missing"))

@@ -305,10 +305,23 @@ def landing_plan(spark, folder):
 
 @query(
     "s13_landing_counters",
-    f"WITH {PLAN_SQL} SELECT count(*) AS total, count(*) FILTER (action = 'upload') AS uploaded, count(*) FILTER (action <> 'upload') AS skipped FROM pl",
+    f"""WITH {PLAN_SQL} SELECT count(*) AS total, count(*) FILTER (action = 'upload' AND doc_id % 7 > 0) AS uploaded,
+        count(*) FILTER (action <> 'upload') AS skipped, count(*) FILTER (action = 'upload' AND doc_id % 7 = 0) AS failed FROM pl""",
 )
 def landing_counters(spark, folder):
-    return landing.landing_counters(_plan(spark, folder))
+    failures = _files(spark, folder).where("doc_id % 7 = 0").select("path")
+    return landing.landing_counters(landing.with_outcomes(_plan(spark, folder), failures))
+
+
+@query(
+    "s14_dated_keys",
+    """SELECT o_orderkey, 'calls/' || o_orderpriority || '/c' || o_custkey || '@example.com/' || strftime(o_orderdate, '%Y-%m-%d') || '/' || o_orderkey || '.wav' AS key FROM orders""",
+)
+def dated_keys(spark, folder):
+    mail = F.concat(F.lit("c"), F.col("o_custkey").cast("string"), F.lit("@example.com"))
+    name = F.concat(F.lit("+"), F.col("o_orderkey").cast("string"), F.lit(".wav"))
+    key = landing.dated_key("/calls", F.col("o_orderpriority"), mail, F.col("o_orderdate"), name)
+    return read_table(spark, folder, "orders").select("o_orderkey", key.alias("key"))
 
 
 @query("s13_resume", "SELECT 'skip_manifest' AS action, count(*) AS n FROM documents")

@@ -12,6 +12,11 @@ def target_key(prefix: str, relative: Column) -> Column:
     return F.concat_ws("/", F.lit(tidy), relative) if tidy else relative
 
 
+def dated_key(prefix: str, role: Column, mail: Column, day: Column, name: Column) -> Column:
+    """``prefix/role/mail/date/name``, the name without plus signs."""
+    return target_key(prefix, F.concat_ws("/", role, mail, F.date_format(day, "yyyy-MM-dd"), landing_name(name)))
+
+
 def plan_landing(files: DataFrame, manifest: DataFrame, present: DataFrame | None = None, dry_run: bool = False):
     """Add the ``action`` for each file (path, key, size).
 
@@ -33,11 +38,20 @@ def plan_landing(files: DataFrame, manifest: DataFrame, present: DataFrame | Non
     return planned.select(*files.columns, action.alias("action"))
 
 
+def with_outcomes(planned: DataFrame, failures: DataFrame) -> DataFrame:
+    """Uploads that failed get the action ``failed``; ``failures`` has their paths."""
+    lost = failures.select(F.col("path").alias("_lost")).distinct()
+    joined = planned.join(lost, F.col("path") == F.col("_lost"), "left")
+    failed = (F.col("action") == "upload") & F.col("_lost").isNotNull()
+    return joined.withColumn("action", F.when(failed, F.lit("failed")).otherwise(F.col("action"))).drop("_lost")
+
+
 def landing_counters(planned: DataFrame) -> DataFrame:
-    """Total, uploaded (dry runs count) and skipped files."""
-    skipped = F.count_if(F.col("action").startswith("skip"))
+    """Total, uploaded (dry runs count), skipped and failed files."""
+    skipped, failed = F.count_if(F.col("action").startswith("skip")), F.count_if(F.col("action") == "failed")
+    total = F.count(F.lit(1))
     return planned.agg(
-        F.count(F.lit(1)).alias("total"), (F.count(F.lit(1)) - skipped).alias("uploaded"), skipped.alias("skipped")
+        total.alias("total"), (total - skipped - failed).alias("uploaded"), skipped.alias("skipped"), failed.alias("failed")
     )
 
 

@@ -22,7 +22,8 @@ def staged_load(
     """Write to a staging table shaped like the destination, then insert from it.
 
     Rows reach the destination in one statement, so a failed write leaves it as
-    it was. The staging table is dropped at the end.
+    it was. The staging table is dropped at the end. Rows in are those staged,
+    rows inserted those by which the destination grew; a difference raises.
     """
     spark = df.sparkSession
     staging = f"{table}{suffix}"
@@ -40,10 +41,13 @@ def staged_load(
             for f in shape.schema.fields
         ]
     )
+    rows_in, before = filled.count(), 0 if truncate else spark.table(table).count()
     full.write.mode("overwrite" if truncate else "append").insertInto(table, overwrite=truncate)
-    inserted = filled.count()
+    inserted = spark.table(table).count() - before
     spark.sql(f"DROP TABLE {staging}")
-    return LoadResult(rows_in=inserted, rows_inserted=inserted, staging=staging)
+    if inserted != rows_in:
+        raise RuntimeError(f"{rows_in} rows staged, {inserted} inserted into {table}")
+    return LoadResult(rows_in=rows_in, rows_inserted=inserted, staging=staging)
 
 
 def replace_table(df: DataFrame, table: str, path: str) -> int:

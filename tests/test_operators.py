@@ -179,7 +179,9 @@ def test_landing(spark):
     manifest, there = files.where("path = 'p1'"), files.where("key IN ('k1', 'k2')")
     plan = landing.plan_landing(files, manifest, there)
     assert {r["path"]: r["action"] for r in plan.collect()} == {"p1": "skip_manifest", "p2": "skip_present", "p3": "upload"}
-    assert landing.landing_counters(plan).first()[:] == (3, 1, 2)
+    assert landing.landing_counters(plan).first()[:] == (3, 1, 2, 0)
+    lost = landing.with_outcomes(plan, files.where("path <> 'p1'"))
+    assert landing.landing_counters(lost).first()[:] == (3, 0, 2, 1)
     assert {r["path"] for r in landing.manifest_additions(plan).collect()} == {"p2", "p3"}
     dry = landing.plan_landing(files, manifest, dry_run=True)
     assert landing.manifest_additions(dry).count() == 0 and dry.where("action = 'dry_run'").count() == 2

@@ -249,24 +249,29 @@ def pair_keys(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _pair_keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        digest, value = (column.to_numpy(zero_copy_only=False) for column in batch.columns)
+        digest, value, root = (column.to_numpy(zero_copy_only=False) for column in batch.columns)
         for start in range(0, len(value), 4096):
-            own = value[start : start + 4096]
-            rows, keys = pair_keys(own.view(np.uint64))
-            columns = [pa.array(keys), pa.array(own[rows]), pa.array(digest[start : start + 4096][rows])]
-            yield pa.RecordBatch.from_arrays(columns, names=["key", "f", "digest"])
+            part = slice(start, start + 4096)
+            rows, keys = pair_keys(value[part].view(np.uint64))
+            columns = [pa.array(keys), *[pa.array(column[part][rows]) for column in (value, digest, root)]]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "f", "digest", "root"])
 
 
-def _proposed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of neighbours in rows sorted by key and digest.
+def _pairs(left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
+    pairs = np.unique(np.stack((np.minimum(left, right), np.maximum(left, right)), axis=1), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
-    A row is compared with the first one of its bucket, and with those up to
-    ``COMPARED`` places before it unless both are near the first one.
-    """
-    held = [np.zeros(0, dtype=np.int64)] * 4  # key, fingerprint, digest, distance to the bucket's first
+
+def _apart(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Bits in which fingerprints differ (of a signed number numpy would count those of its absolute value)."""
+    return np.bitwise_count((left ^ right).view(np.uint64))
+
+
+def _with_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of each row with the first one of its bucket; rows come sorted by key and digest."""
     lead = None  # key, fingerprint and digest of the current bucket's first row
     for batch in batches:
-        key, value, digest = (column.to_numpy(zero_copy_only=False) for column in batch.columns)
+        key, value, digest, _ = (column.to_numpy(zero_copy_only=False) for column in batch.columns)
         if not len(key):
             continue
         first = np.searchsorted(key, key)
@@ -275,27 +280,31 @@ def _proposed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             inside = key == lead[0]
             lead_value, lead_digest = np.where(inside, lead[1], lead_value), np.where(inside, lead[2], lead_digest)
         lead = int(key[-1]), int(lead_value[-1]), int(lead_digest[-1])
-        far = np.bitwise_count(value ^ lead_value).astype(np.int64)
-        close = (far <= PROPOSED_BITS) & (digest != lead_digest)
-        left, right = [lead_digest[close]], [digest[close]]
-        key, value, digest, far = (np.concatenate(pair) for pair in zip(held, (key, value, digest, far), strict=True))
+        close = (_apart(value, lead_value) <= PROPOSED_BITS) & (digest != lead_digest)
+        if close.any():
+            yield _pairs(lead_digest[close], digest[close])
+
+
+def _with_neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of rows of a bucket that are not in one group yet, up to ``COMPARED`` places apart."""
+    held = [np.zeros(0, dtype=np.int64)] * 4
+    for batch in batches:
+        fresh = [column.to_numpy(zero_copy_only=False) for column in batch.columns]
         new = len(held[0])
-        for lag in range(1, COMPARED + 1):
-            same = key[lag:] == key[:-lag] if lag < len(key) else np.zeros(0, dtype=bool)
-            same[: max(0, new - lag)] = False
-            at = np.flatnonzero(same)
-            if not len(at) and lag > new:
+        key, value, digest, root = (np.concatenate(pair) for pair in zip(held, fresh, strict=True))
+        left, right = [], []
+        for lag in range(1, min(COMPARED, len(key) - 1) + 1):
+            same = key[lag:] == key[:-lag]
+            if not same.any():
                 break
-            apart = np.bitwise_count(value[at + lag] ^ value[at]) <= PROPOSED_BITS
-            loose = (far[at] > PROPOSED_BITS) | (far[at + lag] > PROPOSED_BITS)
-            at = at[apart & loose & (digest[at] != digest[at + lag])]
+            same[: max(0, new - lag)] = False  # both rows were in the batch before
+            at = np.flatnonzero(same)
+            at = at[(root[at] != root[at + lag]) & (_apart(value[at + lag], value[at]) <= PROPOSED_BITS)]
             left.append(digest[at])
             right.append(digest[at + lag])
-        held = [column[-COMPARED:] for column in (key, value, digest, far)]
-        a, b = np.concatenate(left), np.concatenate(right)
-        if len(a):
-            pairs = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b)), axis=1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+        held = [column[-COMPARED:] for column in (key, value, digest, root)]
+        if left and sum(map(len, left)):
+            yield _pairs(np.concatenate(left), np.concatenate(right))
 
 
 def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
@@ -325,14 +334,32 @@ def _similar(least: float):
     return run
 
 
+def _linked(marked: DataFrame, nodes: DataFrame, proposed, shingle: int, least: float) -> DataFrame:
+    """Pairs that a walk over the buckets proposes, verified on the shingles of the whole texts: ``a``, ``b``."""
+    keyed = nodes.select("digest", "fingerprint", "root").mapInArrow(_pair_keyed, "key long, f long, digest long, root long")
+    walked = keyed.repartition("key").sortWithinPartitions("key", "digest").mapInArrow(proposed, "a long, b long")
+    pairs = pinned(walked.distinct())
+    ends = pairs.select(F.col("a").alias("digest")).union(pairs.select("b")).distinct().join(nodes, "digest").select("digest", "content")
+    texts = marked.select("content", "text").join(ends, "content").groupBy("digest").agg(F.first("text").alias("text"))
+    sets = pinned(shingle_sets(texts, shingle))
+    joined = (
+        pairs.join(sets.select(F.col("digest").alias("a"), F.col("shingles").alias("x")), "a")
+        .join(sets.select(F.col("digest").alias("b"), F.col("shingles").alias("y")), "b")
+        .select("a", "b", "x", "y")
+    )
+    return pinned(joined.mapInArrow(_similar(least), "a long, b long"))
+
+
 def similar_groups(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> DataFrame:
     """Groups of near copies: ``doc_id``, ``content`` (hash of the text), ``root``, one row per row of ``docs``.
 
     Texts with the same words, case aside, are copies. Others are linked if
     their sets of ``shingle``-word shingles have a Jaccard similarity of
     ``least``; pairs are proposed by the fingerprints of their words through
-    shared Golay keys (``pair_keys``, ``_proposed``), each verified on the whole
-    texts. Texts without words are copies of each other.
+    shared Golay keys (``pair_keys``), each verified on the whole texts. Two
+    walks over the buckets keep the pairs few: the first compares with the first
+    member only, the second compares neighbours that are in different groups
+    after that. Texts without words are copies of each other.
     """
     content = F.xxhash64(F.coalesce("text", F.lit("")))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -346,18 +373,11 @@ def similar_groups(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> Dat
 
     sketched = pinned(marked.mapInArrow(sketch, f"{_SKETCH}, content long"))
     nodes = pinned(sketched.groupBy("digest").agg(F.min("fingerprint").alias("fingerprint"), F.min("content").alias("content")))
-    keyed = nodes.select("digest", "fingerprint").mapInArrow(_pair_keyed, "key long, f long, digest long")
-    pairs = keyed.repartition("key").sortWithinPartitions("key", "digest").mapInArrow(_proposed, "a long, b long").distinct()
-    pairs = pinned(pairs)
-    ends = pairs.select(F.col("a").alias("digest")).union(pairs.select("b")).distinct().join(nodes, "digest").select("digest", "content")
-    texts = marked.select("content", "text").join(ends, "content").groupBy("digest").agg(F.first("text").alias("text"))
-    sets = pinned(shingle_sets(texts, shingle))
-    joined = (
-        pairs.join(sets.select(F.col("digest").alias("a"), F.col("shingles").alias("x")), "a")
-        .join(sets.select(F.col("digest").alias("b"), F.col("shingles").alias("y")), "b")
-        .select("a", "b", "x", "y")
-    )
-    found = components(joined.mapInArrow(_similar(least), "a long, b long"))
+    first = _linked(marked, nodes.withColumn("root", F.col("digest")), _with_first, shingle, least)
+    found = components(first)
+    rooted = nodes.join(found, nodes.digest == found.node, "left").select("digest", "fingerprint", "content", F.coalesce("root", "digest").alias("root"))
+    second = _linked(marked, pinned(rooted), _with_neighbours, shingle, least)
+    found = components(first.unionByName(second))
     return sketched.join(found, sketched.digest == found.node, "left").select("doc_id", "content", F.coalesce("root", "digest").alias("root"))
 
 

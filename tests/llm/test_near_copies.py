@@ -85,6 +85,13 @@ def test_fingerprints_within_two_bits_share_a_join_key():
     assert all(found[k] & found[k + 200] for k in range(200))
 
 
+def test_bits_of_signed_fingerprints():
+    rnd = np.random.default_rng(4)
+    left, right = (rnd.integers(-(1 << 63), 1 << 63, 500, dtype=np.int64) for _ in range(2))
+    want = [((int(a) ^ int(b)) & (1 << 64) - 1).bit_count() for a, b in zip(left, right, strict=True)]
+    assert simhash._apart(left, right).tolist() == want
+
+
 def test_simhash_groups_equal_all_pairs(spark):
     rows = corpus()
     got = simhash.near_duplicates(table(spark, rows)).collect()

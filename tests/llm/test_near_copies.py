@@ -149,6 +149,44 @@ def test_one_of_each_group_of_near_copies_stays(spark):
     assert [g[0] for g in got] == [w[0] for w in want]
 
 
+def shingles(text):
+    found = text.lower().split()
+    return frozenset(" ".join(found[k : k + 5]) for k in range(max(1, len(found) - 4)))
+
+
+def assert_groups_equal_all_pairs(spark, rows):
+    """Texts must differ and have ids of their own; returns the number of groups."""
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = {i: shingles(t) for i, t in rows}
+    roots = closed(sorted(sets), lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
+    want = {}
+    for i, root in roots.items():
+        want.setdefault(root, set()).add(i)
+    got = {}
+    for r in simhash.similar_groups(df).collect():
+        got.setdefault(r.root, set()).add(r.doc_id)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+    return len(want)
+
+
+def test_crowded_buckets_equal_all_pairs(spark):
+    rnd = random.Random(11)
+    common = [f"w{k}" for k in range(60)]
+    rows = []
+    for k in range(250):  # near copies of one text
+        words = list(common)
+        words[rnd.randrange(60)] = f"x{k}"
+        rows.append((k, " ".join(words)))
+    for k in range(60):  # groups of two with the same words in another order: fingerprints of words are equal
+        words = rnd.sample(common, 60)
+        rows.append((1000 + k, " ".join(words)))
+        rows.append((2000 + k, " ".join([*words[:-1], f"y{k}"])))
+    for k in range(120):  # one passage with differing surroundings, mostly below the similarity
+        rows.append((3000 + k, " ".join(common[:40] + [f"z{k}_{j}" for j in range(rnd.randrange(3, 12))])))
+    rnd.shuffle(rows)
+    assert 60 < assert_groups_equal_all_pairs(spark, rows) < 300
+
+
 def brute_removed(rows, length):
     first = {}
     for i, t in rows:

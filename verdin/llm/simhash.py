@@ -12,10 +12,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import accumulate, combinations
+from math import ceil, log2
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -199,62 +201,141 @@ def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
     )
 
 
-# Near copies by word shingles: fingerprints over the words of a text propose pairs, shingles decide.
+# Near copies by word shingles: an exact join on the rarest shingles of each text, shingles decide.
 
-PROPOSED_BITS = 10
-COMPARED = 32
-_LETTERS = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in range(256))
-_SKETCH = "doc_id long, digest long, fingerprint long"
+BLOCK_BYTES = 8 << 20
+CELLS_PER_BYTE = 3
+FEW = 64
+_SKETCH = "doc_id long, digest long"
+_CELLS = "bucket int, block int, cells binary, counts binary"
+_RANKS = "bucket int, block int, ranks binary"
+_KEYED = "key long, digest long, n long, place long"
 
 
-def _word_fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Digest of the word sequence, and SimHash of the set of bare words: one changed word moves few of its bits."""
-    known: dict[bytes, bytes] = {}
-    for batch in batches:
-        values, digests = [], []
-        for data in text_bytes(batch.column(1)):
-            low = data.lower()
-            digests.append(xxhash.xxh3_64_intdigest(b" ".join(low.split())))
-            words = set(low.translate(_LETTERS).split())
-            if len(known) > 300_000:
-                known.clear()
-            for word in words:
-                if word not in known:
-                    known[word] = xxhash.xxh64_digest(word, SEED)
-            values.append(_majority(b"".join([known[word] for word in words]), [len(words)]))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(np.array(digests, dtype=np.uint64).view(np.int64)), pa.array(np.concatenate(values).view(np.int64))],
-            names=["doc_id", "digest", "fingerprint"],
-        )
-
-
-def pair_keys(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Row numbers and keys of two Golay indices each, for every two of the three segments.
-
-    With up to five wrong bits two segments hold two at most each, so such
-    fingerprints share a key; of those with more wrong bits most do.
-    """
-    parts = segments_of(values)
-    coded = [golay_keys(part) for part in parts]
-    rows, keys = [], []
-    for family, (i, j) in enumerate(((0, 1), (0, 2), (1, 2))):
-        (row, index), (other, second) = coded[i], coded[j]
-        first = np.searchsorted(other, row)
-        number = np.searchsorted(other, row, side="right") - first
-        entry = np.repeat(first - (np.cumsum(number) - number), number) + np.arange(number.sum())
-        rows.append(np.repeat(row, number))
-        keys.append(family << 24 | np.repeat(index, number) << 12 | second[entry])
-    return np.concatenate(rows), np.concatenate(keys).astype(np.int64)
+def _apart(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Bits in which fingerprints differ (of a signed number numpy would count those of its absolute value)."""
+    return np.bitwise_count((left ^ right).view(np.uint64))
+
+
+def _word_digest(data: bytes) -> int:
+    """Signed digest of the word sequence, case aside."""
+    value = xxhash.xxh3_64_intdigest(b" ".join(data.lower().split()))
+    return value - (1 << 64) if value >> 63 else value
+
+
+def shingle_hashes(data: bytes, size: int) -> np.ndarray:
+    """The sorted 64-bit hashes of a text's distinct word shingles."""
+    digest = xxhash.xxh64_digest
+    return np.unique(np.frombuffer(b"".join([digest(one) for one in _features(data, size)]), dtype="<u8"))
+
 
+def prefix_length(n: int, least: float) -> int:
+    """Of two sets with a Jaccard similarity of ``least``, both have a common element among so many first ones in any order."""
+    return n - ceil(least * n - 1e-9) + 1 if n else 0
 
-def _pair_keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def may_reach(n: np.ndarray, place: np.ndarray, m: np.ndarray, at: np.ndarray, least: float) -> np.ndarray:
+    """Whether sets of ``n`` and ``m`` can be similar if their first common element stands at ``place`` and ``at``."""
+    need = np.ceil(least / (1 + least) * (n + m) - 1e-9)
+    return (np.minimum(n, m) >= least * np.maximum(n, m) - 1e-9) & (np.minimum(n - place, m - at) >= need)
+
+
+def _distinct_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Digest and text of each word sequence, once per task."""
+    seen: set[int] = set()
     for batch in batches:
-        digest, value, root = (column.to_numpy(zero_copy_only=False) for column in batch.columns)
-        for start in range(0, len(value), 4096):
-            part = slice(start, start + 4096)
-            rows, keys = pair_keys(value[part].view(np.uint64))
-            columns = [pa.array(keys), *[pa.array(column[part][rows]) for column in (value, digest, root)]]
-            yield pa.RecordBatch.from_arrays(columns, names=["key", "f", "digest", "root"])
+        digests, texts = [], []
+        for data in text_bytes(batch.column(0)):
+            value = _word_digest(data)
+            if value not in seen:
+                seen.add(value)
+                digests.append(value)
+                texts.append(data)
+        yield pa.RecordBatch.from_arrays([pa.array(digests, pa.int64()), pa.array(texts, pa.binary())], names=["digest", "data"])
+
+
+def _sets(table: pa.Table, size: int) -> dict[int, np.ndarray]:
+    """Shingle hashes of each word sequence of a block."""
+    texts = dict(zip(table.column("digest").to_pylist(), table.column("data").to_pylist(), strict=True))
+    return {digest: shingle_hashes(data, size) for digest, data in texts.items()}
+
+
+def _cells(sets: dict[int, np.ndarray], bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Cells (leading bits of hashes) of a block in rising order, and the hashes in each."""
+    return np.unique(np.concatenate([*sets.values(), np.zeros(0, dtype=np.uint64)]) >> np.uint64(64 - bits), return_counts=True)
+
+
+def _block_cells(size: int, bits: int, parts: int):
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        press = zstandard.ZstdCompressor(level=1)
+        cells, counts = _cells(_sets(table, size), bits)
+        bucket, first = np.unique(cells >> np.uint64(bits - parts), return_index=True)
+        rows: dict[str, list] = {"bucket": [], "block": [], "cells": [], "counts": []}
+        for k, a, b in zip(bucket.tolist(), first.tolist(), [*first[1:].tolist(), len(cells)], strict=True):
+            steps = np.diff(cells[a:b], prepend=np.uint64(0))
+            rows["bucket"].append(k)
+            rows["block"].append(key[0].as_py())
+            rows["cells"].append(press.compress(steps.view(np.uint8).reshape(-1, 8).T.tobytes()))
+            rows["counts"].append(press.compress(np.minimum(counts[a:b], 255).astype(np.uint8).tobytes()))
+        return pa.table([pa.array(rows["bucket"], pa.int32()), pa.array(rows["block"], pa.int32()), pa.array(rows["cells"], pa.binary()), pa.array(rows["counts"], pa.binary())], names=list(rows))
+
+    return run
+
+
+def _bucket_ranks(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """Sums of the counts of cells over all blocks, sent back to each block on a scale of one byte."""
+    press, open_ = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+    lists = [
+        np.cumsum(np.ascontiguousarray(np.frombuffer(open_.decompress(one), dtype=np.uint8).reshape(8, -1).T).view(np.uint64).ravel())
+        for one in table.column("cells").to_pylist()
+    ]
+    counts = np.concatenate([np.frombuffer(open_.decompress(one), dtype=np.uint8) for one in table.column("counts").to_pylist()])
+    cells, place = np.unique(np.concatenate(lists), return_inverse=True)
+    total = np.bincount(place, weights=counts, minlength=len(cells))
+    scale = np.where(total <= 64, total, np.minimum(255, 64 + np.floor(12 * np.log2(np.maximum(total, 64) / 64)))).astype(np.uint8)
+    ends = np.cumsum([len(one) for one in lists])
+    ranks = [press.compress(scale[place[end - len(one) : end]].tobytes()) for one, end in zip(lists, ends.tolist(), strict=True)]
+    bucket = pa.array([key[0].as_py()] * len(ranks), pa.int32())
+    return pa.table([bucket, table.column("block"), pa.array(ranks, pa.binary())], names=["bucket", "block", "ranks"])
+
+
+def _prefixes(size: int, bits: int, least: float):
+    def run(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
+        open_ = zstandard.ZstdDecompressor()
+        sets = _sets(left, size)
+        cells, _ = _cells(sets, bits)
+        parts = sorted(zip(right.column("bucket").to_pylist(), right.column("ranks").to_pylist(), strict=True))
+        ranks = np.frombuffer(b"".join(open_.decompress(one) for _, one in parts), dtype=np.uint8)
+        columns: list[list[np.ndarray]] = [[np.zeros(0, dtype=np.int64)] for _ in range(4)]
+        for digest, hashes in sets.items():
+            rank = ranks[np.searchsorted(cells, hashes >> np.uint64(64 - bits))]
+            first = np.argsort(rank, kind="stable")[: prefix_length(len(hashes), least)]
+            place = np.flatnonzero(rank[first] > 1)  # a shingle that is alone in its cell meets no other
+            for column, values in zip(columns, (hashes[first[place]].view(np.int64), np.full(len(place), digest), np.full(len(place), len(hashes)), place), strict=True):
+                column.append(values)
+        return pa.table([pa.array(np.concatenate(column).astype(np.int64)) for column in columns], names=["key", "digest", "n", "place"])
+
+    return run
+
+
+def rare_shingles(docs: DataFrame, shingle: int, least: float) -> DataFrame:
+    """The first shingles of each word sequence in a common order, rare ones first: ``key``, ``digest``, ``n``, ``place``.
+
+    Two sets with a similarity of ``least`` have one of their first shingles in
+    common, whatever the order, as long as it is the same for all. The order is
+    that of the number of texts by cell (leading bits of the hash), then of the
+    hash: shared cells make a shingle seem less rare but lose none.
+    Shingles that no other text has are counted but left out.
+    """
+    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("binary")))).first()[0] or 0
+    blocks = max(8, ceil(size / BLOCK_BYTES))
+    bits = max(20, ceil(log2(CELLS_PER_BYTE * size + 1)))
+    parts = max(3, ceil(log2(blocks)))
+    texts = docs.select("text").mapInArrow(_distinct_texts, "digest long, data binary")
+    by_block = texts.withColumn("block", F.pmod(F.xxhash64("digest"), F.lit(blocks)).cast("int")).repartition(blocks, "block").groupBy("block")
+    cells = by_block.applyInArrow(_block_cells(shingle, bits, parts), _CELLS)
+    ranks = cells.groupBy("bucket").applyInArrow(_bucket_ranks, _RANKS)
+    return by_block.cogroup(ranks.groupBy("block")).applyInArrow(_prefixes(shingle, bits, least), _KEYED)
 
 
 def _pairs(left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
@@ -262,60 +343,85 @@ def _pairs(left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
-def _apart(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Bits in which fingerprints differ (of a signed number numpy would count those of its absolute value)."""
-    return np.bitwise_count((left ^ right).view(np.uint64))
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """The columns of whole buckets; rows come sorted by key, the first column."""
+    held: list[list[np.ndarray]] = []
+    for batch in batches:
+        fresh = [column.to_numpy(zero_copy_only=False) for column in batch.columns]
+        cut = int(np.searchsorted(fresh[0], fresh[0][-1])) if len(fresh[0]) else 0
+        if held and len(fresh[0]) and (cut or held[-1][0][-1] != fresh[0][0]):
+            yield [np.concatenate(column) for column in zip(*held, [column[:cut] for column in fresh], strict=True)]
+            held, fresh = [], [column[cut:] for column in fresh]
+        if len(fresh[0]):
+            held.append(fresh)
+    if held:
+        yield [np.concatenate(column) for column in zip(*held, strict=True)]
 
 
-def _with_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _with_first(least: float):
     """Pairs of each row with the first one of its bucket; rows come sorted by key and digest."""
-    lead = None  # key, fingerprint and digest of the current bucket's first row
-    for batch in batches:
-        key, value, digest, _ = (column.to_numpy(zero_copy_only=False) for column in batch.columns)
-        if not len(key):
-            continue
-        first = np.searchsorted(key, key)
-        lead_value, lead_digest = value[first], digest[first]
-        if lead is not None:
-            inside = key == lead[0]
-            lead_value, lead_digest = np.where(inside, lead[1], lead_value), np.where(inside, lead[2], lead_digest)
-        lead = int(key[-1]), int(lead_value[-1]), int(lead_digest[-1])
-        close = (_apart(value, lead_value) <= PROPOSED_BITS) & (digest != lead_digest)
-        if close.any():
-            yield _pairs(lead_digest[close], digest[close])
-
-
-def _with_neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of rows of a bucket that are not in one group yet, up to ``COMPARED`` places apart."""
-    held = [np.zeros(0, dtype=np.int64)] * 4
-    for batch in batches:
-        fresh = [column.to_numpy(zero_copy_only=False) for column in batch.columns]
-        new = len(held[0])
-        key, value, digest, root = (np.concatenate(pair) for pair in zip(held, fresh, strict=True))
-        left, right = [], []
-        for lag in range(1, min(COMPARED, len(key) - 1) + 1):
-            same = key[lag:] == key[:-lag]
-            if not same.any():
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, digest, n, place, _ in _buckets(batches):
+            lead = np.searchsorted(key, key)
+            good = (digest != digest[lead]) & may_reach(n, place, n[lead], place[lead], least)
+            if good.any():
+                yield _pairs(digest[lead[good]], digest[good])
+
+    return run
+
+
+def _with_all(least: float):
+    """All pairs of a bucket that are not in one group yet; rows come sorted by key and number of shingles.
+
+    In a bucket of more than ``FEW`` rows those of its largest group are only compared with the others.
+    """
+
+    def good(columns: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        _, digest, n, place, root = columns
+        return (digest[a] != digest[b]) & (root[a] != root[b]) & may_reach(n[a], place[a], n[b], place[b], least)
+
+    def small(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        key, digest = columns[:2]
+        for lag in range(1, FEW):
+            at = np.flatnonzero(key[lag:] == key[:-lag])
+            if not len(at):
                 break
-            same[: max(0, new - lag)] = False  # both rows were in the batch before
-            at = np.flatnonzero(same)
-            at = at[(root[at] != root[at + lag]) & (_apart(value[at + lag], value[at]) <= PROPOSED_BITS)]
-            left.append(digest[at])
-            right.append(digest[at + lag])
-        held = [column[-COMPARED:] for column in (key, value, digest, root)]
-        if left and sum(map(len, left)):
-            yield _pairs(np.concatenate(left), np.concatenate(right))
+            at = at[good(columns, at, at + lag)]
+            if len(at):
+                yield _pairs(digest[at], digest[at + lag])
+
+    def large(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        digest, root = columns[1], columns[4]
+        roots, group, number = np.unique(root, return_inverse=True, return_counts=True)
+        every = np.arange(len(root))
+        biggest = number.argmax()
+        outside = np.flatnonzero(group != biggest)
+        for at in outside.tolist():
+            # rows of the largest group all, of the others each pair once
+            other = every[(every > at) | (group == biggest)]
+            other = other[good(columns, np.full(len(other), at), other)]
+            if len(other):
+                yield _pairs(np.full(len(other), digest[at]), digest[other])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for columns in _buckets(batches):
+            key = columns[0]
+            first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+            number = np.diff(np.append(first, len(key)))
+            yield from small([column[np.repeat(number <= FEW, number)] for column in columns])
+            for k in np.flatnonzero(number > FEW).tolist():
+                yield from large([column[first[k] : first[k] + number[k]] for column in columns])
+
+    return run
 
 
 def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
-    """``digest`` and the sorted 32-bit hashes of a text's distinct word shingles, for a table of ``digest`` and ``text``."""
+    """``digest`` and the sorted hashes of a text's distinct word shingles, for a table of ``digest`` and ``text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = []
-            for data in text_bytes(batch.column(1)):
-                hashes = [xxhash.xxh32_intdigest(one) for one in _features(data, size)]
-                sets.append(np.unique(np.array(hashes, dtype=np.uint32)).tobytes())
+            sets = [shingle_hashes(data, size).tobytes() for data in text_bytes(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["digest", "shingles"])
 
     return docs.mapInArrow(run, "digest long, shingles binary")
@@ -326,7 +432,7 @@ def _similar(least: float):
         for batch in batches:
             good = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(x, dtype=np.uint32), np.frombuffer(y, dtype=np.uint32)
+                x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 good.append(common >= least * (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
@@ -334,10 +440,10 @@ def _similar(least: float):
     return run
 
 
-def _linked(marked: DataFrame, nodes: DataFrame, proposed, shingle: int, least: float) -> DataFrame:
+def _linked(marked: DataFrame, nodes: DataFrame, keyed: DataFrame, order: str, proposed, shingle: int, least: float) -> DataFrame:
     """Pairs that a walk over the buckets proposes, verified on the shingles of the whole texts: ``a``, ``b``."""
-    keyed = nodes.select("digest", "fingerprint", "root").mapInArrow(_pair_keyed, "key long, f long, digest long, root long")
-    walked = keyed.repartition("key").sortWithinPartitions("key", "digest").mapInArrow(proposed, "a long, b long")
+    rooted = keyed.join(nodes.select("digest", "root"), "digest").select("key", "digest", "n", "place", "root")
+    walked = rooted.repartition("key").sortWithinPartitions("key", order, "digest").mapInArrow(proposed(least), "a long, b long")
     pairs = pinned(walked.distinct())
     ends = pairs.select(F.col("a").alias("digest")).union(pairs.select("b")).distinct().join(nodes, "digest").select("digest", "content")
     texts = marked.select("content", "text").join(ends, "content").groupBy("digest").agg(F.first("text").alias("text"))
@@ -355,11 +461,12 @@ def similar_groups(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> Dat
 
     Texts with the same words, case aside, are copies. Others are linked if
     their sets of ``shingle``-word shingles have a Jaccard similarity of
-    ``least``; pairs are proposed by the fingerprints of their words through
-    shared Golay keys (``pair_keys``), each verified on the whole texts. Two
-    walks over the buckets keep the pairs few: the first compares with the first
-    member only, the second compares neighbours that are in different groups
-    after that. Texts without words are copies of each other.
+    ``least``. Every such pair meets at one of its rarest shingles
+    (``rare_shingles``) unless it is in one group already; all that meet and
+    can be similar are verified on the whole texts. Two walks over the shingles
+    keep the pairs few: the first compares with the first text only, the second
+    compares all texts that are in different groups after that. Texts without
+    words are copies of each other.
     """
     content = F.xxhash64(F.coalesce("text", F.lit("")))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -367,16 +474,16 @@ def similar_groups(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> Dat
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            narrow = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["doc_id", "text"])
-            for made in _word_fingerprints(iter([narrow])):
-                yield pa.RecordBatch.from_arrays([*made.columns, batch.column(2)], names=[*made.schema.names, "content"])
+            digests = pa.array([_word_digest(data) for data in text_bytes(batch.column(1))], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), digests, batch.column(2)], names=["doc_id", "digest", "content"])
 
     sketched = pinned(marked.mapInArrow(sketch, f"{_SKETCH}, content long"))
-    nodes = pinned(sketched.groupBy("digest").agg(F.min("fingerprint").alias("fingerprint"), F.min("content").alias("content")))
-    first = _linked(marked, nodes.withColumn("root", F.col("digest")), _with_first, shingle, least)
+    nodes = pinned(sketched.groupBy("digest").agg(F.min("content").alias("content")))
+    keyed = pinned(rare_shingles(rows, shingle, least))
+    first = _linked(marked, nodes.withColumn("root", F.col("digest")), keyed, "digest", _with_first, shingle, least)
     found = components(first)
-    rooted = nodes.join(found, nodes.digest == found.node, "left").select("digest", "fingerprint", "content", F.coalesce("root", "digest").alias("root"))
-    second = _linked(marked, pinned(rooted), _with_neighbours, shingle, least)
+    rooted = nodes.join(found, nodes.digest == found.node, "left").select("digest", "content", F.coalesce("root", "digest").alias("root"))
+    second = _linked(marked, pinned(rooted), keyed, "n", _with_all, shingle, least)
     found = components(first.unionByName(second))
     return sketched.join(found, sketched.digest == found.node, "left").select("doc_id", "content", F.coalesce("root", "digest").alias("root"))
 

@@ -187,6 +187,21 @@ def test_crowded_buckets_equal_all_pairs(spark):
     assert 60 < assert_groups_equal_all_pairs(spark, rows) < 300
 
 
+def test_appended_and_truncated_copies_equal_all_pairs(spark):
+    rnd = random.Random(12)
+    rows = []
+    for k in range(150):
+        words = [f"w{rnd.randrange(3000)}" for _ in range(rnd.randrange(80, 160))]
+        n = len(words)
+        more = [f"w{rnd.randrange(3000)}" for _ in range(n)]
+        rows.append((10 * k, " ".join(words)))
+        rows.append((10 * k + 1, " ".join(words + more[: rnd.randrange(n // 5, n // 4)])))  # 0.80 to 0.84
+        rows.append((10 * k + 2, " ".join(words[: n - rnd.randrange(n // 7, n // 5)])))  # 0.79 to 0.86
+        rows.append((10 * k + 3, " ".join(more[: n // 4] + words)))  # just below or at 0.8
+    rnd.shuffle(rows)
+    assert 150 <= assert_groups_equal_all_pairs(spark, rows) < 450
+
+
 def brute_removed(rows, length):
     first = {}
     for i, t in rows:

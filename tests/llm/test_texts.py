@@ -72,6 +72,17 @@ def test_quality_rules(spark):
     assert repetition.judged(df.limit(0)).count() == 0 and repetition.kept(df.limit(0)).count() == 0
 
 
+def test_covered_share_alone_rejects(spark):
+    rnd = random.Random(14)
+    passage, other = words(rnd, 100, 10**7), words(rnd, 20, 10**7)
+    texts = [passage * 2 + words(rnd, 300, 10**7), other * 2 + words(rnd, 400, 10**7)]
+    df = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    by = {r.doc_id: r for r in repetition.judged(df).collect()}
+    assert not by[0].base_failed and by[0].longest_repeat <= repetition.MAX_LONGEST and not by[0].kept
+    assert by[1].kept
+    assert [r.doc_id for r in repetition.kept(df).collect()] == [1]
+
+
 def distance_inside(item, text):
     before = [0] * (len(text) + 1)
     for i, char in enumerate(item):

@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from verdin.llm.frames import keep_rows, text_bytes
 
 #: Words of a repeat that counts, the share of a text that such repeats may cover, and the longest one allowed.
+#: The share is the published limit for duplicate 8-word sequences (MassiveText, Rae et al. 2021: 0.12). Words of such
+#: repeats also lie in the base rule's repeated windows, so only a limit well below its one half decides anything.
 MIN_REPEAT = 8
-MAX_COVERED = 0.5
+MAX_COVERED = 0.12
 MAX_LONGEST = 120
 
 _NOT_COUNTED = bytes(range(0x80, 0xC0)) + b" \t\n\v\f\r"

@@ -233,6 +233,16 @@ def test_pseudonyms_keep_formats_and_links(spark):
     assert pseudonyms.pseudonymised(df.limit(0)).count() == 0
 
 
+def test_values_without_another_trigger_are_replaced(spark):
+    values = ["378 282 246 310 005", "4 222 222 222 222", "10.20.30.40", "2020-02-29", "a@b.example", "+1 (555) 123-4567", "0a" * 16]
+    texts = [f"see {v} there" for v in values] + [f"see {v} there, in 2024" for v in values]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pseudonyms.pseudonymised(df, "secret").collect()}
+    for k, value in enumerate(values):
+        assert value not in got[k]
+        assert got[k + len(values)] == f"{got[k]}, in 2024"
+
+
 @pytest.mark.parametrize("left,right", [(3, 5), (10, 1), (189, 773)])
 def test_feistel_is_a_permutation(spark, left, right):
     from pyspark.sql import functions as F

@@ -201,7 +201,7 @@ def pseudonymised(docs: DataFrame, key: str = KEY, column: str = "text") -> Data
     permutation within its format.
     """
     text = F.col(column)
-    some = text.rlike(r"[0-9]{4}|[0-9][.\-)][ 0-9]|@|[0-9a-fA-F]{32}")
+    some = text.rlike(PATTERN)
     found = F.transform(F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)), lambda v: pseudonym(v, key))
     new = _let(
         F.struct(F.split(text, PATTERN, -1).alias("between"), found.alias("found")),

@@ -11,7 +11,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from verdin.llm import decontamination, languages, mixing, repetition, tokens, urls
+from verdin.llm import decontamination, languages, mixing, tokens, urls
 from verdin.llm.queries import QUERIES, TWINS
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -195,8 +195,15 @@ def test_pipeline_stages(spark):
 
 
 def brute_failed(text):
-    n, _, _, _, repeated, _, covered, longest = repetition.measure(text.encode())
-    return n < 50 or 2 * repeated > n or 2 * covered > n or longest > repetition.MAX_LONGEST
+    found = re.findall(r"[^\x20\x09-\x0D]+", text)
+    n = len(found)
+
+    def inside(size):
+        """Words in windows of ``size`` words found twice or more."""
+        windows = Counter(tuple(found[k : k + size]) for k in range(n - size + 1))
+        return len({k + step for k in range(n - size + 1) if windows[tuple(found[k : k + size])] > 1 for step in range(size)})
+
+    return n < 50 or 100 * inside(3) > 50 * n or 100 * inside(8) > 12 * n or inside(121) > 0
 
 
 def survivors(rows):

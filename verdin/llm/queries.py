@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from verdin.llm import decontamination, languages, mixing, pseudonyms, repetition, simhash, suffixes, tokens, toxicity, urls
+from verdin.llm import decontamination, infill, languages, lines, mixing, periods, pseudonyms, repetition, simhash, suffixes, tokens, toxicity, urls
 from verdin.llm.registry import QUERIES, TWINS, query
 from verdin.session import read_table
 
@@ -61,3 +61,18 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_language")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return languages.identified(read_table(spark, folder, "pages"), read_table(spark, folder, "documents"))
+
+
+@query("op11_periodic_runs")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return periods.digests(periods.periodic_runs(periods.with_planted_runs(read_table(spark, folder, "documents"))))
+
+
+@query("op12_fill_in_middle", infill.SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return infill.digests(read_table(spark, folder, "documents"))
+
+
+@query("op13_line_dedup", lines.SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.digests(read_table(spark, folder, "documents"))

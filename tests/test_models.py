@@ -5,7 +5,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from verdin.operators import models
-from verdin.plans import streams
 from verdin.session import scratch_path
 
 
@@ -52,28 +51,6 @@ def test_tone_model_probability(spark):
     assert all(0.5 <= r["confidence"] <= 1 for r in got)
 
 
-def test_processed_and_skipped_are_all_events(spark):
-    folder = "/root/testdata/sf0.001"
-    out = streams.run_stream(spark, folder)
-    total = spark.read.parquet(f"{folder}/events.parquet").count()
-    processed, skipped = spark.read.parquet(f"{out}/processed"), spark.read.parquet(f"{out}/skipped")
-    assert processed.count() + skipped.count() == total
-    once = processed.where("status = 'started'")
-    assert once.count() == once.select("key").distinct().count() == processed.select("key").distinct().count()
-
-
-def test_a_lost_checkpoint_starts_nothing_again(spark):
-    folder = "/root/testdata/sf0.001"
-    out = streams.run_stream(spark, folder)
-    before = spark.read.parquet(f"{out}/processed").select("key", "status", "run").collect()
-    assert len({r.run for r in before}) == 1
-    streams.run_stream(spark, folder, out)
-    both = spark.read.parquet(f"{out}/processed")
-    again = both.where(~F.col("run").isin(before[0].run))
-    assert again.count() == len(before) and again.where("status = 'started'").count() == 0
-    assert both.where("status = 'started'").count() == both.select("key").distinct().count()
-
-
 def test_importance_of_texts_as_columns(spark, data):
     model = models.fit(data, ["x", "c"], "y", "rf", sparse=True, numTrees=5, maxDepth=3)
     table = models.importance_table(spark, model).collect()

@@ -96,6 +96,15 @@ def quantiles(
         .groupBy(*within, F.col(column).cast("double").alias("_value"))
         .agg(F.count(F.lit(1)).alias("_copies"))
     )
+    # sampled, shuffled and summed below: computed once
+    return quantiles_of_counts(pinned(counted), "_value", "_copies", wanted, within)
+
+
+def quantiles_of_counts(
+    counted: DataFrame, value: str, copies: str, wanted: Mapping[str, float], within: Sequence[str] = ()
+) -> DataFrame:
+    """``quantiles`` of values that are already counted: one row per group and value, its number in ``copies``."""
+    counted = counted.where(F.col(value).isNotNull()).select(*within, F.col(value).alias("_value"), F.col(copies).alias("_copies"))
     run = running_totals(counted, [F.col("_value")], {"_upto": F.col("_copies")}, within)
     sizes = counted.groupBy(*within).agg(F.sum("_copies").alias("_size"))
     if within:

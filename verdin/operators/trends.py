@@ -39,11 +39,14 @@ def prepare_posts(posts: DataFrame, origin: str, moment: str, text: str, extra:
 
     Null origins are dropped, not turned into a group of their own.
     """
+    return tidy_posts(posts, origin, moment, text, extra).where("origin IS NOT NULL AND day IS NOT NULL")
+
+
+def tidy_posts(posts: DataFrame, origin: str, moment: str, text: str, extra: Sequence[str] = ()) -> DataFrame:
+    """``prepare_posts`` with all rows kept."""
     require(posts, [origin, moment, text])
     total = interaction_total(posts, INTERACTION_PATTERNS)
-    dated = posts.withColumn("_moment", post_moment(posts, moment)).where(
-        F.col(origin).isNotNull() & F.col("_moment").isNotNull()
-    )
+    dated = posts.withColumn("_moment", post_moment(posts, moment))
     return dated.select(
         origin_host(F.col(origin).cast("string")).alias("origin"),
         week_label(F.col("_moment")).alias("week"),
@@ -61,22 +64,32 @@ def group_words(prepared: DataFrame, groups: Sequence[str], k: int = 20) -> Data
     per group to the ranking.
     """
     words = prepared.select(*groups, F.explode(post_keywords(F.col("text"))).alias("word"))
-    counts = words.groupBy(*groups, "word").agg(F.count(F.lit(1)).alias("n"))
+    return listed_words(words.groupBy(*groups, "word").agg(F.count(F.lit(1)).alias("n")), groups, k)
+
+
+def listed_words(counts: DataFrame, groups: Sequence[str], k: int = 20) -> DataFrame:
+    """``group_words`` of words that are already counted as ``n``."""
     best = top_per_group(counts, groups, [F.desc("n"), F.asc("word")], k)
     listed = F.array_sort(F.collect_list(F.struct("place", "word")))  # at most k entries
     return best.groupBy(*groups).agg(F.array_join(F.transform(listed, lambda x: x["word"]), ", ").alias("words"))
 
 
+SHARES = {"p50": 0.5, "p75": 0.75}
+TREND_KEYS = ["week", "origin"]
+
+
 def weekly_trends(prepared: DataFrame, k: int = 20) -> DataFrame:
     """One row per week and origin: posts, first day, frequent words, median and upper quartile of interactions."""
-    keys = ["week", "origin"]
-    base = prepared.groupBy(*keys).agg(F.count(F.lit(1)).alias("posts"), F.min("day").alias("first_day"))
-    words = group_words(prepared, keys, k)
-    shares = ordered.quantiles(prepared, "interactions", {"p50": 0.5, "p75": 0.75}, keys)
-    joined = base.join(words, keys, "left").join(shares, keys, "left")
+    base = prepared.groupBy(*TREND_KEYS).agg(F.count(F.lit(1)).alias("posts"), F.min("day").alias("first_day"))
+    return trend_table(base, group_words(prepared, TREND_KEYS, k), ordered.quantiles(prepared, "interactions", SHARES, TREND_KEYS))
+
+
+def trend_table(base: DataFrame, words: DataFrame, shares: DataFrame) -> DataFrame:
+    """Counts, words and quantiles of each week and origin beside each other."""
+    joined = base.join(words, TREND_KEYS, "left").join(shares, TREND_KEYS, "left")
     return joined.withColumns(
         {"words": F.coalesce("words", F.lit("")), "first_day": F.date_format("first_day", "yyyy-MM-dd")}
-    ).orderBy("week", "origin")
+    ).orderBy(*TREND_KEYS)
 
 
 def trend_baseline(trends: DataFrame) -> DataFrame:

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from verdin.plans.registry import query
 from verdin.plans.scoring import rounded
+from verdin.plans.trends import TRENDS_QUERY, posts
 from verdin.session import read_table, scratch_path
-from verdin.streaming import routing, weekly
+from verdin.streaming import live_trends, routing, weekly
 
 ALLOWED = ("wav", "mp3")
 
@@ -70,9 +71,8 @@ def run_stream(spark: SparkSession, folder: str, output: str | None = None) -> s
 @query("st1_s15_route_stream", f"WITH {ROUTED_SQL} SELECT coalesce(reason, 'processed') AS reason, mail, count(*) AS n FROM r GROUP BY 1, 2")
 def route_stream(spark, folder):
     out = run_stream(spark, folder)
-    skipped = spark.read.parquet(f"{out}/skipped").select("reason", "mail")
-    processed = spark.read.parquet(f"{out}/processed").select(F.lit("processed").alias("reason"), "mail")
-    return skipped.unionByName(processed).groupBy("reason", "mail").agg(F.count(F.lit(1)).alias("n"))
+    reason = F.coalesce("reason", F.lit("processed")).alias("reason")
+    return routing.outcomes(spark, out).select(reason, "mail").groupBy("reason", "mail").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
@@ -82,7 +82,7 @@ def route_stream(spark, folder):
 def start_once(spark, folder):
     started = F.count_if(F.col("status") == "started")
     repeats = F.count_if(F.col("status") == "already_exists")
-    rows = spark.read.parquet(f"{run_stream(spark, folder)}/processed")
+    rows = routing.processed(spark, run_stream(spark, folder))
     return rows.groupBy("key").agg(started.alias("started"), repeats.alias("repeats"))
 
 
@@ -101,9 +101,8 @@ def refreshed_allow_list(spark, folder):
         [keys.where("event_type <= 'error'"), keys.where("event_type > 'error'")],
         [mails, mails.select(F.lit("nobody@example.com").alias("Correo")).limit(1)],
     )
-    skipped = spark.read.parquet(f"{base}/out/skipped").select("reason")
-    processed = spark.read.parquet(f"{base}/out/processed").select(F.lit("processed").alias("reason"))
-    return skipped.unionByName(processed).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    rows = routing.outcomes(spark, f"{base}/out").select(F.coalesce("reason", F.lit("processed")).alias("reason"))
+    return rows.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _two_runs(base: str, inputs: list[DataFrame], lists: list[DataFrame]) -> None:
@@ -125,7 +124,7 @@ def resume(spark, folder):
     base = scratch_path(spark, "resume")
     keys, mails = object_keys(spark, folder), approved(spark, folder)
     _two_runs(base, [keys.where("event_type <= 'error'"), keys.where("event_type > 'error'")], [mails, mails])
-    seen = spark.read.parquet(f"{base}/out/routed").select(F.regexp_extract("key", r"([a-z]+) \d+\.\w+$", 1).alias("event_type"))
+    seen = routing.outcomes(spark, f"{base}/out").select(F.regexp_extract("key", r"([a-z]+) \d+\.\w+$", 1).alias("event_type"))
     return seen.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -149,3 +148,17 @@ def week_feed_stream(spark, folder):
     feed = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
     weekly.run_week_feed(feed, "ts", ["event_type"], "value", f"{base}/out", f"{base}/checkpoint").awaitTermination()
     return _tidy_weeks(weekly.latest_weeks(spark, f"{base}/out", ["event_type"]))
+
+
+@query("st5_live_trends", TRENDS_QUERY)
+def live_weekly_trends(spark, folder):
+    """Posts arrive in two parts, with a restart between them; a last row closes the feed."""
+    base = scratch_path(spark, "live-trends")
+    rows = posts(spark, folder)
+    middle, after = 45322.0, 45422.0
+    last = live_trends.closing_row(rows, {"post_date": after})
+    for part in (rows.where(F.col("post_date") < middle), rows.where(F.col("post_date") >= middle).unionByName(last)):
+        part.write.mode("append").parquet(f"{base}/feed")
+        feed = spark.readStream.schema(last.schema).parquet(f"{base}/feed")
+        live_trends.run_trend_feed(feed, "origin", "post_date", "reason", f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return rounded(live_trends.closed_trends(spark, f"{base}/out"))

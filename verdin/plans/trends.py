@@ -148,7 +148,10 @@ TRENDS_SQL = f"""{POSTS_SQL}, toks AS (SELECT week, origin, unnest(list_filter(s
     trends AS (SELECT week, origin, posts, first_day, coalesce(words, '') AS words, p50, p75 FROM base LEFT JOIN top USING (week, origin))"""
 
 
-@query("a10_a11_weekly_trends", f"WITH {TRENDS_SQL} SELECT week, origin, posts, first_day, words, round(p50, 6) AS p50, round(p75, 6) AS p75 FROM trends")
+TRENDS_QUERY = f"WITH {TRENDS_SQL} SELECT week, origin, posts, first_day, words, round(p50, 6) AS p50, round(p75, 6) AS p75 FROM trends"
+
+
+@query("a10_a11_weekly_trends", TRENDS_QUERY)
 def weekly_trends(spark, folder):
     return rounded(trend_rows(spark, folder))
 

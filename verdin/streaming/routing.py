@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from verdin.functions.parsers import job_name, key_extension, mail_in_key, unquote
 
@@ -74,7 +74,36 @@ def mark_repeats(routed: DataFrame, done: DataFrame | None, key: str = "key", ro
     return joined.withColumn("status", status).drop("_key", "_first")
 
 
-BUCKETS = 256
+class StartOnce(StatefulProcessor):
+    """Keeps one value per key, in the state store: that the key was started.
+
+    The first request of a key is ``started``, every other one ``already_exists``.
+    With ``keep_ms`` a key is forgotten that long after its start.
+    """
+
+    def __init__(self, keep_ms: int | None = None) -> None:
+        self.keep_ms = keep_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.started = handle.getValueState("started", "done boolean", self.keep_ms)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: object) -> Iterator[Row]:  # noqa: N802, N803
+        known = self.started.exists()
+        if not known:
+            self.started.update((True,))
+        for row in rows:
+            yield Row(bucket=row.bucket, key=row.key, mail=row.mail, status="already_exists" if known else "started")
+            known = True
+
+    def handleInitialState(self, key: tuple, initialState: Row, timerValues: object) -> None:  # noqa: N802, N803
+        self.started.update((True,))
+
+    def close(self) -> None:
+        pass
+
+
+STARTS = "bucket STRING, key STRING, mail STRING, status STRING"
+ROUTED = f"{STARTS}, reason STRING"
 
 
 def run_routing(
@@ -85,46 +114,74 @@ def run_routing(
     output: str,
     checkpoint: str,
     stamp: str,
+    keep_ms: int | None = None,
 ) -> StreamingQuery:
-    """Route a stream into ``output/processed`` and ``output/skipped`` until the present input is used up.
-
-    The approved list is read again for every batch, so a new version is used at
-    once. Each batch overwrites its own folder below the id of its query, so a
-    batch that is repeated after a failure does not write twice, and a query with a new
-    checkpoint overwrites nothing and starts nothing again. Started keys are
-    kept in ``output/keys`` by a hash; a batch reads the parts its own keys fall
-    into.
+    """Route a stream until the present input is used up; ``processed`` and ``skipped`` read the result.
+
+    A run reads the approved list as it is at its start. Started keys live in the
+    state store of the checkpoint, one value per key, so a batch touches the state
+    of its own keys only. A batch is written once, over its own folder below the id of its
+    query; repeated after a failure it starts from the state before it and
+    overwrites itself. A query with a new checkpoint takes the keys that others
+    started below ``output`` as its initial state and starts nothing again.
     """
+    session = notifications.sparkSession
+    approved = approved_mails(session.read.parquet(approved_path), mail_columns)
+    routed = route(object_records(notifications), approved, allowed)
+    new = not _exists(session, f"{checkpoint}/metadata", "text")
+    earlier = started_keys(session, output) if new else None
+    wanted = routed.where("reason IS NULL").select("bucket", "key", "mail")
+    marked = wanted.groupBy("key").transformWithState(
+        StartOnce(keep_ms),
+        outputStructType=STARTS,
+        outputMode="Append",
+        timeMode="ProcessingTime" if keep_ms else "None",
+        initialState=None if earlier is None else earlier.groupBy("key"),
+    )
+    started = marked.withColumns({"job": job_name(F.col("key"), stamp), "outcome": F.lit("processed")})
+    left_out = routed.where("reason IS NOT NULL").withColumn("outcome", F.lit("skipped"))
+    named = started.unionByName(left_out, allowMissingColumns=True)
+    own: list[str] = []
 
     def one_batch(batch: DataFrame, number: int) -> None:
-        session = batch.sparkSession
-        run = session.read.json(f"{checkpoint}/metadata").first()["id"]
-        own = f"run={run}/batch={number}"
-        approved = approved_mails(session.read.parquet(approved_path), mail_columns)
-        # the routed rows feed several writes and carry row numbers, so they are written first
-        staged = f"{output}/routed/{own}"
-        numbered = route(batch, approved, allowed).withColumn("row_id", F.monotonically_increasing_id())
-        numbered = numbered.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).cast("int"))
-        numbered.write.mode("overwrite").parquet(staged)
-        routed = session.read.parquet(staged)
-        routed.where("reason IS NOT NULL").drop("bucket").write.mode("overwrite").parquet(f"{output}/skipped/{own}")
-        wanted = routed.where("reason IS NULL")
-        marked = mark_repeats(wanted.drop("reason"), _earlier(session, f"{output}/keys", wanted, run, number))
-        jobs = marked.withColumn("job", job_name(F.col("key"), stamp))
-        jobs.drop("bucket").write.mode("overwrite").parquet(f"{output}/processed/{own}")
-        started = session.read.parquet(f"{output}/processed/{own}").where("status = 'started'").select("key")
-        started = started.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).cast("int"))
-        started.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{output}/keys/{own}")
-
-    writer = object_records(notifications).writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
-    return writer.trigger(availableNow=True).start()
-
-
-def _earlier(spark: SparkSession, folder: str, wanted: DataFrame, run: str, number: int) -> DataFrame | None:
-    """Keys that other batches started, from the parts that the wanted keys fall into."""
-    parts = [row[0] for row in wanted.select("bucket").distinct().collect()]  # at most BUCKETS numbers
+        if not own:
+            own.append(session.read.json(f"{checkpoint}/metadata").first()["id"])
+        # one write: the plan holds the state operator and must not run twice
+        batch.write.mode("overwrite").partitionBy("outcome").parquet(f"{output}/routed/run={own[0]}/batch={number}")
+
+    writer = named.writeStream.outputMode("append").foreachBatch(one_batch).option("checkpointLocation", checkpoint)
+    # a time to live asks for further batches for ever; a run ends with its input
+    setting = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = session.conf.get(setting)
+    session.conf.set(setting, "false")
     try:
-        known = spark.read.option("mergeSchema", False).schema("key STRING, run STRING, batch INT, bucket INT").parquet(folder)
-    except AnalysisException:  # nothing was started yet
+        return writer.trigger(availableNow=True).start()
+    finally:
+        session.conf.set(setting, before)
+
+
+def _exists(spark: SparkSession, path: str, kind: str) -> bool:
+    try:
+        return bool(spark.read.format(kind).load(path).columns)
+    except AnalysisException:
+        return False
+
+
+def outcomes(spark: SparkSession, output: str) -> DataFrame:
+    """All routed objects of all runs: the routed columns, ``job``, ``run``, ``batch`` and ``outcome``."""
+    return spark.read.schema(f"{ROUTED}, job STRING, run STRING, batch INT, outcome STRING").parquet(f"{output}/routed")
+
+
+def processed(spark: SparkSession, output: str) -> DataFrame:
+    return outcomes(spark, output).where("outcome = 'processed'").drop("outcome", "reason")
+
+
+def skipped(spark: SparkSession, output: str) -> DataFrame:
+    return outcomes(spark, output).where("outcome = 'skipped'").drop("outcome", "status", "job")
+
+
+def started_keys(spark: SparkSession, output: str) -> DataFrame | None:
+    """Keys that any run started; none when nothing was written yet."""
+    if not _exists(spark, f"{output}/routed", "parquet"):
         return None
-    return known.where(F.col("bucket").isin(parts) & ~((F.col("run") == run) & (F.col("batch") == number)))
+    return processed(spark, output).where("status = 'started'").select("key").distinct()

@@ -19,7 +19,6 @@ and segments ascend with ``doc_id``.
 from __future__ import annotations
 
 import os
-import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -28,19 +27,20 @@ from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from verdin.llm.frames import text_bytes
 from verdin.session import scratch_path
 
 HEAD = struct.Struct("<4sB3xIQI")
 BLOCK_IDS = 1 << 16
 SEGMENT_IDS = 1 << 20
-KNOWN_WORDS = 500_000
-_LETTERS_AND_MARKS = re.compile(rb"([A-Za-z\x80-\xff]+)([!-&(-/:-@\[-`{-~]*)")  # marks: ASCII ones but the apostrophe
+KNOWN_WORDS = 250_000
+PORTION_BYTES = 4 << 20
+_MARKS = bytes(k for k in range(0x21, 0x7F) if not chr(k).isalnum() and k != ord("'"))  # ASCII marks but the apostrophe
 SCHEMA = "shard int, segment int, n_ids long, doc_ids array<long>, lengths array<long>, payload binary"
 
 
@@ -52,7 +52,7 @@ class Encoder:
     the ids of a text are those of its words in a row. Words of letters with
     closing marks are encoded as two parts, in lower case, where the tokenizer
     treats both alike (``probe``), and many new parts are encoded in one text
-    where the vocabulary marks the end of a word. Full memories start anew.
+    where the vocabulary marks the end of a word.
     """
 
     def __init__(self, path: str) -> None:
@@ -64,7 +64,8 @@ class Encoder:
         self.ends = np.zeros(max(names.values(), default=0) + 1, dtype=bool)
         self.ends[[number for name, number in names.items() if name.endswith("</w>")]] = True
         self.lowers, self.splits = self.probe()
-        self.words: dict[bytes, bytes] = {}
+        self.words: dict[bytes, bytes] = {b"": b""}
+        self.older: dict[bytes, bytes] = {b"": b""}
         self.parts: dict[bytes, bytes] = {b"": b""}
 
     def single(self, words: list[str]) -> list[bytes]:
@@ -78,18 +79,19 @@ class Encoder:
 
     def split(self, word: bytes) -> tuple[bytes, bytes]:
         """The part of letters and the closing marks; other words stay whole."""
-        match = _LETTERS_AND_MARKS.fullmatch(word) if self.splits else None
-        if match is None:
+        if not self.splits:
             return word, b""
-        stem, marks = match.groups()
+        stem = word.rstrip(_MARKS)
         if stem.isalpha():  # bytes: ASCII letters only
-            return stem.lower() if self.lowers else stem, marks
+            return stem.lower() if self.lowers else stem, word[len(stem) :]
+        if stem.isascii():
+            return word, b""
         text = stem.decode()
         lower = text.lower() if self.lowers else text
         plain = text.isalpha() and lower.isalpha() and is_normalized("NFC", text) and is_normalized("NFC", lower)
-        if not plain or any(char in "Σİ" for char in text):  # their lower case depends on the place or takes two characters
+        if not plain or "Σ" in text or "İ" in text:  # their lower case depends on the place or takes two characters
             return word, b""
-        return lower.encode(), marks
+        return lower.encode(), word[len(stem) :]
 
     def learn(self, parts: list[bytes]) -> None:
         """Encode new parts: words of letters many at a time, others alone."""
@@ -109,28 +111,51 @@ class Encoder:
         for k, data in zip(rest, self.single([texts[k] for k in rest]), strict=True):
             self.parts[parts[k]] = data
 
-    def encode(self, texts: list[bytes]) -> Iterator[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        portion, held = [], 0
-        for text in texts:
-            portion.append(text.split())
-            held += len(portion[-1])
-            if held > 200_000:
-                yield from self._encoded(portion)
-                portion, held = [], 0
-        yield from self._encoded(portion)
-
-    def _encoded(self, portion: list[list[bytes]]) -> Iterator[bytes]:
+    def encode(self, texts: pa.Array) -> Iterator[bytes]:
+        """Little-endian unsigned 32-bit ids of each text of a string column, null as empty."""
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+        first = 0
+        while first < len(texts):
+            held = sizes[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(sizes, held + PORTION_BYTES, side="right")))
+            yield from self._encoded(texts.slice(first, last - first))
+            first = last
+
+    def _encoded(self, texts: pa.Array) -> Iterator[bytes]:
+        """Cut and numbered by Arrow: each distinct word of the portion is looked up once, its ids are laid out by numpy."""
+        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        numbered = split.flatten().dictionary_encode()
+        found = self.known(numbered.dictionary.cast(pa.binary()).to_pylist())
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+        ids, starts = np.frombuffer(b"".join(found), dtype="<u4"), np.cumsum(sizes) - sizes
+        at = numbered.indices.to_numpy()
+        size = sizes[at]
+        ends = np.append(0, np.cumsum(size))
+        out = ids[np.repeat(starts[at] - ends[:-1], size) + np.arange(ends[-1])]
+        edges = ends[split.offsets.to_numpy() - split.offsets[0].as_py()].tolist()
+        for low, high in zip(edges, edges[1:], strict=False):
+            yield out[low:high].tobytes()
+
+    def known(self, words: list[bytes]) -> list[bytes]:
+        """Ids of distinct words. Of a full memory the half that was used last stays."""
         if len(self.words) > KNOWN_WORDS:
-            self.words.clear()
-        if len(self.parts) > KNOWN_WORDS:
+            self.older, self.words = self.words, {b"": b""}
+        if len(self.parts) > 2 * KNOWN_WORDS:
             self.parts = {b"": b""}
-        words, parts = self.words, self.parts
-        new = {word: self.split(word) for words_ in portion for word in words_ if word not in words}
-        self.learn(list({part for pair in new.values() for part in pair if part not in parts}))
-        words.update((word, parts[stem] + parts[marks]) for word, (stem, marks) in new.items())
-        for words_ in portion:
-            yield b"".join([words[word] for word in words_])
+        found = [self.words.get(word) for word in words]
+        missing = [k for k, data in enumerate(found) if data is None]
+        new = []
+        for k in missing:
+            data = self.older.get(words[k])
+            if data is None:
+                new.append((k, *self.split(words[k])))
+            else:
+                found[k] = self.words[words[k]] = data
+        parts = self.parts
+        self.learn(list({part for _, *pair in new for part in pair if part not in parts}))
+        for k, stem, marks in new:
+            found[k] = self.words[words[k]] = parts[stem] + parts[marks]
+        return found
 
 
 @lru_cache(maxsize=2)
@@ -203,7 +228,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None
 
         for batch in batches:
             keys = batch.column(0).to_pylist()
-            for key, data in zip(keys, coder.encode(text_bytes(batch.column(1))), strict=True):
+            for key, data in zip(keys, coder.encode(batch.column(1)), strict=True):
                 data += end
                 names.append(key)
                 lengths.append(len(data) // 4)

@@ -239,3 +239,38 @@ def test_empty_tables(spark):
     assert simhash.near_duplicates(none).count() == 0
     assert simhash.without_near_copies(none).count() == 0
     assert suffixes.deduplicated(none).count() == 0
+
+
+def test_many_texts_around_one_passage_make_few_pairs(spark, monkeypatch):
+    """Similarities of 0.6 to 0.79 among 2,000 texts, some pairs above: only links and what a bound cannot rule out become rows."""
+    rnd = random.Random(13)
+    passage = [f"p{k}" for k in range(50)]
+    rows = []
+    for k in range(2000):
+        rows.append((k, " ".join(passage + [f"o{k}_{j}" for j in range(rnd.randrange(7, 14))])))
+    for k in range(0, 200, 10):  # links between texts of the passage
+        rows.append((5000 + k, rows[k][1] + " tail"))
+    rnd.shuffle(rows)
+    made = []
+    kept = simhash.close_pairs
+    monkeypatch.setattr(simhash, "close_pairs", lambda *args, **options: made.append(kept(*args, **options).count()) or kept(*args, **options))
+    number = assert_groups_equal_all_pairs(spark, rows)
+    assert 1900 < number < 2020 and made[0] < 2000
+
+
+def test_portions_of_a_large_bucket_meet(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK_ROWS", 7)
+    rnd = random.Random(14)
+    rows = [(k % 3, k, 20, 0, rnd.randrange(12), 60) for k in range(180)]
+    df = spark.createDataFrame(rows, "key long, digest long, n long, place long, root long, members long")
+    base = rnd.sample(range(1000), 20)
+    sets = {k: np.unique(np.array([*base[:17], *(rnd.randrange(18) for _ in range(3))], dtype="<u4")) for k in range(180)}
+    halves = spark.createDataFrame([(k, one.tobytes()) for k, one in sets.items()], "digest long, halves binary")
+    want = set()
+    for a, b in itertools.combinations(range(180), 2):
+        slack = min(20 - len(sets[a]), 20 - len(sets[b]))
+        if rows[a][0] == rows[b][0] and rows[a][4] != rows[b][4] and len(np.intersect1d(sets[a], sets[b])) + slack >= 17.7:
+            want.add((a, b))
+    for portion in (2048, 25):
+        assert {tuple(r) for r in simhash.close_pairs(df, halves, 0.8, portion).collect()} == want
+    assert len(want) > 100

@@ -13,12 +13,13 @@ from collections.abc import Iterator
 from functools import lru_cache
 from itertools import accumulate, combinations
 from math import ceil, log2
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verdin.llm.components import components
@@ -205,7 +206,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
 
 BLOCK_BYTES = 8 << 20
 CELLS_PER_BYTE = 3
-FEW = 64
+#: Turns of comparisons with one text a shingle before all texts are compared; they only save work.
+TURNS = 2
+#: Rows of a shingle that meet in one task, and rows whose sets are multiplied at once.
+PORTION_ROWS = 2048
+BLOCK_ROWS = 256
 _SKETCH = "doc_id long, digest long"
 _CELLS = "bucket int, block int, cells binary, counts binary"
 _RANKS = "bucket int, block int, ranks binary"
@@ -338,93 +343,173 @@ def rare_shingles(docs: DataFrame, shingle: int, least: float) -> DataFrame:
     return by_block.cogroup(ranks.groupBy("block")).applyInArrow(_prefixes(shingle, bits, least), _KEYED)
 
 
-def _pairs(left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
-    pairs = np.unique(np.stack((np.minimum(left, right), np.maximum(left, right)), axis=1), axis=0)
-    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+def _reach(least: float, pivot: str) -> Column:
+    """``may_reach`` of a row and the pivot in the struct column ``pivot``."""
+    n, place, m, at = F.col("n"), F.col("place"), F.col(f"{pivot}.n"), F.col(f"{pivot}.place")
+    need = F.ceil(F.lit(least / (1 + least)) * (n + m) - 1e-9)
+    return (F.least(n, m) >= F.lit(least) * F.greatest(n, m) - 1e-9) & (F.least(n - place, m - at) >= need)
 
 
-def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-    """The columns of whole buckets; rows come sorted by key, the first column."""
-    held: list[list[np.ndarray]] = []
+def with_pivots(rows: DataFrame, pivots: DataFrame, least: float) -> DataFrame:
+    """Pairs of each row with its shingle's pivot, where they are in different groups: ``a``, ``b``, at most one pair a row.
+
+    A shingle with very many texts is a skewed join key, which adaptive execution splits.
+    """
+    met = rows.join(pivots, "key").where((F.col("root") != F.col("pivot_root")) & _reach(least, "pivot"))
+    return met.select(F.least("digest", "pivot.digest").alias("a"), F.greatest("digest", "pivot.digest").alias("b")).distinct()
+
+
+def first_pivots(keyed: DataFrame) -> DataFrame:
+    """One row of each shingle, by a minimum that is combined on the map side."""
+    pivots = keyed.groupBy("key").agg(F.min(F.struct("digest", "n", "place")).alias("pivot"))
+    return pivots.withColumn("pivot_root", F.col("pivot.digest"))
+
+
+def group_pivots(rows: DataFrame) -> DataFrame:
+    """One row of the largest group of each shingle."""
+    groups = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("digest", "n", "place")).alias("first"))
+    pivots = groups.groupBy("key").agg(F.max(F.struct("size", "root", "first")).alias("best"))
+    return pivots.select("key", F.col("best.root").alias("pivot_root"), F.col("best.first").alias("pivot"))
+
+
+def contested(keyed: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of shingles whose texts are in different groups, with ``root`` and ``members``, the shingle's number of rows."""
+    rooted = keyed.join(nodes.select("digest", "root"), "digest").select("key", "digest", "n", "place", "root")
+    bounds = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("members"))
+    return rooted.join(bounds.where("low <> high").select("key", "members"), "key")
+
+
+class Bucket(NamedTuple):
+    """Rows of one shingle, or of two portions of a large one, sorted by root."""
+
+    left: np.ndarray
+    digest: np.ndarray
+    n: np.ndarray
+    place: np.ndarray
+    root: np.ndarray
+    halves: list[np.ndarray]
+
+
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, Bucket]]:
+    """Whole buckets, rows sorted by their keys ``key``, ``i``, ``j``; and whether both portions are the same."""
+    held: list[pa.RecordBatch] = []
+
+    def cut(rows: pa.Table) -> tuple[bool, Bucket]:
+        numbers = [rows.column(k).to_numpy() for k in range(3, 8)]
+        halves = [np.frombuffer(one, dtype=np.uint32) for one in rows.column(8).to_pylist()]
+        return rows.column(1)[0].as_py() == rows.column(2)[0].as_py(), Bucket(*numbers, halves)
+
+    last = None
     for batch in batches:
-        fresh = [column.to_numpy(zero_copy_only=False) for column in batch.columns]
-        cut = int(np.searchsorted(fresh[0], fresh[0][-1])) if len(fresh[0]) else 0
-        if held and len(fresh[0]) and (cut or held[-1][0][-1] != fresh[0][0]):
-            yield [np.concatenate(column) for column in zip(*held, [column[:cut] for column in fresh], strict=True)]
-            held, fresh = [], [column[cut:] for column in fresh]
-        if len(fresh[0]):
-            held.append(fresh)
+        keys = np.stack([batch.column(k).to_numpy() for k in range(3)])
+        bounds = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+        for low, high in zip(bounds, bounds[1:], strict=False):
+            key = tuple(keys[:, low]) if high > low else last
+            if held and key != last:
+                yield cut(pa.Table.from_batches(held))
+                held = []
+            if high > low:
+                held.append(batch.slice(low, high - low))
+            last = key
     if held:
-        yield [np.concatenate(column) for column in zip(*held, strict=True)]
+        yield cut(pa.Table.from_batches(held))
+
+
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Common elements of every set of ``left`` with every set of ``right``, by products of 0/1 matrices over the shared elements."""
+    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    flat = [np.concatenate([*side, np.zeros(0, dtype=np.uint32)]) for side in (left, right)]
+    owner = [np.repeat(np.arange(len(side)), [len(one) for one in side]) for side in (left, right)]
+    shared = np.intersect1d(*flat)
+    for start in range(0, len(shared), 4096):
+        part = shared[start : start + 4096]
+        sides = []
+        for values, rows, side in zip(flat, owner, (left, right), strict=True):
+            at = np.minimum(np.searchsorted(part, values), len(part) - 1)
+            hit = part[at] == values
+            matrix = np.zeros((len(side), len(part)), dtype=np.float32)
+            matrix[rows[hit], at[hit]] = 1
+            sides.append(matrix)
+        out += sides[0] @ sides[1].T
+    return out
+
+
+def _close(least: float):
+    """Pairs of a bucket in different groups whose halved hashes do not rule out the similarity.
 
+    The sets hold the upper halves of the hashes. Halves that fall together inside a set are
+    given back as slack, so the number of common halves bounds the overlap from above.
+    """
 
-def _with_first(least: float):
-    """Pairs of each row with the first one of its bucket; rows come sorted by key and digest."""
+    def of_blocks(same: bool, bucket: Bucket, a: np.ndarray, b: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        good = bucket.root[a][:, None] != bucket.root[b][None, :]
+        good &= (a[:, None] < b[None, :]) if same else (bucket.left[a][:, None] != bucket.left[b][None, :]) & (a[:, None] < b[None, :])
+        if not good.any():
+            return
+        x, y = np.nonzero(good)
+        x, y = a[x], b[y]
+        fine = may_reach(bucket.n[x], bucket.place[x], bucket.n[y], bucket.place[y], least)
+        x, y = x[fine], y[fine]
+        if len(x) > 64:
+            rows, columns = np.unique(x), np.unique(y)
+            common = overlaps([bucket.halves[k] for k in rows], [bucket.halves[k] for k in columns])[np.searchsorted(rows, x), np.searchsorted(columns, y)]
+        else:
+            common = np.array([len(np.intersect1d(bucket.halves[p], bucket.halves[q], assume_unique=True)) for p, q in zip(x, y, strict=True)])
+        slack = bucket.n - np.array([len(one) for one in bucket.halves])
+        need = np.ceil(least / (1 + least) * (bucket.n[x] + bucket.n[y]) - 1e-9)
+        near = common + np.minimum(slack[x], slack[y]) >= need
+        yield bucket.digest[x[near]], bucket.digest[y[near]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, digest, n, place, _ in _buckets(batches):
-            lead = np.searchsorted(key, key)
-            good = (digest != digest[lead]) & may_reach(n, place, n[lead], place[lead], least)
-            if good.any():
-                yield _pairs(digest[lead[good]], digest[good])
+        for same, bucket in _buckets(batches):
+            rows = np.arange(len(bucket.root))
+            blocks = [rows[k : k + BLOCK_ROWS] for k in range(0, len(rows), BLOCK_ROWS)]
+            for k, a in enumerate(blocks):
+                for b in blocks[k:]:
+                    for x, y in of_blocks(same, bucket, a, b):
+                        if len(x):
+                            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
 
     return run
 
 
-def _with_all(least: float):
-    """All pairs of a bucket that are not in one group yet; rows come sorted by key and number of shingles.
+def close_pairs(rows: DataFrame, halves: DataFrame, least: float, portion: int = PORTION_ROWS) -> DataFrame:
+    """``_close`` pairs of all rows of each shingle: ``a``, ``b``.
 
-    In a bucket of more than ``FEW`` rows those of its largest group are only compared with the others.
+    A shingle of more than ``portion`` rows is cut by a hash into portions, and every two portions
+    meet in a bucket of their own, so no task holds more than two of them.
     """
+    parts = F.ceil(F.col("members") / portion).cast("int")
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("digest"), parts).cast("int")).withColumn("parts", parts)
+    pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda x: F.struct(F.least(x, "part").alias("i"), F.greatest(x, "part").alias("j")))
+    dealt = rows.withColumn("pair", F.explode(pairs)).select("key", "pair.*", "digest", "n", "place", "root", "part")
+    full = dealt.join(halves, "digest").select("key", "i", "j", (F.col("part") == F.col("i")).alias("left"), "digest", "n", "place", "root", "halves")
+    walked = full.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "root", "digest").mapInArrow(_close(least), "a long, b long")
+    return walked.distinct()
 
-    def good(columns: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        _, digest, n, place, root = columns
-        return (digest[a] != digest[b]) & (root[a] != root[b]) & may_reach(n[a], place[a], n[b], place[b], least)
-
-    def small(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        key, digest = columns[:2]
-        for lag in range(1, FEW):
-            at = np.flatnonzero(key[lag:] == key[:-lag])
-            if not len(at):
-                break
-            at = at[good(columns, at, at + lag)]
-            if len(at):
-                yield _pairs(digest[at], digest[at + lag])
-
-    def large(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        digest, root = columns[1], columns[4]
-        roots, group, number = np.unique(root, return_inverse=True, return_counts=True)
-        every = np.arange(len(root))
-        biggest = number.argmax()
-        outside = np.flatnonzero(group != biggest)
-        for at in outside.tolist():
-            # rows of the largest group all, of the others each pair once
-            other = every[(every > at) | (group == biggest)]
-            other = other[good(columns, np.full(len(other), at), other)]
-            if len(other):
-                yield _pairs(np.full(len(other), digest[at]), digest[other])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns in _buckets(batches):
-            key = columns[0]
-            first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-            number = np.diff(np.append(first, len(key)))
-            yield from small([column[np.repeat(number <= FEW, number)] for column in columns])
-            for k in np.flatnonzero(number > FEW).tolist():
-                yield from large([column[first[k] : first[k] + number[k]] for column in columns])
+def texts_of(marked: DataFrame, nodes: DataFrame, digests: DataFrame) -> DataFrame:
+    """One text of each of the given distinct ``digest``: ``digest``, ``text``."""
+    ends = digests.join(nodes, "digest").select("digest", "content")
+    return marked.select("content", "text").join(ends, "content").groupBy("digest").agg(F.first("text").alias("text"))
 
-    return run
 
+def shingle_sets(docs: DataFrame, size: int, halved: bool = False) -> DataFrame:
+    """``digest`` and the sorted hashes of a text's distinct word shingles, for a table of ``digest`` and ``text``.
 
-def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
-    """``digest`` and the sorted hashes of a text's distinct word shingles, for a table of ``digest`` and ``text``."""
+    ``halved`` gives the distinct upper halves of the hashes, as ``halves``.
+    """
+    name = "halves" if halved else "shingles"
+
+    def one(data: bytes) -> bytes:
+        hashes = shingle_hashes(data, size)
+        return (np.unique(hashes >> np.uint64(32)).astype("<u4") if halved else hashes).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_hashes(data, size).tobytes() for data in text_bytes(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["digest", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(map(one, text_bytes(batch.column(1)))), pa.binary())], names=["digest", name])
 
-    return docs.mapInArrow(run, "digest long, shingles binary")
+    return docs.mapInArrow(run, f"digest long, {name} binary")
 
 
 def _similar(least: float):
@@ -440,14 +525,11 @@ def _similar(least: float):
     return run
 
 
-def _linked(marked: DataFrame, nodes: DataFrame, keyed: DataFrame, order: str, proposed, shingle: int, least: float) -> DataFrame:
-    """Pairs that a walk over the buckets proposes, verified on the shingles of the whole texts: ``a``, ``b``."""
-    rooted = keyed.join(nodes.select("digest", "root"), "digest").select("key", "digest", "n", "place", "root")
-    walked = rooted.repartition("key").sortWithinPartitions("key", order, "digest").mapInArrow(proposed(least), "a long, b long")
-    pairs = pinned(walked.distinct())
-    ends = pairs.select(F.col("a").alias("digest")).union(pairs.select("b")).distinct().join(nodes, "digest").select("digest", "content")
-    texts = marked.select("content", "text").join(ends, "content").groupBy("digest").agg(F.first("text").alias("text"))
-    sets = pinned(shingle_sets(texts, shingle))
+def verified(pairs: DataFrame, marked: DataFrame, nodes: DataFrame, shingle: int, least: float) -> DataFrame:
+    """The pairs whose whole texts have the similarity: ``a``, ``b``."""
+    pairs = pinned(pairs)
+    ends = pairs.select(F.col("a").alias("digest")).union(pairs.select("b")).distinct()
+    sets = pinned(shingle_sets(texts_of(marked, nodes, ends), shingle))
     joined = (
         pairs.join(sets.select(F.col("digest").alias("a"), F.col("shingles").alias("x")), "a")
         .join(sets.select(F.col("digest").alias("b"), F.col("shingles").alias("y")), "b")
@@ -461,12 +543,11 @@ def similar_groups(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> Dat
 
     Texts with the same words, case aside, are copies. Others are linked if
     their sets of ``shingle``-word shingles have a Jaccard similarity of
-    ``least``. Every such pair meets at one of its rarest shingles
-    (``rare_shingles``) unless it is in one group already; all that meet and
-    can be similar are verified on the whole texts. Two walks over the shingles
-    keep the pairs few: the first compares with the first text only, the second
-    compares all texts that are in different groups after that. Texts without
-    words are copies of each other.
+    ``least``. Every such pair meets at one of its rarest shingles (``rare_shingles``). First
+    each text of a shingle is compared with one text of the shingle's largest group, in a few turns while that
+    links anything. Then all texts that meet and are still in different groups are
+    compared inside the task that holds them; only pairs that pass there become rows. Every pair is
+    verified on the whole texts. Texts without words are copies of each other.
     """
     content = F.xxhash64(F.coalesce("text", F.lit("")))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -480,12 +561,25 @@ def similar_groups(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> Dat
     sketched = pinned(marked.mapInArrow(sketch, f"{_SKETCH}, content long"))
     nodes = pinned(sketched.groupBy("digest").agg(F.min("content").alias("content")))
     keyed = pinned(rare_shingles(rows, shingle, least))
-    first = _linked(marked, nodes.withColumn("root", F.col("digest")), keyed, "digest", _with_first, shingle, least)
-    found = components(first)
-    rooted = nodes.join(found, nodes.digest == found.node, "left").select("digest", "content", F.coalesce("root", "digest").alias("root"))
-    second = _linked(marked, pinned(rooted), keyed, "n", _with_all, shingle, least)
-    found = components(first.unionByName(second))
-    return sketched.join(found, sketched.digest == found.node, "left").select("doc_id", "content", F.coalesce("root", "digest").alias("root"))
+    alone = keyed.withColumn("root", F.col("digest"))
+    links = verified(with_pivots(alone, first_pivots(keyed), least), marked, nodes, shingle, least)
+    rows = pinned(contested(keyed, rooted(nodes, links)))
+    for _ in range(TURNS):
+        found = verified(with_pivots(rows, group_pivots(rows), least), marked, nodes, shingle, least)
+        if found.isEmpty():
+            break
+        links = links.unionByName(found)
+        rows = pinned(contested(rows.drop("root", "members"), rooted(nodes, links)))
+    halves = shingle_sets(texts_of(marked, nodes, rows.select("digest").distinct()), shingle, halved=True)
+    found = verified(close_pairs(rows, pinned(halves), least), marked, nodes, shingle, least)
+    grouped = rooted(nodes, links.unionByName(found))
+    return sketched.join(grouped.select("digest", "root"), "digest").select("doc_id", "content", "root")
+
+
+def rooted(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """``nodes`` with the smallest digest of their group as ``root``."""
+    found = components(links)
+    return pinned(nodes.join(found, nodes.digest == found.node, "left").select("digest", "content", F.coalesce("root", "digest").alias("root")))
 
 
 def without_near_copies(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> DataFrame:

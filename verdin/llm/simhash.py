@@ -208,9 +208,11 @@ BLOCK_BYTES = 8 << 20
 CELLS_PER_BYTE = 3
 #: Turns of comparisons with one text a shingle before all texts are compared; they only save work.
 TURNS = 2
-#: Rows of a shingle that meet in one task, and rows whose sets are multiplied at once.
+#: Rows of a shingle that meet in one task, and rows compared at once.
 PORTION_ROWS = 2048
 BLOCK_ROWS = 256
+#: Cells by which overlaps are bounded from above.
+CELLS = 256
 _SKETCH = "doc_id long, digest long"
 _CELLS = "bucket int, block int, cells binary, counts binary"
 _RANKS = "bucket int, block int, ranks binary"
@@ -387,7 +389,7 @@ class Bucket(NamedTuple):
     n: np.ndarray
     place: np.ndarray
     root: np.ndarray
-    halves: list[np.ndarray]
+    cells: np.ndarray
 
 
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, Bucket]]:
@@ -396,8 +398,8 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, Bucket]]
 
     def cut(rows: pa.Table) -> tuple[bool, Bucket]:
         numbers = [rows.column(k).to_numpy() for k in range(3, 8)]
-        halves = [np.frombuffer(one, dtype=np.uint32) for one in rows.column(8).to_pylist()]
-        return rows.column(1)[0].as_py() == rows.column(2)[0].as_py(), Bucket(*numbers, halves)
+        cells = np.frombuffer(b"".join(rows.column(8).to_pylist()), dtype=np.uint8).reshape(-1, CELLS)
+        return rows.column(1)[0].as_py() == rows.column(2)[0].as_py(), Bucket(*numbers, cells)
 
     last = None
     for batch in batches:
@@ -415,50 +417,29 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, Bucket]]
         yield cut(pa.Table.from_batches(held))
 
 
-def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """Common elements of every set of ``left`` with every set of ``right``, by products of 0/1 matrices over the shared elements."""
-    out = np.zeros((len(left), len(right)), dtype=np.float32)
-    flat = [np.concatenate([*side, np.zeros(0, dtype=np.uint32)]) for side in (left, right)]
-    owner = [np.repeat(np.arange(len(side)), [len(one) for one in side]) for side in (left, right)]
-    shared = np.intersect1d(*flat)
-    for start in range(0, len(shared), 4096):
-        part = shared[start : start + 4096]
-        sides = []
-        for values, rows, side in zip(flat, owner, (left, right), strict=True):
-            at = np.minimum(np.searchsorted(part, values), len(part) - 1)
-            hit = part[at] == values
-            matrix = np.zeros((len(side), len(part)), dtype=np.float32)
-            matrix[rows[hit], at[hit]] = 1
-            sides.append(matrix)
-        out += sides[0] @ sides[1].T
+def bounds(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Upper bounds of the overlaps of sets from their counts by cell; infinite where one cell is full in both."""
+    out = np.empty(len(left))
+    for k in range(0, len(left), 4096):
+        low = np.minimum(left[k : k + 4096], right[k : k + 4096])
+        out[k : k + 4096] = np.where((low == 255).any(axis=1), np.inf, low.sum(axis=1, dtype=np.int64))
     return out
 
 
 def _close(least: float):
-    """Pairs of a bucket in different groups whose halved hashes do not rule out the similarity.
+    """Pairs of a bucket in different groups that neither their places nor their counts by cell rule out."""
 
-    The sets hold the upper halves of the hashes. Halves that fall together inside a set are
-    given back as slack, so the number of common halves bounds the overlap from above.
-    """
-
-    def of_blocks(same: bool, bucket: Bucket, a: np.ndarray, b: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        good = bucket.root[a][:, None] != bucket.root[b][None, :]
-        good &= (a[:, None] < b[None, :]) if same else (bucket.left[a][:, None] != bucket.left[b][None, :]) & (a[:, None] < b[None, :])
-        if not good.any():
-            return
+    def of_blocks(same: bool, bucket: Bucket, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        good = (bucket.root[a][:, None] != bucket.root[b][None, :]) & (a[:, None] < b[None, :])
+        if not same:
+            good &= bucket.left[a][:, None] != bucket.left[b][None, :]
         x, y = np.nonzero(good)
         x, y = a[x], b[y]
         fine = may_reach(bucket.n[x], bucket.place[x], bucket.n[y], bucket.place[y], least)
         x, y = x[fine], y[fine]
-        if len(x) > 64:
-            rows, columns = np.unique(x), np.unique(y)
-            common = overlaps([bucket.halves[k] for k in rows], [bucket.halves[k] for k in columns])[np.searchsorted(rows, x), np.searchsorted(columns, y)]
-        else:
-            common = np.array([len(np.intersect1d(bucket.halves[p], bucket.halves[q], assume_unique=True)) for p, q in zip(x, y, strict=True)])
-        slack = bucket.n - np.array([len(one) for one in bucket.halves])
         need = np.ceil(least / (1 + least) * (bucket.n[x] + bucket.n[y]) - 1e-9)
-        near = common + np.minimum(slack[x], slack[y]) >= need
-        yield bucket.digest[x[near]], bucket.digest[y[near]]
+        near = bounds(bucket.cells[x], bucket.cells[y]) >= need
+        return bucket.digest[x[near]], bucket.digest[y[near]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for same, bucket in _buckets(batches):
@@ -466,14 +447,14 @@ def _close(least: float):
             blocks = [rows[k : k + BLOCK_ROWS] for k in range(0, len(rows), BLOCK_ROWS)]
             for k, a in enumerate(blocks):
                 for b in blocks[k:]:
-                    for x, y in of_blocks(same, bucket, a, b):
-                        if len(x):
-                            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+                    x, y = of_blocks(same, bucket, a, b)
+                    if len(x):
+                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
 
     return run
 
 
-def close_pairs(rows: DataFrame, halves: DataFrame, least: float, portion: int = PORTION_ROWS) -> DataFrame:
+def close_pairs(rows: DataFrame, sketches: DataFrame, least: float, portion: int = PORTION_ROWS) -> DataFrame:
     """``_close`` pairs of all rows of each shingle: ``a``, ``b``.
 
     A shingle of more than ``portion`` rows is cut by a hash into portions, and every two portions
@@ -483,7 +464,7 @@ def close_pairs(rows: DataFrame, halves: DataFrame, least: float, portion: int =
     rows = rows.withColumn("part", F.pmod(F.xxhash64("digest"), parts).cast("int")).withColumn("parts", parts)
     pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda x: F.struct(F.least(x, "part").alias("i"), F.greatest(x, "part").alias("j")))
     dealt = rows.withColumn("pair", F.explode(pairs)).select("key", "pair.*", "digest", "n", "place", "root", "part")
-    full = dealt.join(halves, "digest").select("key", "i", "j", (F.col("part") == F.col("i")).alias("left"), "digest", "n", "place", "root", "halves")
+    full = dealt.join(sketches, "digest").select("key", "i", "j", (F.col("part") == F.col("i")).alias("left"), "digest", "n", "place", "root", "cells")
     walked = full.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "root", "digest").mapInArrow(_close(least), "a long, b long")
     return walked.distinct()
 
@@ -494,22 +475,27 @@ def texts_of(marked: DataFrame, nodes: DataFrame, digests: DataFrame) -> DataFra
     return marked.select("content", "text").join(ends, "content").groupBy("digest").agg(F.first("text").alias("text"))
 
 
-def shingle_sets(docs: DataFrame, size: int, halved: bool = False) -> DataFrame:
-    """``digest`` and the sorted hashes of a text's distinct word shingles, for a table of ``digest`` and ``text``.
+def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
+    """``digest`` and the sorted hashes of a text's distinct word shingles, for a table of ``digest`` and ``text``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_hashes(data, size).tobytes() for data in text_bytes(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["digest", "shingles"])
+
+    return docs.mapInArrow(run, "digest long, shingles binary")
 
-    ``halved`` gives the distinct upper halves of the hashes, as ``halves``.
-    """
-    name = "halves" if halved else "shingles"
 
-    def one(data: bytes) -> bytes:
-        hashes = shingle_hashes(data, size)
-        return (np.unique(hashes >> np.uint64(32)).astype("<u4") if halved else hashes).tobytes()
+def shingle_counts(docs: DataFrame, size: int) -> DataFrame:
+    """``digest`` and ``cells``: how many of a text's distinct shingles fall into each of ``CELLS`` cells, one byte each, 255 for more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(map(one, text_bytes(batch.column(1)))), pa.binary())], names=["digest", name])
+            hashes = [shingle_hashes(data, size) % np.uint64(CELLS) for data in text_bytes(batch.column(1))]
+            cells = [np.minimum(np.bincount(one.astype(np.int64), minlength=CELLS), 255).astype(np.uint8).tobytes() for one in hashes]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cells, pa.binary())], names=["digest", "cells"])
 
-    return docs.mapInArrow(run, f"digest long, {name} binary")
+    return docs.mapInArrow(run, "digest long, cells binary")
 
 
 def _similar(least: float):
@@ -546,8 +532,8 @@ def similar_groups(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> Dat
     ``least``. Every such pair meets at one of its rarest shingles (``rare_shingles``). First
     each text of a shingle is compared with one text of the shingle's largest group, in a few turns while that
     links anything. Then all texts that meet and are still in different groups are
-    compared inside the task that holds them; only pairs that pass there become rows. Every pair is
-    verified on the whole texts. Texts without words are copies of each other.
+    compared inside the task that holds them, by counts that bound the overlap from above; only pairs that
+    pass become rows. Every pair is verified on the whole texts. Texts without words are copies of each other.
     """
     content = F.xxhash64(F.coalesce("text", F.lit("")))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -570,8 +556,8 @@ def similar_groups(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> Dat
             break
         links = links.unionByName(found)
         rows = pinned(contested(rows.drop("root", "members"), rooted(nodes, links)))
-    halves = shingle_sets(texts_of(marked, nodes, rows.select("digest").distinct()), shingle, halved=True)
-    found = verified(close_pairs(rows, pinned(halves), least), marked, nodes, shingle, least)
+    sketches = pinned(shingle_counts(texts_of(marked, nodes, rows.select("digest").distinct()), shingle))
+    found = verified(close_pairs(rows, sketches, least), marked, nodes, shingle, least)
     grouped = rooted(nodes, links.unionByName(found))
     return sketched.join(grouped.select("digest", "root"), "digest").select("doc_id", "content", "root")
 

@@ -5,21 +5,21 @@ from __future__ import annotations
 import random
 from collections.abc import Callable, Mapping, Sequence
 from itertools import product
+from multiprocessing.pool import ThreadPool
 from typing import NamedTuple
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, NaiveBayes, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import HashingTF, Imputer, OneHotEncoder, OneHotEncoderModel
-from pyspark.ml.feature import StringIndexer, StringIndexerModel, Tokenizer, VectorAssembler
+from pyspark.ml.feature import StringIndexer, StringIndexerModel, Tokenizer, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verdin.functions.numbers import clip, logit, sigmoid
-from verdin.operators import curves, ranking
+from verdin.operators import curves, ranking, trees
 from verdin.operators.columns import feature_kinds, require
 from verdin.session import pinned
 
@@ -94,25 +94,44 @@ def score(model: Model, df: DataFrame, name: str = "p") -> DataFrame:
     return scored.select(*df.columns, vector_to_array("probability")[1].alias(name))
 
 
+class Search(NamedTuple):
+    """Mean score of each drawn setting, and the pipeline of the best one fitted on all rows."""
+
+    avgMetrics: list[float]  # noqa: N815
+    bestModel: PipelineModel  # noqa: N815
+
+
 def random_search(
     df: DataFrame, features: Sequence[str], label: str, name: str, grid: Mapping[str, Sequence], draws: int = 20,
     folds: int = 2, seed: int = 42, parallelism: int = 2,
 ):
-    """Cross-validated search over a random part of a grid by ROC-AUC; the fitted search model."""
-    weighted = pinned(with_class_weight(df.withColumn("label", F.col(label).cast("double")), label))
+    """Cross-validated search over a random part of a grid by ROC-AUC: a ``Search`` and the drawn settings.
+
+    Inputs are encoded once per fold, from its own training rows, and written; the fits of all
+    settings share them. ``parallelism`` bounds the fits that run at once, and with them the memory.
+    """
+    weighted = pinned(with_class_weight(df.withColumn("label", F.col(label).cast("double")), label).withColumn("_draw", F.rand(seed)))
     classifier = build(name).setWeightCol("weight")
+    evaluator = BinaryClassificationEvaluator(labelCol="label")
     combos = [dict(zip(grid, values, strict=True)) for values in product(*grid.values())]
     chosen = random.Random(seed).sample(combos, min(draws, len(combos)))
     maps = [{classifier.getParam(k): v for k, v in combo.items()} for combo in chosen]
-    search = CrossValidator(
-        estimator=Pipeline(stages=[*encoder(df, features), classifier]),
-        estimatorParamMaps=maps,
-        evaluator=BinaryClassificationEvaluator(labelCol="label"),
-        numFolds=folds,
-        seed=seed,
-        parallelism=parallelism,
-    )
-    return search.fit(weighted), chosen
+
+    def encoded(rows: DataFrame) -> tuple[PipelineModel, Callable[[DataFrame], DataFrame]]:
+        fitted = Pipeline(stages=encoder(df, features)).fit(rows)
+        return fitted, lambda part: pinned(fitted.transform(part).select("features", "label", "weight"))
+
+    totals = [0.0] * len(maps)
+    for fold in range(folds):
+        tested = (F.col("_draw") >= fold / folds) & (F.col("_draw") < (fold + 1) / folds)
+        _, ready = encoded(weighted.where(~tested))
+        train, test = ready(weighted.where(~tested)), ready(weighted.where(tested))
+        with ThreadPool(parallelism) as pool:
+            scores = pool.map(lambda one, train=train, test=test: evaluator.evaluate(classifier.fit(train, one).transform(test)), maps)
+        totals = [total + score / folds for total, score in zip(totals, scores, strict=True)]
+    fitted, ready = encoded(weighted)
+    best = classifier.fit(ready(weighted), maps[totals.index(max(totals))])
+    return Search(totals, PipelineModel([*fitted.stages, best])), chosen
 
 
 def search_table(spark: SparkSession, fitted, chosen: Sequence[Mapping]) -> DataFrame:
@@ -175,14 +194,31 @@ def batch_score(
     return ranking.flag_top(pinned(adjusted), m)
 
 
+class WeeklyModels(dict):
+    """Pipelines by week that share one encoder; ``slots`` holds the places of each week's inputs in its vector."""
+
+    encoder: PipelineModel
+    slots: dict[int, list[int]]
+
+
 def weekly_models(
     df: DataFrame, first_week: Mapping[str, int], label: str, weeks: Sequence[int], name: str = "boosted", **options
-) -> dict[int, PipelineModel]:
-    """One model per week on the features known by then."""
-    return {
-        week: fit(df, sorted(f for f, first in first_week.items() if first <= week), label, name, **options)
-        for week in weeks
-    }
+) -> WeeklyModels:
+    """One model per week on the features known by then; all inputs are encoded once."""
+    features = sorted(first_week, key=lambda f: (first_week[f], f))
+    require(df, [*features, label])
+    weighted = with_class_weight(df.withColumn("label", F.col(label).cast("double")), label)
+    fitted = Pipeline(stages=encoder(df, features)).fit(weighted)
+    ready = pinned(fitted.transform(weighted).select("features", "label", "weight"))
+    names = _slots(fitted)
+    found = WeeklyModels()
+    found.encoder, found.slots = fitted, {}
+    for week in weeks:
+        found.slots[week] = [k for k, one in enumerate(names) if first_week[one] <= week]
+        slicer = VectorSlicer(inputCol="features", outputCol="known", indices=found.slots[week])
+        classifier = build(name, **options).setWeightCol("weight").setFeaturesCol("known")
+        found[week] = PipelineModel([*fitted.stages, *Pipeline(stages=[slicer, classifier]).fit(ready).stages])
+    return found
 
 
 def weekly_auc(models: Mapping[int, Model], test: DataFrame, label: str, first_week: Mapping[str, int]) -> DataFrame:
@@ -201,15 +237,25 @@ def weekly_auc(models: Mapping[int, Model], test: DataFrame, label: str, first_w
     return result
 
 
-def score_by_week(models: Mapping[int, Model], df: DataFrame, week: str) -> DataFrame:
-    """Each row scored by the model of its week; rows of weeks without a model have a null score."""
-    parts = [score(model, df.where(F.col(week) == w)) for w, model in models.items()]
-    known = F.coalesce(F.col(week).isin(*models), F.lit(False))
-    parts.append(df.where(~known).withColumn("p", F.lit(None).cast("double")))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+def score_by_week(models: WeeklyModels, df: DataFrame, week: str) -> DataFrame:
+    """Each row scored by the tree model of its week, in one pass over ``df``; rows of weeks without a model have a null score."""
+    grown = trees.forest(df.sparkSession, {w: model.stages[-1] for w, model in models.items()}, models.slots)
+    ready = models.encoder.transform(df).withColumn("_inputs", vector_to_array("features"))
+    return trees.score_by_key(ready, grown, week, "_inputs").select(*df.columns, "p")
+
+
+def tree_attributions(model: PipelineModel, df: DataFrame, k: int = 3) -> DataFrame:
+    """``df`` plus ``margin``, ``base``, ``attribution`` (one number per input) and ``strongest``, the ``k`` largest inputs by name.
+
+    Exact Shapley values along the trees; ``base`` and the attributions add up to the margin.
+    """
+    grown = trees.forest(df.sparkSession, {0: model.stages[-1]})
+    names = _slots(model)
+    scored = model.transform(df).withColumn("_inputs", vector_to_array("features"))
+    margin = F.get(vector_to_array("rawPrediction"), F.lit(1)) if grown.boosted[0] else F.get(vector_to_array("probability"), F.lit(1))
+    listed = scored.withColumns({"margin": margin, "attribution": trees.attribution(grown, 0, F.col("_inputs"))})
+    base = F.lit(trees.expected_margin(trees.paths(grown, 0)))
+    return listed.select(*df.columns, "margin", base.alias("base"), "attribution", strongest(F.col("attribution"), k, names).alias("strongest"))
 
 
 def _slots(model: PipelineModel) -> list[str]:
@@ -217,7 +263,9 @@ def _slots(model: PipelineModel) -> list[str]:
     texts = {out: labels for s in model.stages if isinstance(s, StringIndexerModel) for out, labels in zip(s.getOutputCols(), s.labelsArray, strict=True)}
     wide = {out: texts[c] for s in model.stages if isinstance(s, OneHotEncoderModel) for c, out in zip(s.getInputCols(), s.getOutputCols(), strict=True)}
     columns = [c for s in model.stages if isinstance(s, VectorAssembler) for c in s.getInputCols()]
-    return [name for c in columns for name in ([f"{c.split('_', 2)[2]}={text}" for text in wide[c]] if c in wide else [c.split("_", 2)[2]])]
+    chosen = [s.getIndices() for s in model.stages if isinstance(s, VectorSlicer)]
+    names = [name for c in columns for name in ([f"{c.split('_', 2)[2]}={text}" for text in wide[c]] if c in wide else [c.split("_", 2)[2]])]
+    return [names[k] for k in chosen[0]] if chosen else names
 
 
 def importance_table(spark: SparkSession, model: PipelineModel, n: int = 10) -> DataFrame:

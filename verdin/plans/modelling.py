@@ -243,26 +243,70 @@ def probable(*columns: str) -> Column:
     return fine.alias("probable")
 
 
-@query("e14_boosted_model", f"WITH {LABELLED} SELECT doc_id, CAST(quality AS BIGINT) AS quality, true AS probable FROM d")
-def boosted_model(spark, folder):
+def informative(scored: DataFrame, label: str, p: str = "p") -> Column:
+    """Whether scores tell the classes apart better than one constant score would."""
+    return F.lit(curves.ranking_metrics(scored, label, p).first()["roc_auc"] > 0.55).alias("informative")
+
+
+def boosted_scored(spark: SparkSession, folder: str) -> DataFrame:
     rows = labelled_documents(spark, folder)
-    model = models.fit(rows, FEATURES, "quality", "boosted", **SMALL_TREES)
-    return models.score(model, rows).select("doc_id", F.col("quality").cast("bigint").alias("quality"), probable("p"))
+    return pinned(models.score(models.fit(rows, FEATURES, "quality", "boosted", **SMALL_TREES), rows))
+
+
+@query("e14_boosted_model", f"WITH {LABELLED} SELECT doc_id, CAST(quality AS BIGINT) AS quality, true AS probable, true AS informative FROM d")
+def boosted_model(spark, folder):
+    scored = boosted_scored(spark, folder)
+    return scored.select("doc_id", F.col("quality").cast("bigint").alias("quality"), probable("p"), informative(scored, "quality"))
 
 
-@query("e12_e14_forest_on_sparse_columns", f"WITH {LABELLED} SELECT doc_id, CAST(quality AS BIGINT) AS quality, true AS probable FROM d")
+@query("e14_boosted_scores")
+def boosted_scores(spark, folder):
+    """The scores themselves; SQL cannot fit the model."""
+    return boosted_scored(spark, folder).select("doc_id", "quality", "p")
+
+
+@query("e12_e14_forest_on_sparse_columns", f"WITH {LABELLED} SELECT doc_id, CAST(quality AS BIGINT) AS quality, true AS probable, true AS informative FROM d")
 def forest_on_sparse_columns(spark, folder):
     rows = labelled_documents(spark, folder)
     model = models.fit(rows, FEATURES, "quality", "random_forest", sparse=True, numTrees=10, maxDepth=4)
-    return models.score(model, rows).select("doc_id", F.col("quality").cast("bigint").alias("quality"), probable("p"))
+    scored = pinned(models.score(model, rows))
+    return scored.select("doc_id", F.col("quality").cast("bigint").alias("quality"), probable("p"), informative(scored, "quality"))
 
 
-@query("e15_random_search", "SELECT CAST(range AS INT) AS draw, true AS probable FROM range(20) WHERE (SELECT count(*) FROM labels) > 0")
-def random_search(spark, folder):
+def tree_attributed(spark: SparkSession, folder: str) -> DataFrame:
+    rows = labelled_documents(spark, folder)
+    return models.tree_attributions(models.fit(rows, FEATURES, "quality", "boosted", **SMALL_TREES), rows)
+
+
+@query("e20_w10_tree_attributions", f"WITH {LABELLED} SELECT doc_id, true AS adds_up, CAST(3 AS BIGINT) AS named FROM d")
+def tree_attributions(spark, folder):
+    """Shapley values of every labelled document; that they add up to the model's margin is a fact SQL can state."""
+    total = F.col("base") + F.aggregate("attribution", F.lit(0.0), lambda a, b: a + b)
+    named = F.size(F.split("strongest", ", ")).cast("bigint").alias("named")
+    return tree_attributed(spark, folder).select("doc_id", (F.abs(total - F.col("margin")) < 1e-9).alias("adds_up"), named)
+
+
+@query("e20_w10_attribution_values")
+def attribution_values(spark, folder):
+    return tree_attributed(spark, folder).select("doc_id", "margin", "base", "attribution", "strongest")
+
+
+def searched(spark: SparkSession, folder: str) -> DataFrame:
     rows = labelled_documents(spark, folder)
     grid = {"maxDepth": [2, 3, 4, 5, 6], "numTrees": [3, 5, 8, 12, 16]}
     fitted, chosen = models.random_search(rows, FEATURES, "quality", "random_forest", grid, draws=20, parallelism=4)
-    return models.search_table(spark, fitted, chosen).select("draw", probable("auc"))
+    return models.search_table(spark, fitted, chosen)
+
+
+@query("e15_search_table")
+def search_table(spark, folder):
+    """The drawn settings and their mean AUC."""
+    return searched(spark, folder)
+
+
+@query("e15_random_search", "SELECT CAST(range AS INT) AS draw, true AS probable FROM range(20) WHERE (SELECT count(*) FROM labels) > 0")
+def random_search(spark, folder):
+    return searched(spark, folder).select("draw", probable("auc"))
 
 
 def _out_of_fold(spark: SparkSession, folder: str) -> DataFrame:
@@ -286,6 +330,15 @@ def isotonic(spark, folder):
     return models.apply_isotonic(models.fit_isotonic(scored, "quality"), scored).select("doc_id", probable("p", "p_calibrated"))
 
 
+@query("e16_e17_calibrated_scores")
+def calibrated_scores(spark, folder):
+    """Out-of-fold scores beside both calibrations."""
+    scored = _out_of_fold(spark, folder)
+    platt = models.apply_platt(models.fit_platt(scored, "quality"), scored, name="p_platt")
+    both = models.apply_isotonic(models.fit_isotonic(scored, "quality"), platt, name="p_isotonic")
+    return both.select("doc_id", "fold", "quality", "p", "p_platt", "p_isotonic")
+
+
 @query("e18_batch_score", f"WITH {LABELLED} SELECT count(*) AS n, true AS enough, true AS best_first, true AS probable FROM d")
 def batch_score(spark, folder):
     rows = labelled_documents(spark, folder)
@@ -306,35 +359,61 @@ def batch_score(spark, folder):
 WEEKLY_FEATURES = {"n_chars": 0, "lang": 1, "words": 2, "marks": 3}
 
 
-@query("a33_e19_weekly_models", "SELECT CAST(range AS INT) AS week, CAST(range + 1 AS INT) AS features, true AS probable FROM range(4) WHERE (SELECT count(*) FROM labels) > 0")
-def weekly_auc(spark, folder):
+def weekly_auc_rows(spark: SparkSession, folder: str) -> DataFrame:
     rows = labelled_documents(spark, folder)
     parts = pinned(ranking.stratified_split(rows, "quality", "doc_id", {"test": 0.3, "train": 0.7}))
     fitted = models.weekly_models(parts.where("part = 'train'"), WEEKLY_FEATURES, "quality", [0, 1, 2, 3], **SMALL_TREES)
-    return models.weekly_auc(fitted, parts.where("part = 'test'"), "quality", WEEKLY_FEATURES).select(
-        F.col("week").cast("int").alias("week"), F.col("features").cast("int").alias("features"), probable("roc_auc")
-    )
+    return models.weekly_auc(fitted, parts.where("part = 'test'"), "quality", WEEKLY_FEATURES)
 
 
-@query("e19_score_by_week", f"WITH {LABELLED} SELECT doc_id, CAST(doc_id % 4 AS INT) AS week, true AS probable FROM d")
-def score_by_week(spark, folder):
+@query("a33_e19_weekly_models", "SELECT CAST(range AS INT) AS week, CAST(range + 1 AS INT) AS features, true AS probable FROM range(4) WHERE (SELECT count(*) FROM labels) > 0")
+def weekly_auc(spark, folder):
+    return weekly_auc_rows(spark, folder).select(F.col("week").cast("int").alias("week"), F.col("features").cast("int").alias("features"), probable("roc_auc"))
+
+
+@query("a33_weekly_auc_table")
+def weekly_auc_table(spark, folder):
+    """The AUC of each week's model on the test part."""
+    return weekly_auc_rows(spark, folder)
+
+
+def scored_by_week(spark: SparkSession, folder: str) -> DataFrame:
     rows = labelled_documents(spark, folder).withColumn("week", (F.col("doc_id") % 4).cast("int"))
     fitted = models.weekly_models(rows, WEEKLY_FEATURES, "quality", [0, 1, 2, 3], **SMALL_TREES)
-    return models.score_by_week(fitted, rows, "week").select("doc_id", "week", probable("p"))
+    return models.score_by_week(fitted, rows, "week").select("doc_id", "week", "quality", "p")
+
+
+@query("e19_score_by_week", f"WITH {LABELLED} SELECT doc_id, CAST(doc_id % 4 AS INT) AS week, true AS probable, true AS informative FROM d")
+def score_by_week(spark, folder):
+    scored = pinned(scored_by_week(spark, folder))
+    return scored.select("doc_id", "week", probable("p"), informative(scored, "quality"))
+
+
+@query("e19_scores_by_week")
+def scores_by_week(spark, folder):
+    return scored_by_week(spark, folder)
+
+
+def importances(spark: SparkSession, folder: str) -> DataFrame:
+    model = models.fit(labelled_documents(spark, folder), FEATURES, "quality", "random_forest", numTrees=10, maxDepth=4)
+    return models.importance_table(spark, model)
 
 
 @query("a32_importance", "SELECT CAST(5 AS BIGINT) AS inputs, true AS adds_up, true AS falling FROM labels LIMIT 1")
 def importance(spark, folder):
-    model = models.fit(labelled_documents(spark, folder), FEATURES, "quality", "random_forest", numTrees=10, maxDepth=4)
-    table = models.importance_table(spark, model)
     listed = F.collect_list("percent")  # one number per input
-    return table.agg(
+    return importances(spark, folder).agg(
         F.count(F.lit(1)).alias("inputs"),
         (F.abs(F.sum("percent") - 100) < 1e-6).alias("adds_up"),
         (F.reverse(F.array_sort(listed)) == listed).alias("falling"),
     )
 
 
+@query("a32_importance_table")
+def importance_table(spark, folder):
+    return importances(spark, folder)
+
+
 @query("e21_tone_confidence", "SELECT doc_id, true AS confident FROM documents")
 def tone_confidence(spark, folder):
     rows = read_table(spark, folder, "documents").select("doc_id", "text")

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from verdin.operators import models
+from verdin.operators import isotonic, models
 from verdin.session import scratch_path
 
 
@@ -34,7 +34,7 @@ def test_out_of_fold_scores_and_calibration(data):
     assert whole.count() == 400
     platt = models.apply_platt(models.fit_platt(scored, "y"), scored)
     assert abs(platt.agg(F.avg("p_calibrated")).first()[0] - scored.agg(F.avg("y")).first()[0]) < 0.02
-    iso = models.apply_isotonic(models.fit_isotonic(scored, "y"), scored).agg(F.min("p_calibrated"), F.max("p_calibrated")).first()
+    iso = isotonic.apply_isotonic(isotonic.isotonic_pools(scored, "y"), scored).agg(F.min("p_calibrated"), F.max("p_calibrated")).first()
     assert 0 <= iso[0] <= iso[1] <= 1
 
 

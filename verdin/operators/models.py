@@ -14,7 +14,6 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import HashingTF, Imputer, OneHotEncoder, OneHotEncoderModel
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, Tokenizer, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -173,17 +172,6 @@ def apply_platt(model: Model, scored: DataFrame, p: str = "p", name: str = "p_ca
     return scored.withColumn(name, sigmoid(F.lit(intercept) + F.lit(slope) * logit(F.col(p))))
 
 
-def fit_isotonic(scored: DataFrame, label: str, p: str = "p") -> Model:
-    rows = scored.select(F.col(label).cast("double").alias("label"), F.col(p).alias("features"))
-    return IsotonicRegression().fit(rows)
-
-
-def apply_isotonic(model: Model, scored: DataFrame, p: str = "p", name: str = "p_calibrated") -> DataFrame:
-    """Isotonic values kept inside [0, 1]."""
-    mapped = model.setFeaturesCol(p).setPredictionCol("_iso").transform(scored)
-    return mapped.withColumn(name, clip(F.col("_iso"), 0.0, 1.0)).drop("_iso")
-
-
 def batch_score(
     df: DataFrame, model: Model, features: Sequence[str], platt: Model, scalar: float, m: int
 ) -> DataFrame:

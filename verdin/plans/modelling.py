@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verdin.functions.text import sentence_mark_count, word_count
-from verdin.operators import curves, enrolment, features, kpi, models, ranking
+from verdin.operators import curves, enrolment, features, isotonic, kpi, models, ranking
 from verdin.plans.registry import query
 from verdin.plans.relational import LABEL_SQL, labelled_enrolments
 from verdin.plans.scoring import rounded
@@ -325,9 +325,9 @@ def platt_on_out_of_fold(spark, folder):
 
 
 @query("e17_isotonic", f"{FOLDS_SQL} SELECT doc_id, true AS probable FROM f")
-def isotonic(spark, folder):
+def isotonic_on_out_of_fold(spark, folder):
     scored = _out_of_fold(spark, folder)
-    return models.apply_isotonic(models.fit_isotonic(scored, "quality"), scored).select("doc_id", probable("p", "p_calibrated"))
+    return isotonic.apply_isotonic(isotonic.isotonic_pools(scored, "quality"), scored).select("doc_id", probable("p", "p_calibrated"))
 
 
 @query("e16_e17_calibrated_scores")
@@ -335,7 +335,7 @@ def calibrated_scores(spark, folder):
     """Out-of-fold scores beside both calibrations."""
     scored = _out_of_fold(spark, folder)
     platt = models.apply_platt(models.fit_platt(scored, "quality"), scored, name="p_platt")
-    both = models.apply_isotonic(models.fit_isotonic(scored, "quality"), platt, name="p_isotonic")
+    both = isotonic.apply_isotonic(isotonic.isotonic_pools(scored, "quality"), platt, name="p_isotonic")
     return both.select("doc_id", "fold", "quality", "p", "p_platt", "p_isotonic")
 
 

@@ -11,7 +11,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from verdin.llm import decontamination, languages, mixing, tokens, urls
+from verdin.llm import decontamination, languages, mixing, pseudonyms, simhash, tokens, urls
 from verdin.llm.queries import QUERIES, TWINS
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -230,3 +230,15 @@ def survivors(rows):
 def test_every_operator_has_its_query():
     assert {re.match(r"op(\d+)_", name)[1] for name in QUERIES} == {str(n) for n in range(1, 14)}
     assert set(TWINS) <= set(QUERIES)
+
+
+def test_helper_columns_make_way_for_clashing_names(spark):
+    names = ["_doc_id", "_content", "_source", "_copies", "_copy", "_new", "_DOC_ID_"]
+    rows = [(k, f"some words of text {k} and 4 more of them", "a", *[f"{name}{k}" for name in names]) for k in range(6)]
+    df = spark.createDataFrame([*rows, rows[0]], "doc_id long, text string, source string, " + ", ".join(f"{name} string" for name in names))
+    for operator in (simhash.without_near_copies, mixing.mixture, pseudonyms.pseudonymised):
+        got = operator(df)
+        assert got.columns[: len(df.columns)] == df.columns
+        found = {r.doc_id: r for r in got.collect()}
+        assert found and all(found[k][name] == f"{name}{k}" for k in found for name in names)
+    assert simhash.without_near_copies(df).count() == 6

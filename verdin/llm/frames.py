@@ -39,10 +39,21 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened where ``df`` has a column of that name (case aside)."""
+    taken, found = {column.lower() for column in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def lower_ascii(value: Column) -> Column:
     """A-Z in lower case, every other character as it is."""
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     return F.translate(value, letters, letters.lower())
 
 
-__all__ = ["WORD", "keep_rows", "lower_ascii", "pinned", "text_bytes", "word_count"]
+__all__ = ["WORD", "free_names", "keep_rows", "lower_ascii", "pinned", "text_bytes", "word_count"]

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from verdin.llm.frames import pinned, word_count
+from verdin.llm.frames import free_names, pinned, word_count
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
@@ -173,8 +173,9 @@ def mixed(
 
 def mixture(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` as the mix takes them: left out, once, or repeated; all columns stay."""
-    chosen = mixed(docs, **settings).where("copies > 0").groupBy("doc_id", "source").agg(F.max("copies").alias("_copies"))
-    chosen = chosen.select(F.col("doc_id").alias("_doc_id"), F.col("source").alias("_source"), "_copies")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id")) & F.col("source").cast("string").eqNullSafe(F.col("_source"))
-    rows = docs.join(chosen, same).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies")))
+    doc_id, source, copies, copy = free_names(docs, "_doc_id", "_source", "_copies", "_copy")
+    chosen = mixed(docs, **settings).where("copies > 0").groupBy("doc_id", "source").agg(F.max("copies").alias(copies))
+    chosen = chosen.select(F.col("doc_id").alias(doc_id), F.col("source").alias(source), copies)
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(doc_id)) & F.col("source").cast("string").eqNullSafe(F.col(source))
+    rows = docs.join(chosen, same).withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), copies)))
     return rows.select(*[F.col(f"`{name}`") for name in docs.columns])

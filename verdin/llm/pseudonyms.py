@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from verdin.llm.frames import free_names
+
 KEY = "change-me"
 ROUNDS = 8
 #: Days of a whole Gregorian cycle from FIRST_DAY on: 146,097 = 189 * 773.
@@ -210,6 +212,7 @@ def pseudonymised(docs: DataFrame, key: str = KEY, column: str = "text") -> Data
             *[_number(s["found"], kind).alias(kind) for kind in KINDS],
         ),
     )
-    work = docs.withColumn("_new", F.when(some, new))
-    counts = {f"n_{kind}": F.coalesce(F.col("_new")[kind], F.lit(0).cast("long")) for kind in KINDS}
-    return work.withColumns({column: F.coalesce(F.col("_new")["text"], text), **counts}).drop("_new")
+    (name,) = free_names(docs.withColumns({f"n_{kind}": F.lit(0) for kind in KINDS}), "_new")
+    work = docs.withColumn(name, F.when(some, new))
+    counts = {f"n_{kind}": F.coalesce(F.col(name)[kind], F.lit(0).cast("long")) for kind in KINDS}
+    return work.withColumns({column: F.coalesce(F.col(name)["text"], text), **counts}).drop(name)

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verdin.llm.components import components
-from verdin.llm.frames import pinned, text_bytes
+from verdin.llm.frames import free_names, pinned, text_bytes
 
 #: Generator polynomial of the code, and the bits of the fingerprint in each of three segments.
 GENERATOR = 0xAE3
@@ -573,15 +573,16 @@ def without_near_copies(docs: DataFrame, shingle: int = 5, least: float = 0.8) -
 
     Rows that repeat the same id and text count as one document and come once.
     """
+    doc_id, content_name = free_names(docs, "_doc_id", "_content")
     groups = pinned(similar_groups(docs, shingle, least))
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("content"))
     heads = groups.groupBy("root").agg(F.min(order).alias("head"), F.count("*").alias("n"))
-    heads = heads.select(F.col("head.doc_id").alias("_doc_id"), F.col("head.content").alias("_content"))
+    heads = heads.select(F.col("head.doc_id").alias(doc_id), F.col("head.content").alias(content_name))
     content = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id")) & (content == F.col("_content"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(doc_id)) & (content == F.col(content_name))
     rows = docs.join(heads, same, "left_semi")
     twice = groups.groupBy("doc_id", "content").agg(F.count("*").alias("n")).where("n > 1")
-    twice = pinned(twice.select(F.col("doc_id").alias("_doc_id"), F.col("content").alias("_content")))
+    twice = pinned(twice.select(F.col("doc_id").alias(doc_id), F.col("content").alias(content_name)))
     if twice.isEmpty():
         return rows
     again = rows.join(twice, same, "left_semi").dropDuplicates(["doc_id", "text"])

@@ -90,15 +90,18 @@ def _ranges(characters: str, gap: int = 64) -> str:
 def to_ascii(text: Column) -> Column:
     """Compatibility-decomposed text without anything outside ASCII; plain ASCII rows are passed through."""
     plain, letters, longer = ascii_table()
-    forms = F.array(*[F.struct(F.lit(c).alias("char"), F.lit(f).alias("form")) for c, f in longer.items()])
-    expanded = F.aggregate(forms, text, lambda done, pair: F.replace(done, pair["char"], pair["form"]))
+    class_ = _ranges("".join(longer))
+    forms = F.create_map(*[F.lit(one) for pair in longer.items() for one in pair])
+    # only the characters that the row has are replaced, each once
+    met = F.array_distinct(F.regexp_extract_all(text, F.lit(f"({class_})")))
+    expanded = F.aggregate(met, text, lambda done, char: F.replace(done, char, F.coalesce(F.try_element_at(forms, char), char)))
 
     def folded(own: Column) -> Column:
         return F.regexp_replace(F.translate(own, plain, letters), NON_ASCII, "")
 
     return (
         F.when(~text.rlike(NON_ASCII), text)
-        .when(text.rlike(_ranges("".join(longer))), folded(expanded))
+        .when(text.rlike(class_), folded(expanded))
         .otherwise(folded(text))
     )
 

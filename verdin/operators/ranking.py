@@ -75,17 +75,14 @@ def stratified_split(
     """
     mixed = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
     placed = ordered.row_number(df.withColumn("_mixed", mixed), [F.asc("_mixed"), F.asc(key)], "_place", [label])
-    # one row per class
-    sizes = [(r[label], r["n"]) for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()]
-    parts = list(shares)
-    choice = F.lit(parts[-1])
-    for value, size in sizes:
-        inside, upto = F.lit(parts[-1]), 1.0
-        for part in reversed(parts[:-1]):
-            upto = sum(shares[p] for p in parts[: parts.index(part) + 1])
-            inside = F.when(F.col("_place") <= F.round(F.lit(size * upto)), F.lit(part)).otherwise(inside)
-        choice = F.when(F.col(label).eqNullSafe(F.lit(value)), inside).otherwise(choice)
-    return placed.withColumn(name, choice).drop("_mixed", "_place")
+    sizes = df.groupBy(F.col(label).alias("_class")).agg(F.count(F.lit(1)).alias("_size"))
+    sized = placed.join(sizes, F.col(label).eqNullSafe(F.col("_class")))
+    parts, upto = list(shares), 0.0
+    choice = F.lit(None).cast("string")
+    for part in parts[:-1]:
+        upto += shares[part]
+        choice = F.coalesce(choice, F.when(F.col("_place") <= F.round(F.col("_size") * F.lit(upto)), F.lit(part)))
+    return sized.withColumn(name, F.coalesce(choice, F.lit(parts[-1]))).drop("_mixed", "_place", "_class", "_size")
 
 
 def last_value_per_key(df: DataFrame, key: str, value: str, order: str) -> DataFrame:

@@ -280,10 +280,10 @@ def valid_first_rows(spark, folder):
 
 
 # ---------------------------------------------------------------- landing
-def _files(spark: SparkSession, folder: str) -> DataFrame:
+def _files(spark: SparkSession, folder: str, *carried: str) -> DataFrame:
     path = F.concat(F.col("source"), F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt"))
     return read_table(spark, folder, "documents").select(
-        "doc_id", path.alias("path"), landing.target_key("/in/box/", path).alias("key"), F.col("n_chars").alias("size")
+        "doc_id", path.alias("path"), landing.target_key("/in/box/", path).alias("key"), F.col("n_chars").alias("size"), *carried
     )
 
 
@@ -361,7 +361,7 @@ def partitioned_output(spark, folder):
     """SELECT d.doc_id, replace(source || '+' || d.doc_id, '+', '') AS name FROM documents d LEFT JOIN labels q ON q.doc_id = d.doc_id WHERE q.doc_id IS NULL OR q.toxic = 1""",
 )
 def changed_files(spark, folder):
-    source = _files(spark, folder).join(read_table(spark, folder, "documents").select("doc_id", "source"), "doc_id")
+    source = _files(spark, folder, "source")
     target = source.join(read_table(spark, folder, "labels"), "doc_id").select("key", (F.col("size") + F.col("toxic")).alias("size"))
     name = landing.landing_name(F.concat(F.col("source"), F.lit("+"), F.col("doc_id").cast("string")))
     return landing.changed_files(source, target).select("doc_id", name.alias("name"))

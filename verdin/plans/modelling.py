@@ -105,13 +105,14 @@ def sequence_tensor(spark, folder):
 SPARSE_SQL = "sp AS (SELECT event_id, CASE WHEN event_type <> 'error' THEN value END AS v, CASE WHEN event_type <> 'click' THEN CAST(props->>'$.k' AS DOUBLE) END AS k, CASE WHEN value > 3 THEN event_type END AS kind FROM events)"
 
 
-def sparse_events(spark: SparkSession, folder: str) -> DataFrame:
+def sparse_events(spark: SparkSession, folder: str, *carried: Column) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("double")
     return read_table(spark, folder, "events").select(
         "event_id",
         F.when(F.col("event_type") != "error", F.col("value")).alias("v"),
         F.when(F.col("event_type") != "click", k).alias("k"),
         F.when(F.col("value") > 3, F.col("event_type")).alias("kind"),
+        *carried,
     )
 
 
@@ -138,7 +139,7 @@ def impute_modes(spark, folder):
     SELECT "column", mode, n FROM c QUALIFY row_number() OVER (PARTITION BY "column" ORDER BY n DESC, mode) = 1""",
 )
 def modes(spark, folder):
-    rows = sparse_events(spark, folder).join(read_table(spark, folder, "events").select("event_id", F.col("event_type").alias("type")), "event_id")
+    rows = sparse_events(spark, folder, F.col("event_type").alias("type"))
     return features.modes(rows, ["kind", "type"])
 
 

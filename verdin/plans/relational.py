@@ -350,9 +350,10 @@ def cast_key(spark, folder):
        ORDER BY o.o_orderdate DESC, o.o_orderkey, l.l_linenumber""",
 )
 def three_way_join(spark, folder):
-    created = dates.parse_moment(F.date_format("o_orderdate", "dd/MM/yyyy"), "dd/MM/yyyy")
-    recent = created >= F.lit(dt.datetime(1999, 9, 23)).cast("timestamp_ntz")
-    orders = read_table(spark, folder, "orders").where((F.col("o_orderstatus") != "P") & recent)
+    orders = read_table(spark, folder, "orders")
+    since = F.lit(dt.datetime(1999, 9, 23)).cast(orders.schema["o_orderdate"].dataType)  # compared as it is, so that the scan filters
+    recent = F.col("o_orderdate") >= since
+    orders = orders.where((F.col("o_orderstatus") != "P") & recent)
     lines = read_table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
     suppliers = read_table(spark, folder, "supplier").select("s_suppkey", "s_name")
     joined = orders.join(lines, F.col("l_orderkey") == F.col("o_orderkey"))

@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 import unicodedata
 from collections import Counter
 
@@ -132,7 +133,22 @@ def chunked(t, size):
 @pytest.mark.parametrize("size", [1, 7, 10, 50])
 def test_chunks(spark, size):
     rows = ["", "  short. ", "Uno dos. Tres cuatro cinco. " * 9, "x" * 95, ". . . . . " * 6, "ñé. " * 20]
-    assert run(spark, text.chunks(F.col("text"), size), rows) == [chunked(r, size) for r in rows]
+    df = spark.createDataFrame([*enumerate(rows), (99, None)], "id int, text string")
+    got = {}
+    for r in text.chunk_rows(df, "text", size).orderBy("id", "place").collect():
+        got.setdefault(r.id, []).append(r.piece)
+    assert got == {99: [""], **{k: chunked(r, size) for k, r in enumerate(rows)}}
+
+
+def test_chunks_of_a_very_long_text_take_linear_time(spark):
+    seconds = []
+    for million in (5, 50):
+        df = spark.range(1).select(F.repeat(F.lit("una frase de prueba. "), million * 50_000).alias("text"))
+        start = time.perf_counter()
+        found = text.chunk_rows(df, "text", 900).agg(F.count("*").alias("n"), F.sum(F.length("piece")).alias("size")).first()
+        seconds.append(time.perf_counter() - start)
+        assert found.n >= million * 1_050_000 / 900 and found.size >= 0.99 * million * 1_050_000
+    assert seconds[1] < 30 * max(seconds[0], 1.0)
 
 
 def test_head_and_tail(spark):

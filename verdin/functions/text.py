@@ -5,11 +5,11 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import cache
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -257,27 +257,35 @@ def head_and_tail(text: Column, longest: int = 12000, head: float = 0.7) -> Colu
     return F.when(F.length(trimmed) <= longest, trimmed).otherwise(F.concat(first, F.lit("\n...\n"), last))
 
 
-def chunks(text: Column, longest: int) -> Column:
-    """Pieces of at most ``longest`` characters, cut after the last full stop beyond 60 % of a piece.
+def pieces(text: str | None, longest: int) -> Iterator[str]:
+    """Pieces of at most ``longest`` characters, cut after the last full stop beyond 60 % of a piece; blank ones are left out.
 
-    ``text`` should be a plain column. A piece advances by more than 60 % of
-    ``longest``, which bounds the number of steps.
+    A piece starts where the one before ended, so a text is walked once whatever its length.
     """
-    clean = strip(F.coalesce(text, F.lit("")))
-    least = int(longest * 0.6)
-    steps = F.sequence(F.lit(1), F.ceil(F.length(clean) / max(least, 1)).cast("int") + 1)
-    start = F.struct(clean.alias("rest"), F.array().cast("array<string>").alias("pieces"))
-
-    def step(state: Column, _: Column) -> Column:
-        rest = state["rest"]
-        window = F.left(rest, F.lit(longest))
-        after_stop = F.length(window) - F.instr(F.reverse(window), ".") + 1
-        usable = F.contains(window, F.lit(".")) & (after_stop - 1 > least)
-        cut = F.when(usable, after_stop).otherwise(F.length(window))
-        piece = strip(F.left(rest, cut))
-        pieces = F.when(piece != "", F.concat(state["pieces"], F.array(piece))).otherwise(state["pieces"])
-        advanced = F.struct(F.substring(rest, cut + 1, F.length(rest)).alias("rest"), pieces.alias("pieces"))
-        return F.when(rest == "", state).otherwise(advanced)
-
-    cut_up = F.aggregate(steps, start, step, lambda s: s["pieces"])
-    return F.when(F.length(clean) <= longest, F.array(clean)).otherwise(cut_up)
+    clean, start = (text or "").strip(), 0
+    if len(clean) <= longest:
+        yield clean
+        return
+    while start < len(clean):
+        end = min(start + longest, len(clean))
+        stop = clean.rfind(".", start, end)
+        if stop - start > int(longest * 0.6):
+            end = stop + 1
+        piece = clean[start:end].strip()
+        if piece:
+            yield piece
+        start = end
+
+
+class _Chunks:
+    def eval(self, text: str, longest: int) -> Iterator[tuple[int, str]]:
+        yield from enumerate(pieces(text, longest))
+
+
+def chunk_rows(df: DataFrame, column: str, longest: int) -> DataFrame:
+    """``df`` with a row per piece of its ``column``: ``place`` from 0 and ``piece``; a table function over whole texts.
+
+    Null and blank texts are one empty piece.
+    """
+    cut = F.udtf(_Chunks, returnType="place INT, piece STRING", useArrow=True)
+    return df.lateralJoin(cut(F.col(column).outer(), F.lit(longest)))

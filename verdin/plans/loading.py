@@ -14,7 +14,7 @@ from verdin.operators.contract import Field
 from verdin.plans.registry import query
 from verdin.plans.scoring import SCORED, rounded, scored
 from verdin.session import read_table, scratch_path
-from verdin.sources import staged
+from verdin.sources import published, staged
 
 FIELDS = (
     Field("L_OrderKey", "bigint", nullable=False),
@@ -102,6 +102,31 @@ def staged_load(spark, folder):
     return spark.table(table)
 
 
+@query(
+    "s9_published_load",
+    f"""WITH {CONVERTED_SQL} SELECT "L_OrderKey" AS l_orderkey, "L_Quantity" AS l_quantity, CAST(NULL AS VARCHAR) AS note FROM conv
+        UNION ALL SELECT "L_OrderKey", "L_Quantity", NULL FROM conv WHERE "L_LineNumber" = 1""",
+)
+def published_load(spark, folder):
+    """The staged load as versions that readers see whole: a first load, then one appended."""
+    converted = contract.convert_all(raw_lines(spark, folder), FIELDS)
+    rows = converted.select(F.col("L_OrderKey").alias("l_orderkey"), F.col("L_Quantity").alias("l_quantity"))
+    path = scratch_path(spark, "published-load")
+    published.publish(rows.withColumn("note", F.lit(None).cast("string")), path, checks={"key": F.col("l_orderkey").isNotNull()})
+    first = converted.where(F.col("L_LineNumber") == 1).select(F.col("L_OrderKey").alias("l_orderkey"), F.col("L_Quantity").alias("l_quantity"))
+    published.publish(first, path, append=True)
+    return published.read_published(spark, path)
+
+
+@query("s10_published_replace", "SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_orderstatus <> 'P' GROUP BY o_orderstatus")
+def published_replace(spark, folder):
+    path = scratch_path(spark, "published-orders")
+    orders = read_table(spark, folder, "orders")
+    published.publish(orders, path)
+    published.publish(orders.where("o_orderstatus <> 'P'"), path)
+    return published.read_published(spark, path).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "s12_json_report",
     f"""WITH {SCORED} SELECT round(avg((p - y) * (p - y)), 6) AS brier, CAST(sum(y) AS BIGINT) AS positives, count(*) AS n FROM scored""",

@@ -491,8 +491,7 @@ CHUNK = 900
     SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY step) - 1 AS INT) AS place, piece FROM p""",
 )
 def chunks(spark, folder):
-    cut = documents(spark, folder).select("doc_id", F.posexplode(text.chunks(F.col("text"), CHUNK)))
-    return cut.select("doc_id", F.col("pos").alias("place"), F.col("col").alias("piece"))
+    return text.chunk_rows(documents(spark, folder).select("doc_id", "text"), "text", CHUNK).select("doc_id", "place", "piece")
 
 
 @query(

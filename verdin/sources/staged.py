@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -21,9 +21,9 @@ def staged_load(
 ) -> LoadResult:
     """Write to a staging table shaped like the destination, then insert from it.
 
-    Rows reach the destination in one statement, so a failed write leaves it as
-    it was. The staging table is dropped at the end. Rows in are those staged,
-    rows inserted those by which the destination grew; a difference raises.
+    Rows reach the destination in one statement; how far a failed one is undone is up to
+    the table's format (``published`` keeps plain files whole). The staging table is dropped at
+    the end. Rows in are those staged, rows inserted those that the insert wrote; a difference raises.
     """
     spark = df.sparkSession
     staging = f"{table}{suffix}"
@@ -41,9 +41,10 @@ def staged_load(
             for f in shape.schema.fields
         ]
     )
-    rows_in, before = filled.count(), 0 if truncate else spark.table(table).count()
-    full.write.mode("overwrite" if truncate else "append").insertInto(table, overwrite=truncate)
-    inserted = spark.table(table).count() - before
+    rows_in, written = filled.count(), Observation()
+    counted = full.observe(written, F.count(F.lit(1)).alias("n"))
+    counted.write.mode("overwrite" if truncate else "append").insertInto(table, overwrite=truncate)
+    inserted = written.get["n"]
     spark.sql(f"DROP TABLE {staging}")
     if inserted != rows_in:
         raise RuntimeError(f"{rows_in} rows staged, {inserted} inserted into {table}")

@@ -141,6 +141,33 @@ def test_benchmark_items_are_found_within_the_edit_budget(spark):
     assert decontamination.report(df.limit(0), benchmark).count() == 0
 
 
+@pytest.mark.parametrize("hits", [4_000_000, 50])
+def test_short_items(spark, monkeypatch, hits):
+    monkeypatch.setattr(decontamination, "SLICE_HITS", hits)
+    rnd = random.Random(7)
+    long = "a benchmark item of thirty-nine letters"
+    assert len(long) == 39 and decontamination.budget(39)[0] == 3 and decontamination.budget(10)[0] == 0
+    texts = ["say abc now", "xabc abcd", "(ABC)", "abc", "ten letter", "often letters", "so ten\n letter!", "ten lettar", long.upper(), "z" * 90 + long.replace("item", "idem") + "q", long[:20], None, ""]
+    texts += ["".join(rnd.choice("abc ") for _ in range(300)) for _ in range(20)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, "abc"), (2, "ten letter"), (3, long), (4, "ABC "), (5, "")], "item_id long, text string")
+    got = {r.doc_id: r.item_ids for r in decontamination.report(df, benchmark).collect()}
+    for k, text in enumerate(texts):
+        text = decontamination.normal(text)
+        want = []
+        if re.search(r"(?<![a-z0-9])abc(?![a-z0-9])", text):
+            want += [1, 4]
+        if "ten letter" in text:
+            want.append(2)
+        if text and distance_inside(long, text) <= 3:
+            want.append(3)
+        assert got[k] == sorted(want)
+    left = {r.doc_id for r in decontamination.clean(df, benchmark).collect()}
+    assert left == {k for k, found in got.items() if not found}
+    only = {r.doc_id: r.item_ids for r in decontamination.report(df, benchmark.where("item_id = 1")).collect()}
+    assert only[0] == [1] and only[1] == []
+
+
 def toxic_tables(spark):
     rnd = random.Random(8)
     docs, labels = [], []

@@ -4,13 +4,16 @@ An item of m characters that occurs in a text with at most k edits shares at
 least ``m - q + 1 - k q`` of its q-grams with the place, all on diagonals that
 span at most k + 1. Bands of 2 (k + 1) diagonals, each overlapping the next by
 half, therefore hold that many shared q-grams for every such occurrence. Bands
-that reach the number are verified by alignment inside the band.
+that reach the number are verified by alignment inside the band. Items shorter than
+a q-gram share none; they are searched exactly, all at once, and count where no letter or
+digit adjoins them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,9 +24,10 @@ from verdin.llm.frames import keep_rows
 
 Q = 8
 ERRORS = 0.1
-LEAST_CHARS = 40
+LEAST_CHARS = 1
 BLOCK_CHARS = 4_000_000
 PORTION_CHARS = 500_000
+SLICE_HITS = 4_000_000
 NO_CHAR = 0x110000  # stands between texts and matches nothing
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SPREAD = np.uint64(0xD6E8FEB86659FD93)
@@ -97,18 +101,25 @@ class Index:
     """The q-grams of a block of items, with a bit table in front of the sorted hashes."""
 
     def __init__(self, items: list[tuple[int, str]], q: int, errors: float) -> None:
-        self.q, self.ids = q, [name for name, _ in items]
-        self.texts = [text for _, text in items]
-        self.codes = [codes_of(text) for text in self.texts]
-        self.reach = 2 * max(map(len, self.codes))
+        short = [one for one in items if len(one[1]) < q]
+        items = [one for one in items if len(one[1]) >= q]
+        self.q, self.ids = q, [name for name, _ in items + short]
+        self.short = ahocorasick.Automaton() if short else None
+        for k, (_, text) in enumerate(short, len(items)):
+            self.short.add_word(text, [*self.short.get(text, []), k])
+        self.shorts = [text for _, text in short]
+        if short:
+            self.short.make_automaton()
+        self.codes = [codes_of(text) for _, text in items]
+        self.reach = 2 * max(map(len, self.codes), default=0)
         self.cells = (1 << 20) - 1
         limits = [budget(len(codes), q, errors) for codes in self.codes]
         self.edits = np.array([one[0] for one in limits], dtype=np.int64)
         self.needed = np.array([one[1] for one in limits], dtype=np.int64)
         grams = [gram_hashes(codes, q) for codes in self.codes]
         owner = np.repeat(np.arange(len(items)), [len(g) for g in grams])
-        place = np.concatenate([np.arange(len(g)) for g in grams])
-        hashes = np.concatenate(grams)
+        place = np.concatenate([np.zeros(0, dtype=np.int64), *[np.arange(len(g)) for g in grams]])
+        hashes = np.concatenate([np.zeros(0, dtype=np.uint64), *grams])
         order = np.argsort(hashes, kind="stable")
         self.hashes, first = np.unique(hashes[order], return_index=True)
         self.first = np.append(first, len(order))
@@ -123,9 +134,13 @@ class Index:
             return hashes * _SPREAD >> self.shift
 
     def candidates(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Items and bands that share enough q-grams with a run of characters."""
+        """Items and bands that share enough q-grams with a run of characters.
+
+        Hits, a q-gram of the run with each of its places in the items, are laid out a slice at a time:
+        counted first, then kept where the counts allow a band.
+        """
         nothing = np.zeros(0, dtype=np.int64)
-        if len(codes) < self.q:
+        if len(codes) < self.q or not len(self.hashes):
             return nothing, nothing
         hashes = gram_hashes(codes, self.q)
         at = np.flatnonzero(self.table[self.slot(hashes)])
@@ -133,16 +148,27 @@ class Index:
         equal = self.hashes[rank] == hashes[at]
         at, rank = at[equal], rank[equal]
         number = self.first[rank + 1] - self.first[rank]
-        entry = np.repeat(self.first[rank] - (np.cumsum(number) - number), number) + np.arange(number.sum())
-        item, diagonal = self.owner[entry], np.repeat(at, number) - self.place[entry]
-        # counts over coarse stretches first: every band lies within one of them; cells that share a
-        # counter only count too much
-        coarse = (diagonal + self.reach) // self.reach
-        cell = (item * 1_000_003 + coarse * 2) & self.cells
-        counted = np.bincount(cell, minlength=self.cells + 1)
-        both = counted[cell] + np.maximum(counted[cell + 2 & self.cells], counted[cell - 2 & self.cells])
-        keep = both >= self.needed[item]
-        item, diagonal, entry = item[keep], diagonal[keep], entry[keep]
+        cuts = np.searchsorted(np.cumsum(number), np.arange(SLICE_HITS, int(number.sum()) + SLICE_HITS, SLICE_HITS), side="right")
+        edges = sorted({0, len(at), *cuts.tolist()})
+        slices = [slice(low, high) for low, high in zip(edges, edges[1:], strict=False)]
+
+        def hits(part: slice) -> tuple[np.ndarray, ...]:
+            many = number[part]
+            entry = np.repeat(self.first[rank[part]] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+            item, diagonal = self.owner[entry], np.repeat(at[part], many) - self.place[entry]
+            # coarse stretches: every band lies within one of them; cells that share a counter only count too much
+            return item, diagonal, entry, (item * 1_000_003 + (diagonal + self.reach) // self.reach * 2) & self.cells
+
+        counted = np.zeros(self.cells + 1, dtype=np.int64)
+        laid = [hits(part) for part in slices] if len(slices) == 1 else map(hits, slices)
+        for *_, cell in laid:
+            counted += np.bincount(cell, minlength=self.cells + 1)
+        kept = []
+        for item, diagonal, entry, cell in laid if len(slices) == 1 else map(hits, slices):
+            both = counted[cell] + np.maximum(counted[cell + 2 & self.cells], counted[cell - 2 & self.cells])
+            keep = both >= self.needed[item]
+            kept.append((item[keep], diagonal[keep], entry[keep]))
+        item, diagonal, entry = (np.concatenate([nothing, *column]) for column in zip(*kept, strict=True)) if kept else (nothing, nothing, nothing)
         if not len(item):
             return nothing, nothing
         # bands start at every multiple of edits + 1; each hit lies in two
@@ -171,6 +197,19 @@ class Index:
                 return 0, start, start + len(wanted)
         return banded(wanted, codes, low - edits, low + 3 * edits + 1, edits)
 
+    def exact(self, texts: list[str]) -> Iterator[tuple[int, int, int, int]]:
+        """Text, item, start and end of every occurrence of an item shorter than a q-gram."""
+        for k, text in enumerate(texts if self.short else []):
+            for last, items in self.short.iter(text):
+                for item in items:
+                    start = last + 1 - len(self.short_text(item))
+                    before, after = text[start - 1 : start] if start else "", text[last + 1 : last + 2]
+                    if not before.isalnum() and not after.isalnum():
+                        yield k, item, start, last + 1
+
+    def short_text(self, item: int) -> str:
+        return self.shorts[item - len(self.codes)]
+
     def search(self, texts: list[str]) -> list[list[tuple[int, int, int, int]]]:
         """Per normalised text: item, edits, start and end of the best occurrence of every item found."""
         runs = [codes_of(text) for text in texts]
@@ -184,6 +223,8 @@ class Index:
             if best:
                 key = int(np.searchsorted(starts, best[2] - 1, side="right")) - 1, item
                 found[key] = min(best, found.get(key, best))
+        for text, item, start, end in self.exact(texts):
+            found.setdefault((text, item), (0, int(starts[text]) + start, int(starts[text]) + end))
         out: list[list[tuple[int, int, int, int]]] = [[] for _ in texts]
         for (text, item), (edits, start, end) in sorted(found.items()):
             first = int(starts[text])
@@ -195,7 +236,7 @@ def _blocks(benchmark: DataFrame, q: int, least: int, block_chars: int) -> Itera
     held, size = [], 0
     for row in benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).distinct().toLocalIterator():
         text = normal(row[1])
-        if row[0] is None or len(text) < max(least, q):
+        if row[0] is None or len(text) < max(least, 1):
             continue
         held.append((row[0], text))
         size += len(text)
@@ -212,9 +253,9 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, q: int = Q, errors: float
     Every item is compared with every whole text. The benchmark is a stated
     query set: it is shipped in blocks of at most ``block_chars`` characters,
     one pass over the documents each, so memory does not grow with it. Places
-    are in the normalised text (lower case, single spaces). Items shorter than
-    ``least`` characters, null items and null item ids are left out; items whose
-    budget the lemma cannot serve get a smaller one (``budget``).
+    are in the normalised text (lower case, single spaces). Empty and null items,
+    null item ids and items shorter than ``least`` characters are left out; items whose
+    budget the lemma cannot serve get a smaller one (``budget``), items shorter than ``q`` none.
     """
     narrow = docs.select(F.col("doc_id").cast("long"), "text")
     out = None

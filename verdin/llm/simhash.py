@@ -207,16 +207,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
 BLOCK_BYTES = 8 << 20
 CELLS_PER_BYTE = 3
 #: Turns of comparisons with one text a shingle before all texts are compared; they only save work.
-TURNS = 2
+TURNS = 1
 #: Rows of a shingle that meet in one task, and rows compared at once.
 PORTION_ROWS = 2048
 BLOCK_ROWS = 256
-#: Cells by which overlaps are bounded from above.
+#: Cells by which overlaps are bounded from above, and earlier keys that a row carries along.
 CELLS = 256
+BEFORE = 8
 _SKETCH = "doc_id long, digest long"
 _CELLS = "bucket int, block int, cells binary, counts binary"
 _RANKS = "bucket int, block int, ranks binary"
-_KEYED = "key long, digest long, n long, place long"
+_KEYED = "key long, digest long, n long, place long, before binary"
 
 
 def _apart(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -314,19 +315,28 @@ def _prefixes(size: int, bits: int, least: float):
         parts = sorted(zip(right.column("bucket").to_pylist(), right.column("ranks").to_pylist(), strict=True))
         ranks = np.frombuffer(b"".join(open_.decompress(one) for _, one in parts), dtype=np.uint8)
         columns: list[list[np.ndarray]] = [[np.zeros(0, dtype=np.int64)] for _ in range(4)]
+        earlier: list[np.ndarray] = [np.zeros((0, BEFORE), dtype=np.uint64)]
         for digest, hashes in sets.items():
             rank = ranks[np.searchsorted(cells, hashes >> np.uint64(64 - bits))]
             first = np.argsort(rank, kind="stable")[: prefix_length(len(hashes), least)]
             place = np.flatnonzero(rank[first] > 1)  # a shingle that is alone in its cell meets no other
-            for column, values in zip(columns, (hashes[first[place]].view(np.int64), np.full(len(place), digest), np.full(len(place), len(hashes)), place), strict=True):
+            keys = hashes[first[place]]
+            for column, values in zip(columns, (keys.view(np.int64), np.full(len(place), digest), np.full(len(place), len(hashes)), place), strict=True):
                 column.append(values)
-        return pa.table([pa.array(np.concatenate(column).astype(np.int64)) for column in columns], names=["key", "digest", "n", "place"])
+            padded = np.concatenate([np.zeros(BEFORE, dtype=np.uint64), keys])
+            earlier.append(np.lib.stride_tricks.sliding_window_view(padded, BEFORE)[: len(keys)])
+        before = np.concatenate(earlier)
+        ends = pa.py_buffer(np.arange(len(before) + 1, dtype=np.int32) * (8 * BEFORE))
+        packed = pa.Array.from_buffers(pa.binary(), len(before), [None, ends, pa.py_buffer(before.tobytes())])
+        return pa.table([*[pa.array(np.concatenate(column).astype(np.int64)) for column in columns], packed], names=["key", "digest", "n", "place", "before"])
 
     return run
 
 
 def rare_shingles(docs: DataFrame, shingle: int, least: float) -> DataFrame:
-    """The first shingles of each word sequence in a common order, rare ones first: ``key``, ``digest``, ``n``, ``place``.
+    """The first shingles of each word sequence in a common order, rare ones first: ``key``, ``digest``, ``n``, ``place``, ``before``.
+
+    ``before`` holds the ``BEFORE`` keys of the sequence just before this one.
 
     Two sets with a similarity of ``least`` have one of their first shingles in
     common, whatever the order, as long as it is the same for all. The order is
@@ -376,7 +386,7 @@ def group_pivots(rows: DataFrame) -> DataFrame:
 
 def contested(keyed: DataFrame, nodes: DataFrame) -> DataFrame:
     """The rows of shingles whose texts are in different groups, with ``root`` and ``members``, the shingle's number of rows."""
-    rooted = keyed.join(nodes.select("digest", "root"), "digest").select("key", "digest", "n", "place", "root")
+    rooted = keyed.join(nodes.select("digest", "root"), "digest").select("key", "digest", "n", "place", "before", "root")
     bounds = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("members"))
     return rooted.join(bounds.where("low <> high").select("key", "members"), "key")
 
@@ -390,6 +400,7 @@ class Bucket(NamedTuple):
     place: np.ndarray
     root: np.ndarray
     cells: np.ndarray
+    before: np.ndarray
 
 
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, Bucket]]:
@@ -399,7 +410,8 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, Bucket]]
     def cut(rows: pa.Table) -> tuple[bool, Bucket]:
         numbers = [rows.column(k).to_numpy() for k in range(3, 8)]
         cells = np.frombuffer(b"".join(rows.column(8).to_pylist()), dtype=np.uint8).reshape(-1, CELLS)
-        return rows.column(1)[0].as_py() == rows.column(2)[0].as_py(), Bucket(*numbers, cells)
+        before = np.frombuffer(b"".join(rows.column(9).to_pylist()), dtype=np.uint64).reshape(-1, BEFORE)
+        return rows.column(1)[0].as_py() == rows.column(2)[0].as_py(), Bucket(*numbers, cells, before)
 
     last = None
     for batch in batches:
@@ -426,8 +438,21 @@ def bounds(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return out
 
 
+def met_before(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Whether rows have one of the keys in common that come just before; such a pair met there already."""
+    out = np.empty(len(left), dtype=bool)
+    for k in range(0, len(left), 4096):
+        x, y = left[k : k + 4096, :, None], right[k : k + 4096, None, :]
+        out[k : k + 4096] = ((x == y) & (x != 0)).any(axis=(1, 2))
+    return out
+
+
 def _close(least: float):
-    """Pairs of a bucket in different groups that neither their places nor their counts by cell rule out."""
+    """Pairs of a bucket in different groups that neither their places nor their counts by cell rule out.
+
+    Two texts with many keys in common meet in many buckets; the first of these reports them, and others
+    only where none of the keys just before is common too.
+    """
 
     def of_blocks(same: bool, bucket: Bucket, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         good = (bucket.root[a][:, None] != bucket.root[b][None, :]) & (a[:, None] < b[None, :])
@@ -437,6 +462,8 @@ def _close(least: float):
         x, y = a[x], b[y]
         fine = may_reach(bucket.n[x], bucket.place[x], bucket.n[y], bucket.place[y], least)
         x, y = x[fine], y[fine]
+        fresh = ~met_before(bucket.before[x], bucket.before[y])
+        x, y = x[fresh], y[fresh]
         need = np.ceil(least / (1 + least) * (bucket.n[x] + bucket.n[y]) - 1e-9)
         near = bounds(bucket.cells[x], bucket.cells[y]) >= need
         return bucket.digest[x[near]], bucket.digest[y[near]]
@@ -463,8 +490,8 @@ def close_pairs(rows: DataFrame, sketches: DataFrame, least: float, portion: int
     parts = F.ceil(F.col("members") / portion).cast("int")
     rows = rows.withColumn("part", F.pmod(F.xxhash64("digest"), parts).cast("int")).withColumn("parts", parts)
     pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda x: F.struct(F.least(x, "part").alias("i"), F.greatest(x, "part").alias("j")))
-    dealt = rows.withColumn("pair", F.explode(pairs)).select("key", "pair.*", "digest", "n", "place", "root", "part")
-    full = dealt.join(sketches, "digest").select("key", "i", "j", (F.col("part") == F.col("i")).alias("left"), "digest", "n", "place", "root", "cells")
+    dealt = rows.withColumn("pair", F.explode(pairs)).select("key", "pair.*", "digest", "n", "place", "root", "part", "before")
+    full = dealt.join(sketches, "digest").select("key", "i", "j", (F.col("part") == F.col("i")).alias("left"), "digest", "n", "place", "root", "cells", "before")
     walked = full.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "root", "digest").mapInArrow(_close(least), "a long, b long")
     return walked.distinct()
 
@@ -547,7 +574,7 @@ def similar_groups(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> Dat
     sketched = pinned(marked.mapInArrow(sketch, f"{_SKETCH}, content long"))
     nodes = pinned(sketched.groupBy("digest").agg(F.min("content").alias("content")))
     keyed = pinned(rare_shingles(rows, shingle, least))
-    alone = keyed.withColumn("root", F.col("digest"))
+    alone = keyed.drop("before").withColumn("root", F.col("digest"))
     links = verified(with_pivots(alone, first_pivots(keyed), least), marked, nodes, shingle, least)
     rows = pinned(contested(keyed, rooted(nodes, links)))
     for _ in range(TURNS):

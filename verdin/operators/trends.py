@@ -48,7 +48,7 @@ def tidy_posts(posts: DataFrame, origin: str, moment: str, text: str, extra: Seq
     total = interaction_total(posts, INTERACTION_PATTERNS)
     dated = posts.withColumn("_moment", post_moment(posts, moment))
     return dated.select(
-        origin_host(F.col(origin).cast("string")).alias("origin"),
+        F.when(F.col(origin).isNotNull(), origin_host(F.col(origin).cast("string"))).alias("origin"),
         week_label(F.col("_moment")).alias("week"),
         F.to_date("_moment").alias("day"),
         F.col(text).alias("text"),

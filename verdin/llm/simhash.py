@@ -576,19 +576,32 @@ def similar_groups(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> Dat
     keyed = pinned(rare_shingles(rows, shingle, least))
     alone = keyed.drop("before").withColumn("root", F.col("digest"))
     links = verified(with_pivots(alone, first_pivots(keyed), least), marked, nodes, shingle, least)
-    rows = pinned(contested(keyed, rooted(nodes, links)))
+    rows = pinned(contested(keyed, nearly_rooted(nodes, links)))
     for _ in range(TURNS):
         found = verified(with_pivots(rows, group_pivots(rows), least), marked, nodes, shingle, least)
         if found.isEmpty():
             break
         links = links.unionByName(found)
-        rows = pinned(contested(rows.drop("root", "members"), rooted(nodes, links)))
+        rows = pinned(contested(rows.drop("root", "members"), nearly_rooted(nodes, links)))
     sketches = pinned(shingle_counts(texts_of(marked, nodes, rows.select("digest").distinct()), shingle))
     found = verified(close_pairs(rows, sketches, least), marked, nodes, shingle, least)
     grouped = rooted(nodes, links.unionByName(found))
     return sketched.join(grouped.select("digest", "root"), "digest").select("doc_id", "content", "root")
 
 
+def nearly_rooted(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """``nodes`` with a ``root`` that each reaches: the smallest neighbour of its smallest neighbour.
+
+    Texts with one root are in one group; a group may still have several roots, which costs
+    comparisons but loses none. Links from pivots are stars, so few do.
+    """
+    both = links.select("a", "b").union(links.select("b", "a"))
+    lowest = both.groupBy("a").agg(F.min("b").alias("low"))
+    once = pinned(nodes.join(lowest, nodes.digest == lowest.a, "left").select("digest", F.least("digest", F.coalesce("low", "digest")).alias("root")))
+    jump = once.select(F.col("digest").alias("root"), F.col("root").alias("next"))
+    return once.join(jump, "root").select("digest", F.col("next").alias("root"))
+
+
 def rooted(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """``nodes`` with the smallest digest of their group as ``root``."""
     found = components(links)

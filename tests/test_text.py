@@ -195,6 +195,11 @@ def test_outcome_rules(spark):
     assert run(spark, outcomes.needs_person(F.col("text")), ["0.64", "0.65", "bad", None]) == [1, 0, 1, 1]
 
 
+def test_tail_share_counts_as_written(spark):
+    rows = ["x" * n + "y" * (m - n) for m, n in ((10, 7), (90, 63), (130, 91), (190, 133), (11, 7))]  # 0.7 * 90 is below 63 in doubles
+    assert run(spark, text.tail(F.col("text")), rows) == ["y" * r.count("y") for r in rows]
+
+
 def test_parsers(spark):
     mail = run(spark, parsers.mail_in_key(F.col("text")), ["Grabaciones/ana.perez@example.edu/llamada.wav", "x/sin/llamada.wav"])
     assert mail == ["ana.perez@example.edu", None]

@@ -6,6 +6,7 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator, Sequence
+from decimal import Decimal
 from functools import cache
 
 import pandas as pd
@@ -235,8 +236,8 @@ def capped_confidence(value: Column) -> Column:
 
 
 def tail(text: Column, share: float = 0.30) -> Column:
-    """The last share of a text."""
-    skipped = F.floor(F.length(text) * F.lit(1 - share)).cast("int")
+    """The last share of a text; the share counts as written, so that 0.3 of 90 characters are 27."""
+    skipped = F.floor(F.length(text) * F.lit(1 - Decimal(str(share)))).cast("int")
     return F.substring(text, skipped + 1, F.length(text))
 
 

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from verdin.operators import isotonic, models
@@ -27,6 +28,21 @@ def test_fit_and_unknown_category(data):
         models.fit(data, ["absent"], "y")
 
 
+@pytest.mark.parametrize("name,options", [("rf", {"numTrees": 3, "maxDepth": 2}), ("linear", {}), ("gbt", {"maxIter": 2})])
+def test_models_score_in_a_session_that_observed_a_table(data, name, options):
+    data.observe(Observation(), F.count(F.lit(1)).alias("n")).collect()
+    scored = models.score(models.fit(data, ["x", "c"], "y", name, **options), data)
+    assert scored.where("p BETWEEN 0 AND 1").count() == 400
+    fitted, chosen = models.random_search(data, ["x", "c"], "y", name, {"seed": [1], "maxDepth": [2]} if name == "rf" else {"maxIter": [2]}, draws=1)
+    assert len(fitted.avgMetrics) == len(chosen) == 1 and models.score(fitted.bestModel, data).count() == 400
+
+
+def test_linear_model_on_arrays_in_a_session_that_observed_a_table(data):
+    data.observe(Observation(), F.count(F.lit(1)).alias("n")).collect()
+    rows = data.select("id", F.array("x").alias("v"), "y")
+    assert models.linear_on_arrays(rows, "v", "y").scored.where("log_odds IS NOT NULL").count() == 400
+
+
 def test_out_of_fold_scores_and_calibration(data):
     scored = models.out_of_fold(data, ["x"], "y", [F.asc("id")], 3, "gbt", maxIter=3, maxDepth=2).cache()
     assert scored.count() == 300 and scored.select("id").distinct().count() == 300

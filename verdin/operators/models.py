@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from verdin.functions.numbers import clip, logit, sigmoid
 from verdin.operators import curves, ranking, trees
 from verdin.operators.columns import feature_kinds, require
-from verdin.session import pinned
+from verdin.session import pinned, scratch_path
 
 Builder = Callable[..., Estimator]
 
@@ -80,11 +80,28 @@ def with_class_weight(df: DataFrame, label: str, name: str = "weight") -> DataFr
     return df.withColumn(name, F.when(F.col(label) == 1, F.lit(weight)).otherwise(F.lit(1.0)))
 
 
+def without_summary(model: Model) -> Model:
+    """A fitted classifier without its training summary.
+
+    A summary holds the session, which tasks cannot receive once any table was observed in it, and
+    forests and linear models take theirs along with every row they score.
+    """
+    if not getattr(model, "hasSummary", False):
+        return model
+    bare = model.copy()  # a forest leaves the summary behind
+    if bare.hasSummary:
+        path = scratch_path(SparkSession.active(), "model")
+        model.write().save(path)
+        bare = type(model).load(path)
+    return bare
+
+
 def fit(df: DataFrame, features: Sequence[str], label: str, name: str = "boosted", sparse: bool = False, **options) -> PipelineModel:
     require(df, [*features, label])
     weighted = with_class_weight(df.withColumn("label", F.col(label).cast("double")), label)
     classifier = build(name, **options).setWeightCol("weight")
-    return Pipeline(stages=[*encoder(df, features, sparse), classifier]).fit(weighted)
+    fitted = Pipeline(stages=[*encoder(df, features, sparse), classifier]).fit(weighted)
+    return PipelineModel([*fitted.stages[:-1], without_summary(fitted.stages[-1])])
 
 
 def score(model: Model, df: DataFrame, name: str = "p") -> DataFrame:
@@ -126,10 +143,10 @@ def random_search(
         _, ready = encoded(weighted.where(~tested))
         train, test = ready(weighted.where(~tested)), ready(weighted.where(tested))
         with ThreadPool(parallelism) as pool:
-            scores = pool.map(lambda one, train=train, test=test: evaluator.evaluate(classifier.fit(train, one).transform(test)), maps)
+            scores = pool.map(lambda one, train=train, test=test: evaluator.evaluate(without_summary(classifier.fit(train, one)).transform(test)), maps)
         totals = [total + score / folds for total, score in zip(totals, scores, strict=True)]
     fitted, ready = encoded(weighted)
-    best = classifier.fit(ready(weighted), maps[totals.index(max(totals))])
+    best = without_summary(classifier.fit(ready(weighted), maps[totals.index(max(totals))]))
     return Search(totals, PipelineModel([*fitted.stages, best])), chosen
 
 
@@ -205,7 +222,8 @@ def weekly_models(
         found.slots[week] = [k for k, one in enumerate(names) if first_week[one] <= week]
         slicer = VectorSlicer(inputCol="features", outputCol="known", indices=found.slots[week])
         classifier = build(name, **options).setWeightCol("weight").setFeaturesCol("known")
-        found[week] = PipelineModel([*fitted.stages, *Pipeline(stages=[slicer, classifier]).fit(ready).stages])
+        sliced = Pipeline(stages=[slicer, classifier]).fit(ready)
+        found[week] = PipelineModel([*fitted.stages, sliced.stages[0], without_summary(sliced.stages[1])])
     return found
 
 
@@ -274,7 +292,7 @@ def linear_on_arrays(df: DataFrame, values: str, label: str) -> LinearFit:
     """Logistic model on an array column: its coefficients, and the rows with their ``log_odds``."""
     rows = df.withColumn("_features", array_to_vector(F.col(values).cast("array<double>")))
     model = LogisticRegression(featuresCol="_features", labelCol=label, rawPredictionCol="_raw", maxIter=50, regParam=1e-4).fit(rows)
-    scored = model.transform(rows).withColumn("log_odds", vector_to_array("_raw")[1])
+    scored = without_summary(model).transform(rows).withColumn("log_odds", vector_to_array("_raw")[1])
     return LinearFit([float(c) for c in model.coefficients], scored.select(*df.columns, "log_odds"))
 
 

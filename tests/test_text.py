@@ -176,6 +176,12 @@ def test_unescape_knows_all_entities(spark):
     assert run(spark, transcripts.unescape(F.col("text")), rows) == [html.unescape(rows[0]), None]
 
 
+def test_unescape_of_closed_entities_only(spark):
+    rows = ["a &amp &amp; &amp;lt; &copy; &copy &notit; &#241; &#241 &amp", "ver&&&amp;", None]
+    want = ["a &amp & &lt; © &copy &notit; ñ &#241 &amp", "ver&&&", None]
+    assert run(spark, transcripts.unescape(F.col("text"), closed=True), rows) == want
+
+
 def test_outcome_rules(spark):
     rows = [
         "x " * 100 + "lo voy a pensar pero te llamo mañana",

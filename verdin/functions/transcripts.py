@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import html
+import re
 from collections.abc import Sequence
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column
@@ -27,8 +29,23 @@ def unescape_entities(text: pd.Series) -> pd.Series:
     return text.map(html.unescape, na_action="ignore")
 
 
-def unescape(text: Column) -> Column:
-    return unescape_entities(text)
+_CLOSED = re.compile(r"&(?:#(?:[0-9]+|[xX][0-9a-fA-F]+)|[A-Za-z][A-Za-z0-9]*);")
+
+
+def _closed(found: re.Match) -> str:
+    entity = found.group()
+    return html.unescape(entity) if entity[1] == "#" or entity[1:] in html5 else entity
+
+
+@F.pandas_udf(T.StringType())
+def unescape_closed_entities(text: pd.Series) -> pd.Series:
+    """The entities that end in a semicolon to characters; what a cut text leaves of one (``&amp``) stays."""
+    return text.map(lambda own: _CLOSED.sub(_closed, own), na_action="ignore")
+
+
+def unescape(text: Column, closed: bool = False) -> Column:
+    """HTML entities to characters; with ``closed`` only those that end in a semicolon."""
+    return unescape_closed_entities(text) if closed else unescape_entities(text)
 
 
 def turns(text: Column) -> Column:

@@ -402,11 +402,12 @@ def importances(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("a32_importance", "SELECT CAST(5 AS BIGINT) AS inputs, true AS adds_up, true AS falling FROM labels LIMIT 1")
 def importance(spark, folder):
-    listed = F.collect_list("percent")  # one number per input
-    return importances(spark, folder).agg(
+    # one number per input; partials of an aggregate arrive in any order, so each number carries its place
+    listed = F.array_sort(F.collect_list(F.struct("place", "percent")))["percent"]
+    return importances(spark, folder).withColumn("place", F.monotonically_increasing_id()).agg(
         F.count(F.lit(1)).alias("inputs"),
         (F.abs(F.sum("percent") - 100) < 1e-6).alias("adds_up"),
-        (F.reverse(F.array_sort(listed)) == listed).alias("falling"),
+        (F.sort_array(listed, asc=False) == listed).alias("falling"),
     )
 
 

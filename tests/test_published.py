@@ -101,3 +101,19 @@ def test_calls_are_bounded_ordered_and_spaced(spark, tmp_path):
     moments = sorted(int(name.split("-")[1]) for name in os.listdir(folder) if name.startswith("try"))
     gaps = [(b - a) / 1e9 for a, b in zip(moments, moments[1:], strict=False)]
     assert len(moments) == 4 and gaps[0] >= 0.05 and gaps[1] >= 0.1 and 0.15 <= gaps[2] < 1
+
+
+def test_answers_are_handed_on_in_slices_of_a_batch(spark):
+    df = spark.range(2500, numPartitions=1).select(F.col("id"), F.col("id").cast("string").alias("t"))
+    sizes = []
+
+    class Caught:
+        sparkSession, schema = spark, df.schema
+
+        def mapInPandas(self, run, schema):  # noqa: N802
+            sizes.extend(len(part) for part in run(iter([df.toPandas()])))
+
+    classify.classify(Caught(), "t", lambda value: {"said": value}, "said string", {"said": ""})
+    assert sizes == [1000, 1000, 500]
+    got = classify.classify(df, "t", lambda value: {"said": value}, "said string", {"said": ""})
+    assert got.where("said = t").count() == 2500

@@ -14,6 +14,9 @@ from pyspark.sql import types as T
 
 Classifier = Callable[[str], Mapping[str, Any]]
 
+#: Rows answered and handed on at a time; a batch of Spark's may hold ten times as many texts.
+ANSWERED_ROWS = 1000
+
 
 def classify(
     df: DataFrame,
@@ -54,7 +57,7 @@ def classify(
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         with ThreadPoolExecutor(calls) as pool:
-            for batch in batches:
+            for batch in (whole.iloc[k : k + ANSWERED_ROWS] for whole in batches for k in range(0, len(whole), ANSWERED_ROWS)):
                 said = pool.map(ask, batch[text]) if calls > 1 else map(ask, batch[text])
                 answers = pd.DataFrame(list(said), columns=names, index=batch.index)
                 yield pd.concat([batch, answers], axis=1)

@@ -8,18 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from verdin.llm import decontamination, mixing, repetition, simhash, tokens
-from verdin.session import read_table, scratch_path
+from verdin.session import prepare, read_table, scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules on length and repetition."""
+    prepare(spark)
     return repetition.kept(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8 or more)."""
+    """One document of each group of near copies: SimHash links, and all others of similarity 0.8 or more (five-word shingles)."""
     return simhash.without_near_copies(docs)
 
 

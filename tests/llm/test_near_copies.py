@@ -241,6 +241,30 @@ def test_empty_tables(spark):
     assert suffixes.deduplicated(none).count() == 0
 
 
+def test_simhash_links_come_first_and_are_checked(spark, monkeypatch):
+    rnd = random.Random(15)
+    rows = []
+    for k in range(20):
+        words = [f"w{rnd.randrange(3000)}" for _ in range(300)]
+        rows.append((10 * k, " ".join(words)))
+        rows.append((10 * k + 1, " ".join([*words[:-1], "other"])))
+    twice = " ".join(f"v{k}" for k in range(300))
+    block = " ".join(f"u{k} u{k} u{k}" for k in range(4))
+    rows += [(900, twice), (901, f"{twice} {twice}"), (902, block), (903, f"{block} {block} {block}")]  # equal or near fingerprints, unlike sets
+    sets = {i: shingles(t) for i, t in rows}
+    seen = []
+    kept = simhash.verified
+    monkeypatch.setattr(simhash, "verified", lambda pairs, *rest: seen.append((pairs.count(), (found := kept(pairs, *rest)).count())) or found)
+    monkeypatch.setattr(simhash, "with_pivots", lambda rows, *rest: rows.sparkSession.createDataFrame([], "a long, b long"))
+    monkeypatch.setattr(simhash, "close_pairs", lambda rows, *rest: rows.sparkSession.createDataFrame([], "a long, b long"))
+    groups = {}
+    for r in simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        groups.setdefault(r.root, []).append(r.doc_id)
+    linked = [one for one in groups.values() if len(one) > 1]
+    assert len(linked) >= 10 and seen[0][0] >= seen[0][1] == sum(len(one) - 1 for one in linked)
+    assert all(len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) for a, b in linked)
+
+
 def test_many_texts_around_one_passage_make_few_pairs(spark, monkeypatch):
     """Similarities of 0.6 to 0.79 among 2,000 texts, some pairs above: only links and what a bound cannot rule out become rows."""
     rnd = random.Random(13)

@@ -202,12 +202,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
     )
 
 
-# Near copies by word shingles: an exact join on the rarest shingles of each text, shingles decide.
+# Near copies: SimHash links first, then an exact join on the rarest shingles of each text; shingles decide.
 
 BLOCK_BYTES = 8 << 20
 CELLS_PER_BYTE = 3
 #: Turns of comparisons with one text a shingle before all texts are compared; they only save work.
-TURNS = 1
+TURNS = 2
 #: Rows of a shingle that meet in one task, and rows compared at once.
 PORTION_ROWS = 2048
 BLOCK_ROWS = 256
@@ -371,10 +371,21 @@ def with_pivots(rows: DataFrame, pivots: DataFrame, least: float) -> DataFrame:
     return met.select(F.least("digest", "pivot.digest").alias("a"), F.greatest("digest", "pivot.digest").alias("b")).distinct()
 
 
-def first_pivots(keyed: DataFrame) -> DataFrame:
-    """One row of each shingle, by a minimum that is combined on the map side."""
-    pivots = keyed.groupBy("key").agg(F.min(F.struct("digest", "n", "place")).alias("pivot"))
-    return pivots.withColumn("pivot_root", F.col("pivot.digest"))
+def simhash_pairs(marked: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs of texts whose SimHash fingerprints link: ``a``, ``b``, the smaller digest first.
+
+    Texts of one fingerprint are paired with the smallest of them, and linked fingerprints (two bits at most,
+    as ``links`` finds them) by their smallest texts, so a large group of copies gives no pairs among its members.
+    """
+    rows = fingerprints(marked.select(F.col("content").alias("doc_id"), "text"))
+    marks = rows.groupBy("doc_id").agg(F.min("fingerprint").alias("fingerprint"))
+    placed = pinned(nodes.join(marks, F.col("content") == F.col("doc_id")).select("digest", "fingerprint"))
+    firsts = pinned(placed.groupBy("fingerprint").agg(F.min("digest").alias("first")))
+    equal = placed.join(firsts, "fingerprint").select(F.col("first").alias("x"), F.col("digest").alias("y"))
+    left = firsts.select(F.col("fingerprint").alias("a"), F.col("first").alias("x"))
+    right = firsts.select(F.col("fingerprint").alias("b"), F.col("first").alias("y"))
+    near = links(firsts).join(left, "a").join(right, "b").select("x", "y")
+    return equal.unionByName(near).where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def group_pivots(rows: DataFrame) -> DataFrame:
@@ -385,8 +396,8 @@ def group_pivots(rows: DataFrame) -> DataFrame:
 
 
 def contested(keyed: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The rows of shingles whose texts are in different groups, with ``root`` and ``members``, the shingle's number of rows."""
-    rooted = keyed.join(nodes.select("digest", "root"), "digest").select("key", "digest", "n", "place", "before", "root")
+    """The rows of shingles whose texts are in different groups, with ``root`` and ``members``, the shingle's number of rows; without ``before``."""
+    rooted = keyed.join(nodes.select("digest", "root"), "digest").select("key", "digest", "n", "place", "root")
     bounds = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("members"))
     return rooted.join(bounds.where("low <> high").select("key", "members"), "key")
 
@@ -556,7 +567,8 @@ def similar_groups(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> Dat
 
     Texts with the same words, case aside, are copies. Others are linked if
     their sets of ``shingle``-word shingles have a Jaccard similarity of
-    ``least``. Every such pair meets at one of its rarest shingles (``rare_shingles``). First
+    ``least``. SimHash proposes the first pairs (``simhash_pairs``). It misses some, so the rest follows exactly:
+    every similar pair meets at one of its rarest shingles (``rare_shingles``). First
     each text of a shingle is compared with one text of the shingle's largest group, in a few turns while that
     links anything. Then all texts that meet and are still in different groups are
     compared inside the task that holds them, by counts that bound the overlap from above; only pairs that
@@ -573,19 +585,19 @@ def similar_groups(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> Dat
 
     sketched = pinned(marked.mapInArrow(sketch, f"{_SKETCH}, content long"))
     nodes = pinned(sketched.groupBy("digest").agg(F.min("content").alias("content")))
+    linked = verified(simhash_pairs(marked, nodes), marked, nodes, shingle, least)
     keyed = pinned(rare_shingles(rows, shingle, least))
-    alone = keyed.drop("before").withColumn("root", F.col("digest"))
-    links = verified(with_pivots(alone, first_pivots(keyed), least), marked, nodes, shingle, least)
-    rows = pinned(contested(keyed, nearly_rooted(nodes, links)))
+    rows = pinned(contested(keyed, nearly_rooted(nodes, linked)))
     for _ in range(TURNS):
         found = verified(with_pivots(rows, group_pivots(rows), least), marked, nodes, shingle, least)
         if found.isEmpty():
             break
-        links = links.unionByName(found)
-        rows = pinned(contested(rows.drop("root", "members"), nearly_rooted(nodes, links)))
+        linked = linked.unionByName(found)
+        rows = pinned(contested(rows.drop("root", "members"), nearly_rooted(nodes, linked)))
     sketches = pinned(shingle_counts(texts_of(marked, nodes, rows.select("digest").distinct()), shingle))
+    rows = rows.join(keyed.select("key", "digest", "before"), ["key", "digest"])
     found = verified(close_pairs(rows, sketches, least), marked, nodes, shingle, least)
-    grouped = rooted(nodes, links.unionByName(found))
+    grouped = rooted(nodes, linked.unionByName(found))
     return sketched.join(grouped.select("digest", "root"), "digest").select("doc_id", "content", "root")
 
 

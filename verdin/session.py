@@ -15,6 +15,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot join key even where that costs one more shuffle afterwards
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # a batch on its way to Python is bounded by its bytes (64 MB before): texts differ much in length
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
     # keyed state of streams lives on disk and is saved as changes
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",

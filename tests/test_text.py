@@ -6,6 +6,7 @@ import time
 import unicodedata
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -227,3 +228,15 @@ def test_all_of_unicode_is_folded(spark):
     ascii_only = [r[0] for r in df.select(text.to_ascii(F.col("t"))).collect()]
     assert ascii_only[0] == "1 A kg 12 fi A"
     assert df.select(text.strip_marks(F.col("t"))).collect()[1][0] == "e x ש"
+
+
+def test_batches_on_their_way_to_python_are_bounded_by_bytes(spark):
+    """A batch of long texts does not grow to the number of rows it may hold."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["size"])
+
+    rows = spark.range(3000).coalesce(1).select(F.repeat(F.lit("palabra "), F.lit(1250)).alias("text"))
+    found = [r.size for r in rows.mapInArrow(sizes, "size long").collect()]
+    assert sum(found) >= 30_000_000 and max(found) < 6_000_000

@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import random
+import time
 
 import numpy as np
 import pytest
@@ -305,3 +306,22 @@ def test_portions_of_a_large_bucket_meet(spark, monkeypatch):
     for portion in (2048, 25):
         assert {tuple(r) for r in simhash.close_pairs(df, sketches, 0.8, portion).collect()} == want
     assert len(want) > 100
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark):
+    from pathlib import Path
+
+    from verdin.session import stored
+
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+
+    def shuffled():
+        return {path.name for folder in folders for path in Path(folder).rglob("shuffle_*")}
+
+    before = shuffled()
+    kept = stored(spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count())
+    assert sorted(map(tuple, kept.collect())) == [(k, 143 if k < 6 else 142) for k in range(7)]
+    deadline = time.monotonic() + 20
+    while shuffled() - before and time.monotonic() < deadline:  # removed in the background
+        time.sleep(0.2)
+    assert not shuffled() - before

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from verdin.llm.components import components
 from verdin.llm.frames import free_names, pinned, text_bytes
+from verdin.session import stored
 
 #: Generator polynomial of the code, and the bits of the fingerprint in each of three segments.
 GENERATOR = 0xAE3
@@ -379,8 +380,8 @@ def simhash_pairs(marked: DataFrame, nodes: DataFrame) -> DataFrame:
     """
     rows = fingerprints(marked.select(F.col("content").alias("doc_id"), "text"))
     marks = rows.groupBy("doc_id").agg(F.min("fingerprint").alias("fingerprint"))
-    placed = pinned(nodes.join(marks, F.col("content") == F.col("doc_id")).select("digest", "fingerprint"))
-    firsts = pinned(placed.groupBy("fingerprint").agg(F.min("digest").alias("first")))
+    placed = stored(nodes.join(marks, F.col("content") == F.col("doc_id")).select("digest", "fingerprint"))
+    firsts = stored(placed.groupBy("fingerprint").agg(F.min("digest").alias("first")))
     equal = placed.join(firsts, "fingerprint").select(F.col("first").alias("x"), F.col("digest").alias("y"))
     left = firsts.select(F.col("fingerprint").alias("a"), F.col("first").alias("x"))
     right = firsts.select(F.col("fingerprint").alias("b"), F.col("first").alias("y"))
@@ -551,15 +552,15 @@ def _similar(least: float):
 
 def verified(pairs: DataFrame, marked: DataFrame, nodes: DataFrame, shingle: int, least: float) -> DataFrame:
     """The pairs whose whole texts have the similarity: ``a``, ``b``."""
-    pairs = pinned(pairs)
+    pairs = stored(pairs)
     ends = pairs.select(F.col("a").alias("digest")).union(pairs.select("b")).distinct()
-    sets = pinned(shingle_sets(texts_of(marked, nodes, ends), shingle))
+    sets = stored(shingle_sets(texts_of(marked, nodes, ends), shingle))
     joined = (
         pairs.join(sets.select(F.col("digest").alias("a"), F.col("shingles").alias("x")), "a")
         .join(sets.select(F.col("digest").alias("b"), F.col("shingles").alias("y")), "b")
         .select("a", "b", "x", "y")
     )
-    return pinned(joined.mapInArrow(_similar(least), "a long, b long"))
+    return stored(joined.mapInArrow(_similar(least), "a long, b long"))
 
 
 def similar_groups(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> DataFrame:
@@ -583,18 +584,18 @@ def similar_groups(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> Dat
             digests = pa.array([_word_digest(data) for data in text_bytes(batch.column(1))], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), digests, batch.column(2)], names=["doc_id", "digest", "content"])
 
-    sketched = pinned(marked.mapInArrow(sketch, f"{_SKETCH}, content long"))
-    nodes = pinned(sketched.groupBy("digest").agg(F.min("content").alias("content")))
+    sketched = stored(marked.mapInArrow(sketch, f"{_SKETCH}, content long"))
+    nodes = stored(sketched.groupBy("digest").agg(F.min("content").alias("content")))
     linked = verified(simhash_pairs(marked, nodes), marked, nodes, shingle, least)
-    keyed = pinned(rare_shingles(rows, shingle, least))
-    rows = pinned(contested(keyed, nearly_rooted(nodes, linked)))
+    keyed = stored(rare_shingles(rows, shingle, least))
+    rows = stored(contested(keyed, nearly_rooted(nodes, linked)))
     for _ in range(TURNS):
         found = verified(with_pivots(rows, group_pivots(rows), least), marked, nodes, shingle, least)
         if found.isEmpty():
             break
         linked = linked.unionByName(found)
-        rows = pinned(contested(rows.drop("root", "members"), nearly_rooted(nodes, linked)))
-    sketches = pinned(shingle_counts(texts_of(marked, nodes, rows.select("digest").distinct()), shingle))
+        rows = stored(contested(rows.drop("root", "members"), nearly_rooted(nodes, linked)))
+    sketches = stored(shingle_counts(texts_of(marked, nodes, rows.select("digest").distinct()), shingle))
     rows = rows.join(keyed.select("key", "digest", "before"), ["key", "digest"])
     found = verified(close_pairs(rows, sketches, least), marked, nodes, shingle, least)
     grouped = rooted(nodes, linked.unionByName(found))
@@ -609,7 +610,7 @@ def nearly_rooted(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """
     both = links.select("a", "b").union(links.select("b", "a"))
     lowest = both.groupBy("a").agg(F.min("b").alias("low"))
-    once = pinned(nodes.join(lowest, nodes.digest == lowest.a, "left").select("digest", F.least("digest", F.coalesce("low", "digest")).alias("root")))
+    once = stored(nodes.join(lowest, nodes.digest == lowest.a, "left").select("digest", F.least("digest", F.coalesce("low", "digest")).alias("root")))
     jump = once.select(F.col("digest").alias("root"), F.col("root").alias("next"))
     return once.join(jump, "root").select("digest", F.col("next").alias("root"))
 
@@ -617,7 +618,7 @@ def nearly_rooted(nodes: DataFrame, links: DataFrame) -> DataFrame:
 def rooted(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """``nodes`` with the smallest digest of their group as ``root``."""
     found = components(links)
-    return pinned(nodes.join(found, nodes.digest == found.node, "left").select("digest", "content", F.coalesce("root", "digest").alias("root")))
+    return stored(nodes.join(found, nodes.digest == found.node, "left").select("digest", "content", F.coalesce("root", "digest").alias("root")))
 
 
 def without_near_copies(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> DataFrame:
@@ -626,7 +627,7 @@ def without_near_copies(docs: DataFrame, shingle: int = 5, least: float = 0.8) -
     Rows that repeat the same id and text count as one document and come once.
     """
     doc_id, content_name = free_names(docs, "_doc_id", "_content")
-    groups = pinned(similar_groups(docs, shingle, least))
+    groups = stored(similar_groups(docs, shingle, least))
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("content"))
     heads = groups.groupBy("root").agg(F.min(order).alias("head"), F.count("*").alias("n"))
     heads = heads.select(F.col("head.doc_id").alias(doc_id), F.col("head.content").alias(content_name))
@@ -634,7 +635,7 @@ def without_near_copies(docs: DataFrame, shingle: int = 5, least: float = 0.8) -
     same = F.col("doc_id").cast("long").eqNullSafe(F.col(doc_id)) & (content == F.col(content_name))
     rows = docs.join(heads, same, "left_semi")
     twice = groups.groupBy("doc_id", "content").agg(F.count("*").alias("n")).where("n > 1")
-    twice = pinned(twice.select(F.col("doc_id").alias(doc_id), F.col("content").alias(content_name)))
+    twice = stored(twice.select(F.col("doc_id").alias(doc_id), F.col("content").alias(content_name)))
     if twice.isEmpty():
         return rows
     again = rows.join(twice, same, "left_semi").dropDuplicates(["doc_id", "text"])

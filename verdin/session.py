@@ -17,6 +17,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # a batch on its way to Python is bounded by its bytes (64 MB before): texts differ much in length
     "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
+    # a written table needs its shuffle files no longer; else they stay until the driver collects its garbage
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     # keyed state of streams lives on disk and is saved as changes
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
@@ -84,5 +86,16 @@ def pinned(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared folder as Parquet and read from there.
+
+    Serves where a frame is read more than once and its partitions don't matter. The shuffle files
+    behind it go as soon as it is written; those behind a checkpoint stay.
+    """
+    path = scratch_path(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

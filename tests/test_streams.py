@@ -76,6 +76,16 @@ def test_state_holds_one_value_per_key(spark, inbox):
     assert statuses(spark, inbox.base) == {("a", "started"): 1, ("a", "already_exists"): 5, ("b", "started"): 1, ("b", "already_exists"): 2, ("c", "started"): 1, ("c", "already_exists"): 2}
 
 
+def test_started_keys_are_kept_without_python(spark, inbox):
+    hot = ["hot"] * (2 * routing.LAID_OUT + 1)
+    query = inbox(["a", *hot])
+    assert {state["operatorName"] for state in query.lastProgress["stateOperators"]} == {"dedupe"}
+    assert statuses(spark, inbox.base) == {("a", "started"): 1, ("hot", "started"): 1, ("hot", "already_exists"): len(hot) - 1}
+    inbox(["a"], checkpoint="other")  # other checkpoints start nothing again, also after their first run
+    inbox(["a", "b"], checkpoint="other")
+    assert {k: n for k, n in statuses(spark, inbox.base).items() if k[1] == "started"} == {("a", "started"): 1, ("hot", "started"): 1, ("b", "started"): 1}
+
+
 def test_a_repeated_batch_overwrites_itself(spark, inbox, tmp_path):
     inbox(["a"])
     inbox(["a", "b"])

@@ -56,12 +56,13 @@ def notifications(keys: DataFrame) -> DataFrame:
 
 
 def run_stream(spark: SparkSession, folder: str, output: str | None = None) -> str:
-    """Route all notifications as a stream of several files, with a new checkpoint, and return the output folder."""
+    """Route all notifications as a stream of several files in two batches, with a new checkpoint, and return the output folder."""
     base = scratch_path(spark, "routing")
     output = output or f"{base}/out"
     approved(spark, folder).write.parquet(f"{base}/approved")
-    notifications(object_keys(spark, folder)).repartition(2).write.json(f"{base}/inbox")
-    stream = routing.read_notifications(spark, f"{base}/inbox", files_per_batch=1)
+    files = 2 * max(1, spark.sparkContext.defaultParallelism // 2)
+    notifications(object_keys(spark, folder)).repartition(files).write.json(f"{base}/inbox")
+    stream = routing.read_notifications(spark, f"{base}/inbox", files_per_batch=files // 2)
     routing.run_routing(
         stream, f"{base}/approved", ["Correo"], ALLOWED, output, f"{base}/checkpoint", "20240301-120000"
     ).awaitTermination()

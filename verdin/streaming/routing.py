@@ -106,6 +106,31 @@ STARTS = "bucket STRING, key STRING, mail STRING, status STRING"
 ROUTED = f"{STARTS}, reason STRING"
 
 
+#: Rows that one array makes at most when requests are laid out again.
+LAID_OUT = 4096
+
+
+def with_statuses(batch: DataFrame) -> DataFrame:
+    """The requests of a batch as rows with their ``status``, where ``first`` marks the extra row of a key's first request.
+
+    Requests have no identity besides their columns, so they are counted and laid out again: one of them is
+    ``started`` where the key is new, the others are ``already_exists``; those with a reason have no status.
+    A key requested very often is counted on the map side.
+    """
+    counted = batch.groupBy("bucket", "key", "mail", "reason").agg(F.count_if("first").alias("started"), F.count_if(~F.col("first")).alias("n"))
+    wanted = F.array(
+        F.struct(F.lit("started").alias("status"), F.col("started").alias("n")),
+        F.struct(F.lit("already_exists").alias("status"), (F.col("n") - F.col("started")).alias("n")),
+    )
+    left_out = F.array(F.struct(F.lit(None).cast("string").alias("status"), F.col("n").alias("n")))
+    parts = F.explode(F.when(F.col("reason").isNull(), wanted).otherwise(left_out)).alias("part")
+    columns = ["bucket", "key", "mail", "reason"]
+    sized = counted.select(*columns, parts).select(*columns, "part.*").where("n > 0")
+    cut = sized.withColumn("cut", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / LAID_OUT))))
+    rows = F.least(F.lit(LAID_OUT), F.col("n") - F.col("cut") * LAID_OUT).cast("int")
+    return cut.select(*columns, F.explode(F.array_repeat("status", rows)).alias("status"))
+
+
 def run_routing(
     notifications: DataFrame,
     approved_path: str,
@@ -120,34 +145,42 @@ def run_routing(
 
     A run reads the approved list as it is at its start. Started keys live in the
     state store of the checkpoint, one value per key, so a batch touches the state
-    of its own keys only. A batch is written once, over its own folder below the id of its
+    of its own keys only: Spark's streaming deduplication, or ``StartOnce`` where keys are forgotten
+    after ``keep_ms``. A batch is written once, over its own folder below the id of its
     query; repeated after a failure it starts from the state before it and
-    overwrites itself. A query with a new checkpoint takes the keys that others
-    started below ``output`` as its initial state and starts nothing again.
+    overwrites itself. A query starts nothing again that others started below ``output`` before its run.
     """
     session = notifications.sparkSession
     approved = approved_mails(session.read.parquet(approved_path), mail_columns)
-    routed = route(object_records(notifications), approved, allowed)
+    routed = route(object_records(notifications), approved, allowed).select("bucket", "key", "mail", "reason")
+    wanted = routed.where("reason IS NULL").drop("reason")
     new = not _exists(session, f"{checkpoint}/metadata", "text")
-    earlier = started_keys(session, output) if new else None
-    wanted = routed.where("reason IS NULL").select("bucket", "key", "mail")
-    marked = wanted.groupBy("key").transformWithState(
-        StartOnce(keep_ms),
-        outputStructType=STARTS,
-        outputMode="Append",
-        timeMode="ProcessingTime" if keep_ms else "None",
-        initialState=None if earlier is None else earlier.groupBy("key"),
-    )
-    started = marked.withColumns({"job": job_name(F.col("key"), stamp), "outcome": F.lit("processed")})
-    left_out = routed.where("reason IS NOT NULL").withColumn("outcome", F.lit("skipped"))
-    named = started.unionByName(left_out, allowMissingColumns=True)
-    own: list[str] = []
+    own = [] if new else [_query_id(session, checkpoint)]
+    if keep_ms:
+        earlier = started_keys(session, output) if new else None
+        marked = wanted.groupBy("key").transformWithState(
+            StartOnce(keep_ms),
+            outputStructType=STARTS,
+            outputMode="Append",
+            timeMode="ProcessingTime",
+            initialState=None if earlier is None else earlier.groupBy("key"),
+        )
+        named = marked.unionByName(routed.where("reason IS NOT NULL"), allowMissingColumns=True)
+    else:
+        earlier = started_keys(session, output, *own)
+        if earlier is not None and not earlier.isEmpty():
+            wanted = wanted.join(earlier, "key", "left_anti").select(*wanted.columns)
+        first = wanted.dropDuplicates(["key"]).withColumns({"reason": F.lit(None).cast("string"), "first": F.lit(True)})
+        named = routed.withColumn("first", F.lit(False)).unionByName(first)
 
     def one_batch(batch: DataFrame, number: int) -> None:
         if not own:
-            own.append(session.read.json(f"{checkpoint}/metadata").first()["id"])
+            own.append(_query_id(session, checkpoint))
+        rows = batch if keep_ms else with_statuses(batch)
+        going = F.col("reason").isNull()
+        rows = rows.withColumns({"job": F.when(going, job_name(F.col("key"), stamp)), "outcome": F.when(going, F.lit("processed")).otherwise(F.lit("skipped"))})
         # one write: the plan holds the state operator and must not run twice
-        batch.write.mode("overwrite").partitionBy("outcome").parquet(f"{output}/routed/run={own[0]}/batch={number}")
+        rows.write.mode("overwrite").partitionBy("outcome").parquet(f"{output}/routed/run={own[0]}/batch={number}")
 
     writer = named.writeStream.outputMode("append").foreachBatch(one_batch).option("checkpointLocation", checkpoint)
     # a time to live asks for further batches for ever; a run ends with its input
@@ -160,6 +193,10 @@ def run_routing(
         session.conf.set(setting, before)
 
 
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    return spark.read.json(f"{checkpoint}/metadata").first()["id"]
+
+
 def _exists(spark: SparkSession, path: str, kind: str) -> bool:
     try:
         return bool(spark.read.format(kind).load(path).columns)
@@ -180,8 +217,9 @@ def skipped(spark: SparkSession, output: str) -> DataFrame:
     return outcomes(spark, output).where("outcome = 'skipped'").drop("outcome", "status", "job")
 
 
-def started_keys(spark: SparkSession, output: str) -> DataFrame | None:
-    """Keys that any run started; none when nothing was written yet."""
+def started_keys(spark: SparkSession, output: str, *besides: str) -> DataFrame | None:
+    """Keys that any run started, but for the runs ``besides``; none when nothing was written yet."""
     if not _exists(spark, f"{output}/routed", "parquet"):
         return None
-    return processed(spark, output).where("status = 'started'").select("key").distinct()
+    rows = processed(spark, output).where("status = 'started'")
+    return rows.where(~F.col("run").isin(*besides)).select("key").distinct()

@@ -240,3 +240,15 @@ def test_batches_on_their_way_to_python_are_bounded_by_bytes(spark):
     rows = spark.range(3000).coalesce(1).select(F.repeat(F.lit("palabra "), F.lit(1250)).alias("text"))
     found = [r.size for r in rows.mapInArrow(sizes, "size long").collect()]
     assert sum(found) >= 30_000_000 and max(found) < 6_000_000
+
+
+def test_texts_are_written_one_by_one_and_read_back(spark):
+    from verdin.session import scratch_path
+    from verdin.sources import readers, staged
+
+    rows = [("a/b", "uno\ndos\u2028tres"), ("a/b", "uno\ndos\u2028tres"), ("web", ""), (None, "\r\n"), ("web", "é" * 300_000), *[("many", f"text {k}") for k in range(2001)]]
+    path = scratch_path(spark, "texts")
+    staged.write_texts(spark.createDataFrame(rows, "source string, text string").repartition(3), path, "text", "source")
+    found = readers.read_corpus(spark, path).select(F.regexp_extract("path", "source=([^/]+)", 1), "text", "size").collect()
+    name = {"a/b": "a%2Fb", None: "__HIVE_DEFAULT_PARTITION__"}
+    assert sorted(map(tuple, found)) == sorted((name.get(s, s), t + "\n", len(t.encode()) + 1) for s, t in rows)

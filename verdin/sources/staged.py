@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import os
+import re
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
+from urllib.parse import urlsplit
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,6 +81,41 @@ def write_partitioned(df: DataFrame, path: str, by: list[str]) -> None:
     df.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(path)
 
 
+def write_texts(df: DataFrame, folder: str, text: str, by: str) -> None:
+    """One file per row, its text and a line feed, in folders per value of ``by``.
+
+    Hadoop's local file system starts several processes for each file it creates, to set its mode, so below a
+    folder of this kind (which all executors reach) tasks write the files themselves, in folders of a thousand.
+    A task that runs again writes the same files again. Any other store gets Spark's text writer.
+    """
+    address = urlsplit(folder)
+    if address.scheme not in ("", "file"):
+        df.select(by, text).write.option("maxRecordsPerFile", 1).partitionBy(by).text(folder)
+        return
+    root = address.path
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, n = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            for value, body in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
+                place = f"{root}/{by}={_folder_name(value)}/{task:05d}-{n // 1000:05d}"
+                os.makedirs(place, exist_ok=True)
+                with open(f"{place}/{n:09d}.txt", "wb", buffering=0) as file:
+                    file.write((body or b"") + b"\n")
+                n += 1
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+
+    os.makedirs(root, exist_ok=True)
+    df.select(F.col(by).cast("string"), text).mapInArrow(put, "n long").agg(F.sum("n")).collect()
+
+
+def _folder_name(value: str | None) -> str:
+    """A value as Spark names its folders."""
+    if not value:
+        return "__HIVE_DEFAULT_PARTITION__"
+    return re.sub(r"[\x00-\x1f\x7f\"#%'*/:=?\\{\[\]^]", lambda m: f"%{ord(m[0]):02X}", value)
+
+
 def write_report(df: DataFrame, path: str) -> None:
     """Metrics as JSON lines."""
     df.write.mode("overwrite").json(path)

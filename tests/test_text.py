@@ -252,3 +252,15 @@ def test_texts_are_written_one_by_one_and_read_back(spark):
     found = readers.read_corpus(spark, path).select(F.regexp_extract("path", "source=([^/]+)", 1), "text", "size").collect()
     name = {"a/b": "a%2Fb", None: "__HIVE_DEFAULT_PARTITION__"}
     assert sorted(map(tuple, found)) == sorted((name.get(s, s), t + "\n", len(t.encode()) + 1) for s, t in rows)
+
+
+def test_listening_exports_come_from_the_columns_as_written(spark):
+    from verdin.operators import listening
+    from verdin.plans.texts import listened
+    from verdin.session import scratch_path
+
+    df = listened(spark, "/root/testdata/sf0.001")
+    paths = listening.export_tables(df, scratch_path(spark, "listening"))
+    for name, frame in listening.listening_tables(df).items():
+        written = spark.read.parquet(paths[name])
+        assert written.dtypes == frame.dtypes and sorted(map(str, written.collect())) == sorted(map(str, frame.collect())), name

@@ -9,6 +9,7 @@ from verdin.functions import labels
 from verdin.functions.dates import date_parts
 from verdin.functions.text import top_words
 from verdin.operators.columns import fixed_schema
+from verdin.sources.staged import export_all
 
 COMMENT_TABLE = {
     "comment_id": "string", "post": "string", "comment": "string", "moment": "timestamp_ntz", "origin": "string",
@@ -51,5 +52,15 @@ def rank_products(df: DataFrame, column: str = "product", n: int = 60) -> DataFr
 def listening_tables(df: DataFrame) -> dict[str, DataFrame]:
     """The frames to export: all columns, the fixed table, product ranking and topics."""
     data = enrich(tidy_answers(df))
+    return {"data": data} | _made_of(data)
+
+
+def _made_of(data: DataFrame) -> dict[str, DataFrame]:
     topics = data.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
-    return {"data": data, "table": fixed_schema(data, COMMENT_TABLE), "products": rank_products(data), "topics": topics}
+    return {"table": fixed_schema(data, COMMENT_TABLE), "products": rank_products(data), "topics": topics}
+
+
+def export_tables(df: DataFrame, folder: str) -> dict[str, str]:
+    """``listening_tables`` written below ``folder``: the columns are derived once, the other frames come from those as written."""
+    paths = export_all({"data": enrich(tidy_answers(df))}, folder)
+    return paths | export_all(_made_of(df.sparkSession.read.parquet(paths["data"])), folder)

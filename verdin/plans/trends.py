@@ -18,7 +18,6 @@ from verdin.plans.registry import query
 from verdin.plans.scoring import rounded
 from verdin.plans.texts import POST_STOPS, TIDY_SQL, listened
 from verdin.session import read_table, read_texts, scratch_path
-from verdin.sources import staged
 
 
 @query(
@@ -197,7 +196,7 @@ def latest_trends(spark, folder):
 )
 def named_exports(spark, folder):
     """The four frames of social listening, each written under its name and read back."""
-    paths = staged.export_all(listening.listening_tables(listened(spark, folder)), scratch_path(spark, "exports"))
+    paths = listening.export_tables(listened(spark, folder), scratch_path(spark, "exports"))
     whole = F.octet_length("comment").cast("bigint")
     entries = {"data": ("comment_id", whole), "table": ("comment_id", whole), "products": ("product", F.col("mentions")), "topics": ("topic", F.col("n"))}
     parts = [

@@ -1,11 +1,17 @@
 """Models and streams: ranges, whole results and restart."""
 
+import math
+
 import numpy as np
 import pytest
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from verdin.operators import isotonic, models
+from verdin.functions.numbers import logit
+from verdin.operators import enrolment, isotonic, models
 from verdin.session import scratch_path
 
 
@@ -83,3 +89,80 @@ def test_weeks_without_a_model_keep_their_rows(data):
 
 def test_scratch_is_below_the_checkpoint_folder(spark):
     assert scratch_path(spark, "x").startswith(spark.sparkContext.getCheckpointDir())
+
+
+def seen_rows(monkeypatch, kind):
+    """Rows each fit of a classifier gets."""
+    seen, own = [], kind._fit
+    monkeypatch.setattr(kind, "_fit", lambda self, rows: (seen.append(rows.count()), own(self, rows))[1])
+    return seen
+
+
+def row_wise(df, features, **options):
+    """The boosted trees of all rows, without cells."""
+    weighted = models.with_class_weight(df.withColumn("label", F.col("y").cast("double")), "y")
+    return Pipeline(stages=[*models.encoder(df, features), models.boosted(**options).setWeightCol("weight")]).fit(weighted)
+
+
+def test_boosted_trees_of_cells_are_those_of_rows(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = []
+    for k in range(3000):
+        a, kind = int(rng.integers(0, 9)), [None, "k", "l", "m"][rng.integers(0, 4)]
+        rows.append((k, None if k % 11 == 0 else float(a), kind, int(a + (kind == "k") * 3 + rng.normal() > 5)))
+    few = spark.createDataFrame(rows, "id INT, a DOUBLE, kind STRING, y INT").cache()
+    whole = row_wise(few, ["a", "kind"], maxIter=4, maxDepth=3)
+    seen = seen_rows(monkeypatch, GBTClassifier)
+    model = models.fit(few, ["a", "kind"], "y", maxIter=4, maxDepth=3)
+    assert seen[0] <= 9 * 4 * 2
+    want = {r.id: r.p for r in models.score(whole, few).collect()}
+    got = {r.id: r.p for r in models.score(model, few).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want) and len(set(got.values())) > 4
+
+
+def test_numbers_of_many_values_meet_in_bins_that_keep_a_frequent_value_apart(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = []
+    for k in range(6000):
+        low = float(rng.exponential()) if k % 20 == 0 else 0.0
+        top = float(-rng.exponential()) if k % 20 == 1 else 0.0
+        rows.append((k, low, top, float(rng.normal()), int(low > 0 or top < 0)))
+    many = spark.createDataFrame(rows, "id INT, low DOUBLE, top DOUBLE, noise DOUBLE, y INT").cache()
+    seen = seen_rows(monkeypatch, GBTClassifier)
+    scored = models.score(models.fit(many, ["low", "top", "noise"], "y", maxIter=3, maxDepth=3), many)
+    assert seen[0] < 6000 / 10
+    worst, best = scored.agg(F.min(F.when(F.col("y") == 1, F.col("p"))), F.max(F.when(F.col("y") == 0, F.col("p")))).first()
+    assert worst > 0.5 > best
+    assert models._splits([0.0, 0.0, 2.0, math.inf]) == [-math.inf, 0.0, math.nextafter(0.0, 1), 2.0, math.inf]
+
+
+def test_forests_and_drawn_rows_are_fitted_on_rows(data, monkeypatch):
+    seen = seen_rows(monkeypatch, GBTClassifier)
+    models.fit(data, ["c"], "y", "gbt", maxIter=2, subsamplingRate=0.5)
+    models.fit(data, ["c"], "y", "gbt", maxIter=2, minInstancesPerNode=5)
+    models.fit(data, ["c"], "y", "gbt", maxIter=2)
+    assert seen == [400, 400, 4]
+
+
+def test_platt_curve_of_counted_scores_is_that_of_rows(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    scored = spark.createDataFrame([(float(p), int(rng.random() < p * p)) for p in rng.integers(1, 20, 4000) / 20], "p DOUBLE, y INT").cache()
+    rows = scored.select(F.col("y").cast("double").alias("label"), array_to_vector(F.array(logit(F.col("p")))).alias("features"))
+    whole = LogisticRegression(regParam=1 / 4000, elasticNetParam=0.0, standardization=False).fit(rows)
+    seen = seen_rows(monkeypatch, LogisticRegression)
+    platt = models.fit_platt(scored, "y")
+    assert seen[0] <= 38
+    assert abs(platt.intercept - whole.intercept) < 1e-5 and abs(platt.coefficients[0] - whole.coefficients[0]) < 1e-5
+
+
+def test_enrolments_of_the_last_period_are_scored_whole(spark):
+    rng = np.random.default_rng(8)
+    rows = [(k, k % 7 + 1 if k % 50 else None, float(x), "ab"[k % 2], int(x + rng.normal() > 0)) for k, x in enumerate(rng.normal(size=3000))]
+    students = spark.createDataFrame(rows, "id INT, period_order INT, x DOUBLE, kind STRING, y INT")
+    run = enrolment.score_enrolments(students, ["x", "kind"], [F.asc("period_order"), F.asc("id")], m=25, maxIter=3, maxDepth=2)
+    last = [r for r in rows if r[1] == 7]
+    assert {r.id for r in run.scored.collect()} == {r[0] for r in last}
+    assert run.report["n_train"] == sum(r[1] is not None for r in rows) - len(last) and run.report["n_valid"] == len(last)
+    assert run.report["raw_positives"] == sum(r[4] for r in last) and run.report["adjusted_brier"] < 0.22
+    assert run.scored.where("selected = 1").count() >= 25
+    assert {r.kind: r.n for r in run.control("kind").collect()} == {k: sum(r[3] == k for r in last) for k in "ab"}

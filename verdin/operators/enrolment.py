@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from verdin.functions.numbers import clip
 from verdin.operators import kpi, models, ranking
-from verdin.session import pinned
+from verdin.session import pinned, stored
 
 
 @dataclass
@@ -48,10 +48,8 @@ def score_enrolments(
     flagged. Rows without a period order are left out. Only single rows of
     figures reach the driver.
     """
-    earlier, last = ranking.split_last_period(rows.where(F.col(period_order).isNotNull()), period_order)
-    earlier, last = pinned(earlier), pinned(last)
-    held = pinned(models.out_of_fold(earlier, features, label, order, folds, name, **options))
-    platt = models.fit_platt(held, label)
+    earlier, last = ranking.split_last_period(stored(rows.where(F.col(period_order).isNotNull())), period_order)
+    platt = models.fit_platt(models.out_of_fold(earlier, features, label, order, folds, name, **options), label)
     model = models.fit(earlier, features, label, name, **options)
     calibrated = pinned(models.apply_platt(platt, models.score(model, last, "p_raw"), "p_raw", "p_cal"))
     scalar = float(kpi.count_scalar(calibrated, label, "p_cal").first()["scalar"])

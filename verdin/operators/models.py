@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Callable, Mapping, Sequence
 from itertools import product
@@ -11,7 +12,7 @@ from typing import NamedTuple
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, NaiveBayes, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import HashingTF, Imputer, OneHotEncoder, OneHotEncoderModel
+from pyspark.ml.feature import Bucketizer, HashingTF, Imputer, OneHotEncoder, OneHotEncoderModel
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, Tokenizer, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from verdin.functions.numbers import clip, logit, sigmoid
 from verdin.operators import curves, ranking, trees
 from verdin.operators.columns import feature_kinds, require
-from verdin.session import pinned, scratch_path
+from verdin.session import pinned, scratch_path, stored
 
 Builder = Callable[..., Estimator]
 
@@ -97,11 +98,66 @@ def without_summary(model: Model) -> Model:
 
 
 def fit(df: DataFrame, features: Sequence[str], label: str, name: str = "boosted", sparse: bool = False, **options) -> PipelineModel:
+    """Encoder and classifier fitted on all rows, positives and negatives weighing the same.
+
+    Boosted trees see a number only by its bin, so rows of one cell (bins, texts and label) are
+    added up first, and the many passes of the trees go over cells.
+    """
     require(df, [*features, label])
     weighted = with_class_weight(df.withColumn("label", F.col(label).cast("double")), label)
     classifier = build(name, **options).setWeightCol("weight")
-    fitted = Pipeline(stages=[*encoder(df, features, sparse), classifier]).fit(weighted)
-    return PipelineModel([*fitted.stages[:-1], without_summary(fitted.stages[-1])])
+    stages, ready = encoder(df, features, sparse), []
+    if adds_up(classifier):
+        numeric, texts = feature_kinds(df, features)
+        fills, stages = (stages[:1], stages[1:]) if numeric else ([], stages)
+        ready = Pipeline(stages=fills).fit(weighted).stages
+        bins = bucketizer(PipelineModel(ready).transform(weighted), [f"_n_{c}" for c in numeric], classifier.getMaxBins())
+        ready = [*ready, bins] if bins else ready
+        binned = dict(zip(bins.getInputCols(), bins.getOutputCols(), strict=True)) if bins else {}
+        stages[-1].setInputCols([binned.get(c, c) for c in stages[-1].getInputCols()])
+        weighted = cells(PipelineModel(ready).transform(weighted), [binned.get(f"_n_{c}", f"_n_{c}") for c in numeric], texts)
+    fitted = Pipeline(stages=[*stages, classifier]).fit(weighted)
+    return PipelineModel([*ready, *fitted.stages[:-1], without_summary(fitted.stages[-1])])
+
+
+def adds_up(classifier: Estimator) -> bool:
+    """Whether a classifier learns the same from a row as from its copies added up: no rows drawn or counted."""
+    return isinstance(classifier, GBTClassifier) and classifier.getSubsamplingRate() == 1.0 and classifier.getMinInstancesPerNode() == 1
+
+
+def bucketizer(df: DataFrame, columns: Sequence[str], bins: int) -> Bucketizer | None:
+    """Bins of the columns with many values, at their quantiles over all rows; a value with a bin's share of rows has its own.
+
+    Columns of about ``2 * bins`` values at most are left as they are.
+    """
+    if not columns:
+        return None
+    shares = [k / bins for k in range(1, bins)]
+    found = df.agg(
+        *[F.approx_count_distinct(c).alias(f"_d{i}") for i, c in enumerate(columns)],
+        *[F.percentile_approx(F.col(c).cast("double"), shares, 1000).alias(f"_q{i}") for i, c in enumerate(columns)],
+    ).first()
+    splits = {c: _splits(found[f"_q{i}"]) for i, c in enumerate(columns) if found[f"_d{i}"] > 2 * bins}
+    splits = {c: edges for c, edges in splits.items() if len(edges) > 2}
+    if not splits:
+        return None
+    names = [c.replace("_n_", "_b_", 1) for c in splits]
+    return Bucketizer(splitsArray=list(splits.values()), inputCols=list(splits), outputCols=names, handleInvalid="keep")
+
+
+def _splits(quantiles: Sequence[float]) -> list[float]:
+    """Bin edges: each quantile, and the number after it where it stands twice."""
+    inner = {q for q in quantiles if math.isfinite(q)}
+    inner |= {math.nextafter(q, math.inf) for q in inner if quantiles.count(q) > 1}
+    return [-math.inf, *sorted(q for q in inner if math.isfinite(q)), math.inf]
+
+
+def cells(df: DataFrame, numbers: Sequence[str], texts: Sequence[str]) -> DataFrame:
+    """The ``weight`` of all rows with the same inputs and ``label``, written once."""
+    added = stored(df.groupBy("label", *numbers, *texts).agg(F.sum("weight").alias("weight")))
+    # bins stay in their order; as categories of a text trees would mix them
+    plain = {c: F.col(c).alias(c, metadata={"ml_attr": {"type": "numeric"}}) for c in numbers}
+    return added.withColumns(plain)
 
 
 def score(model: Model, df: DataFrame, name: str = "p") -> DataFrame:
@@ -164,7 +220,7 @@ def out_of_fold(
 
     Rows before the first fold have no score; they are left out, or kept with 0.
     """
-    placed = pinned(ranking.time_folds(df, order, folds))
+    placed = stored(ranking.time_folds(df, order, folds))
     parts = []
     for fold in range(1, folds + 1):
         model = fit(placed.where(F.col("fold") < fold), features, label, name, **options)
@@ -178,10 +234,14 @@ def out_of_fold(
 
 
 def fit_platt(scored: DataFrame, label: str, p: str = "p") -> Model:
-    """Logistic curve on the log-odds of out-of-fold scores, with the usual unit penalty."""
-    rows = scored.select(F.col(label).cast("double").alias("label"), array_to_vector(F.array(logit(F.col(p)))).alias("features"))
-    penalty = 1.0 / max(rows.count(), 1)
-    return LogisticRegression(regParam=penalty, elasticNetParam=0.0, standardization=False).fit(rows)
+    """Logistic curve on the log-odds of out-of-fold scores, with the usual unit penalty.
+
+    Rows of one score and label are counted first: trees give few different scores.
+    """
+    counted = stored(scored.groupBy(F.col(label).cast("double").alias("label"), F.col(p).alias("_p")).agg(F.count(F.lit(1)).cast("double").alias("weight")))
+    rows = counted.select("label", "weight", array_to_vector(F.array(logit(F.col("_p")))).alias("features"))
+    penalty = 1.0 / max(counted.agg(F.sum("weight")).first()[0] or 0.0, 1.0)
+    return LogisticRegression(weightCol="weight", regParam=penalty, elasticNetParam=0.0, standardization=False).fit(rows)
 
 
 def apply_platt(model: Model, scored: DataFrame, p: str = "p", name: str = "p_calibrated") -> DataFrame:

@@ -438,8 +438,9 @@ ENROLMENT_FEATURES = ["o_totalprice", "o_orderpriority", "o_orderstatus", "month
 
 def enrolment_scoring(spark: SparkSession, folder: str) -> enrolment.Scoring:
     rows = labelled_enrolments(spark, folder).withColumn("month", F.month("o_orderdate").cast("double"))
+    needed = rows.select("o_orderkey", "o_custkey", "period_order", "y", *ENROLMENT_FEATURES)
     order = [F.asc("period_order"), F.asc("o_custkey"), F.asc("o_orderkey")]
-    return enrolment.score_enrolments(rows, ENROLMENT_FEATURES, order, **SMALL_TREES)
+    return enrolment.score_enrolments(needed, ENROLMENT_FEATURES, order, **SMALL_TREES)
 
 
 @query(

@@ -166,3 +166,17 @@ def test_enrolments_of_the_last_period_are_scored_whole(spark):
     assert run.report["raw_positives"] == sum(r[4] for r in last) and run.report["adjusted_brier"] < 0.22
     assert run.scored.where("selected = 1").count() >= 25
     assert {r.kind: r.n for r in run.control("kind").collect()} == {k: sum(r[3] == k for r in last) for k in "ab"}
+
+
+def test_enrolments_are_labelled_once_for_all_periods(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def placed(k):
+        seen.add(1)
+        return k % 4
+
+    rows = spark.range(600).select("id", placed.asNondeterministic()("id").alias("period_order"), (F.col("id") % 9).cast("double").alias("x"), (F.col("id") % 9 > F.col("id") % 5).cast("int").alias("y"))
+    run = enrolment.score_enrolments(rows, ["x"], [F.asc("period_order"), F.asc("id")], folds=2, m=5, maxIter=1, maxDepth=2)
+    assert (run.report["n_train"], run.report["n_valid"]) == (450, 150)
+    assert seen.value == 600

@@ -180,3 +180,10 @@ def test_enrolments_are_labelled_once_for_all_periods(spark):
     run = enrolment.score_enrolments(rows, ["x"], [F.asc("period_order"), F.asc("id")], folds=2, m=5, maxIter=1, maxDepth=2)
     assert (run.report["n_train"], run.report["n_valid"]) == (450, 150)
     assert seen.value == 600
+
+
+def test_out_of_fold_scores_beside_columns_that_parquet_does_not_hold(data):
+    odd = data.withColumns({"wait": F.expr("make_interval(0, id)"), "none": F.lit(None)})
+    scored = models.out_of_fold(odd, ["x"], "y", [F.asc("id")], 1, "gbt", maxIter=1, maxDepth=2)
+    assert scored.columns == [*odd.columns, "fold", "p"]
+    assert scored.where("string(wait) = string(make_interval(0, id)) AND none IS NULL").count() == 200

@@ -90,8 +90,11 @@ def stored(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder as Parquet and read from there.
 
     Serves where a frame is read more than once and its partitions don't matter. The shuffle files
-    behind it go as soon as it is written; those behind a checkpoint stay.
+    behind it go as soon as it is written; those behind a checkpoint stay. Calendar intervals, which
+    Parquet does not hold, are pinned.
     """
+    if "CalendarInterval" in repr(df.schema):
+        return pinned(df)
     path = scratch_path(df.sparkSession, "stored")
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)

@@ -8,6 +8,7 @@ from collections import Counter
 
 import pyarrow as pa
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from verdin.functions import outcomes, parsers, phrases, text, transcripts
@@ -295,3 +296,44 @@ def test_answer_cache_tells_known_texts_as_its_sql(spark, tmp_path, labelled):
     """Labelled: an empty text, missing texts, only missing ones, a blank one, and none."""
     got, want = twin_rows(spark, str(tmp_path), "x6_answer_cache", labelled)
     assert got == want and len(got) == len(ODD_TEXTS)
+
+
+def test_corpus_files_are_listed_and_read_by_tasks(spark, tmp_path):
+    """The same files as Spark's reader finds, whose list of files the driver holds."""
+    from verdin.sources import readers
+
+    deep = tmp_path / "a/source=x%2Fy/c d/e/f"
+    for folder in (deep, tmp_path / "_hidden", tmp_path / ".git", tmp_path / "_by=1", tmp_path / "_metadata_x", tmp_path / "empty"):
+        folder.mkdir(parents=True)
+        for name in ("a.txt", "b c#1?.txt", "_x.txt", "_x=1.txt", "_metadata.txt", ".y.txt", "z.txt._COPYING_", "n.md", "ñ.txt") if folder.name != "empty" else ():
+            (folder / name).write_bytes(f"{folder.name} {name}".encode("latin-1"))
+    (tmp_path / "top.txt").write_bytes(b"")
+    (deep / "long.txt").write_bytes(b"0" * 9_000_000)
+    (tmp_path / "link.txt").symlink_to(deep / "a.txt")
+    (tmp_path / "linked").symlink_to(deep.parent)
+    (tmp_path / "nowhere.txt").symlink_to(tmp_path / "missing")
+    counts = []
+    for pattern in ("*.txt", "*.{txt,md}", "[ab]*", "?.txt"):
+        found = readers.read_corpus(spark, f"file://{tmp_path}/", pattern)
+        assert "binaryFile" not in found._jdf.queryExecution().executedPlan().toString() and not found.inputFiles()
+        reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+        want = reader.load(str(tmp_path)).select("path", "length", F.decode("content", "ISO-8859-1")).collect()
+        assert sorted(map(tuple, found.select("path", "size", "text").collect())) == sorted(map(tuple, want))
+        assert sorted(r.path for r in readers.read_corpus(spark, str(tmp_path), pattern).collect()) == sorted(r.path for r in want)
+        counts.append(len(want))
+    assert all(counts)
+    one = readers.read_corpus(spark, f"{deep}/long.txt").first()
+    assert (one.file_name, one.size, one.text) == ("long.txt", 9_000_000, "0" * 9_000_000)
+    with pytest.raises(AnalysisException):
+        readers.read_corpus(spark, f"{tmp_path}/missing")
+
+
+def test_corpus_contents_are_handed_on_by_bytes(tmp_path):
+    from verdin.sources import readers
+
+    for k in range(2500):
+        (tmp_path / f"{k}").write_bytes(b"1" * (3_000_000 if k in (7, 8, 9) else 5_000_000 if k == 10 else 1))
+    places = pa.RecordBatch.from_pydict({"place": [f"{tmp_path}/{k}" for k in range(2500)]})
+    parts = list(readers._contents(iter([places, places.slice(0, 0)])))
+    assert [len(p) for p in parts] == [8, 1, 1, 1, 1000, 1000, 489]
+    assert [p for part in parts for p in part.column(0).to_pylist()] == [f"file:{tmp_path}/{k}" for k in range(2500)]
